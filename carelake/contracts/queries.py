@@ -1,15 +1,26 @@
-"""Spark side of the contract: one callable (spark, sf_dir) -> DataFrame per name."""
+"""Spark side of the contract: one callable (spark, sf_dir) -> DataFrame per name.
+
+Every query reads the test tables (through the fixture adapters) in full.
+Queries that exercise a sink write to a fresh folder under the session's
+checkpoint directory and return the lazily read-back result.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelake.contracts import normalize as N
-from carelake.operators import dedup, marts, staging
-from carelake.session import apply_conf
-from carelake.sources import fixtures, seeds
+from carelake.operators import (dedup, freshness, marts, model_tests, quality, questions,
+                                sql_audit, staging, star)
+from carelake.plans.legacy_star import run_star
+from carelake.plans.medallion import run_medallion
+from carelake.session import apply_conf, scratch_path
+from carelake.sources import claims_csv, fixtures, icd_csv, seeds, sinks
+
+FRESHNESS_NOW = "2001-11-05 12:00:00"
 
 
 # ---------------------------------------------------------------- inputs
@@ -26,36 +37,274 @@ def _int_claims(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.int_claims_deduplicated(_stg(spark, sf))
 
 
+def _summary(spark, sf):
+    return marts.claims_summary(_int_claims(spark, sf), _icd(spark, sf), seeds.state_codes(spark))
+
+
+def _providers(spark, sf):
+    return marts.provider_performance(_int_claims(spark, sf), seeds.state_codes(spark))
+
+
+def _diagnoses(spark, sf):
+    return marts.diagnosis_cost_analysis(_int_claims(spark, sf), _icd(spark, sf))
+
+
+def _norm_summary(mart):
+    mart = N.money(mart, "total_paid", "total_charged", "total_denied_amount")
+    return N.mean(mart, "avg_paid_per_claim", "total_claims")
+
+
+def _norm_providers(mart):
+    mart = N.money(mart, "total_paid", "total_charged")
+    return N.mean(mart, "avg_claim_paid", "total_claims")
+
+
+def _norm_diagnoses(mart):
+    mart = N.money(mart, "total_cost", "cost_stddev")
+    return N.mean(mart, "avg_cost_per_claim", "claim_count")
+
+
+def _star(spark, sf):
+    return star.build_star(fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf),
+                           seeds.state_codes(spark))
+
+
 # ------------------------------------------------------ staging and marts
 
 def q_stg_claims(spark, sf):
+    """P1-P3."""
     return staging.drop_hidden(_stg(spark, sf))
 
 
 def q_stg_icd_codes(spark, sf):
+    """P4, P5."""
     return staging.drop_hidden(_icd(spark, sf))
 
 
 def q_int_claims_deduplicated(spark, sf):
+    """W1, P6, P7."""
     return staging.drop_hidden(_int_claims(spark, sf))
 
 
 def q_mart_claims_summary(spark, sf):
-    mart = marts.claims_summary(_int_claims(spark, sf), _icd(spark, sf), seeds.state_codes(spark))
-    mart = N.money(mart, "total_paid", "total_charged", "total_denied_amount")
-    return N.mean(mart, "avg_paid_per_claim", "total_claims")
+    """A1, A4-A7, A11, J1, J2."""
+    return _norm_summary(_summary(spark, sf))
 
 
 def q_mart_provider_performance(spark, sf):
-    mart = marts.provider_performance(_int_claims(spark, sf), seeds.state_codes(spark))
-    mart = N.money(mart, "total_paid", "total_charged")
-    return N.mean(mart, "avg_claim_paid", "total_claims")
+    """A2, A8, A10, J2."""
+    return _norm_providers(_providers(spark, sf))
 
 
 def q_mart_diagnosis_cost_analysis(spark, sf):
-    mart = marts.diagnosis_cost_analysis(_int_claims(spark, sf), _icd(spark, sf))
-    mart = N.money(mart, "total_cost", "cost_stddev")
-    return N.mean(mart, "avg_cost_per_claim", "claim_count")
+    """A3, A8, A9, J1."""
+    return _norm_diagnoses(_diagnoses(spark, sf))
+
+
+def q_mart_diagnosis_ranked(spark, sf):
+    """The diagnosis mart in presentation order, with its rank."""
+    ranked = marts.order_by_cost(_norm_diagnoses(_diagnoses(spark, sf)))
+    return ranked.select("diagnosis_code", "diagnosis_description", "total_cost")
+
+
+# ------------------------------------------------------------ star schema
+
+def q_star_fact_claims(spark, sf):
+    """P8-P15, J3, J4, W2."""
+    return _star(spark, sf)[0]
+
+
+def q_star_dim_patient(spark, sf):
+    """P16, W3."""
+    return _star(spark, sf)[1]
+
+
+def q_star_dim_provider(spark, sf):
+    """P16, W4."""
+    return _star(spark, sf)[2]
+
+
+def q_star_dim_diagnosis(spark, sf):
+    """P16, W5."""
+    return _star(spark, sf)[3]
+
+
+# ---------------------------------------------------------- quality gate
+
+def _qc(check):
+    def run(spark, sf):
+        fact = fixtures.fact_dirty(spark, sf)
+        return quality.failed_rows(fact, check).select(*quality.output_columns(fact))
+    run.__doc__ = f"Q{quality.CHECK_BY_NAME[check].check_id}: failing rows of {check}."
+    return run
+
+
+def q_qc_report(spark, sf):
+    """Q7: one row per check."""
+    return quality.quality_report(fixtures.fact_dirty(spark, sf))
+
+
+def q_qc_summary(spark, sf):
+    """Q7, Q9: passed / total, pass rate, verdict."""
+    return quality.quality_summary(quality.quality_report(fixtures.fact_dirty(spark, sf)))
+
+
+def q_qc_quarantine(spark, sf):
+    """Write the failing rows of each failed check, read back the
+    row count of every quarantine folder."""
+    root = scratch_path(spark, "quarantine")
+    fact = fixtures.fact_dirty(spark, sf)
+    report = quality.run_quality_checks(fact, quarantine_root=root)
+    failed = [r["check_name"] for r in report.where("failed_rows > 0").select("check_name").collect()]
+    parts = [spark.read.option("header", True).csv(f"{root}/failed_{name}")
+                  .agg(F.count(F.lit(1)).alias("quarantined_rows"))
+                  .select(F.lit(name).alias("check_name"), "quarantined_rows")
+             for name in failed]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ----------------------------------------------------- tests, freshness
+
+def q_model_tests(spark, sf):
+    """D1-D6 over the staging, dedup and mart models."""
+    stg = _stg(spark, sf)
+    claims = dedup.int_claims_deduplicated(stg)
+    icd, states = _icd(spark, sf), seeds.state_codes(spark)
+    return model_tests.run_model_tests({
+        "stg_claims": staging.drop_hidden(stg),
+        "int_claims_deduplicated": staging.drop_hidden(claims),
+        "mart_claims_summary": marts.claims_summary(claims, icd, states),
+        "mart_provider_performance": marts.provider_performance(claims, states),
+        "mart_diagnosis_cost_analysis": marts.diagnosis_cost_analysis(claims, icd),
+    })
+
+
+def q_source_freshness(spark, sf):
+    """S12 with a fixed 'now'."""
+    return freshness.source_freshness(fixtures.claims_raw(spark, sf, ingest_order=False),
+                                      "claims_raw", "CLM_FROM_DT", FRESHNESS_NOW)
+
+
+# ------------------------------------------------------ KPIs, questions
+
+def q_kpi_totals(spark, sf):
+    """A12."""
+    k = questions.kpi_totals(_int_claims(spark, sf))
+    return N.mean(N.money(k, "total_spend"), "avg_cost_per_claim", "unique_claims")
+
+
+def q_kpi_top_state(spark, sf):
+    """A13."""
+    return questions.kpi_top_state(_int_claims(spark, sf), seeds.state_codes(spark))
+
+
+def q_kpi_yearly_cost(spark, sf):
+    """A14."""
+    return N.money(questions.kpi_yearly_cost(_int_claims(spark, sf)), "total_paid")
+
+
+def q_row_counts(spark, sf):
+    """Rows of every step of both runs."""
+    raw = fixtures.claims_raw(spark, sf)
+    stg = staging.stg_claims(raw)
+    claims = dedup.int_claims_deduplicated(stg)
+    icd, states = _icd(spark, sf), seeds.state_codes(spark)
+    fact, pat, prov, diag = _star(spark, sf)
+    return questions.row_counts({
+        "claims_raw": raw, "stg_claims": stg, "int_claims_deduplicated": claims,
+        "stg_icd_codes": icd,
+        "mart_claims_summary": marts.claims_summary(claims, icd, states),
+        "mart_provider_performance": marts.provider_performance(claims, states),
+        "mart_diagnosis_cost_analysis": marts.diagnosis_cost_analysis(claims, icd),
+        "fact_claims": fact, "dim_patient": pat, "dim_provider": prov, "dim_diagnosis": diag,
+    })
+
+
+def q_top_state_paid(spark, sf):
+    """T2."""
+    return N.money(questions.top_state_paid(_norm_summary(_summary(spark, sf))), "total_paid")
+
+
+def q_top5_diagnosis_avg_cost(spark, sf):
+    """T3."""
+    return questions.top_diagnoses_by_avg_cost(_norm_diagnoses(_diagnoses(spark, sf)), 5)
+
+
+def q_lowest_payment_ratio(spark, sf):
+    """T4."""
+    return questions.lowest_payment_ratio(_providers(spark, sf))
+
+
+def q_summary_top5(spark, sf):
+    """T5."""
+    return questions.summary_top_paid(_norm_summary(_summary(spark, sf)), 5)
+
+
+def q_providers_top100(spark, sf):
+    """T6, T7 (the default cap of 100 rows)."""
+    return questions.providers_top_paid(_norm_providers(_providers(spark, sf)), sql_audit.DEFAULT_ROW_LIMIT)
+
+
+def q_mart_preview(spark, sf):
+    """Five rows of the summary mart (which ones is unspecified)."""
+    return questions.preview(_norm_summary(_summary(spark, sf)), 5)
+
+
+# --------------------------------------------------------- sources, sinks
+
+def _write_claims_csv(spark, sf) -> str:
+    """The wide raw claims text file, rows written in the synthetic file
+    order (a sorted write: part files and rows inside them follow it)."""
+    wide = fixtures.claims_raw_wide(spark, sf, ingest_order=True)
+    ordered = wide.orderBy(claims_csv.INGEST_ORDER).drop(claims_csv.INGEST_ORDER)
+    return sinks.write_claims_csv(ordered, scratch_path(spark, "claims_csv"))
+
+
+def _write_icd_csv(spark, sf) -> str:
+    path = scratch_path(spark, "icd_csv")
+    six = fixtures.icd_source_six(spark, sf).withColumn("__k", F.col("sub_code").cast("bigint"))
+    return sinks.write_icd_source_csv(six.orderBy("__k").drop("__k"), path)
+
+
+def q_csv_roundtrip_claims(spark, sf):
+    """Write the raw claims as '|' text with extra columns before and
+    between the used ones, read back by header name."""
+    back = claims_csv.read_claims_csv(spark, _write_claims_csv(spark, sf), ingest_order=False)
+    return back.withColumns({c: F.col(c).cast("double") for c in ("CLM_PMT_AMT", "CLM_TOT_CHRG_AMT")})
+
+
+def q_csv_roundtrip_icd(spark, sf):
+    """Six-column headerless file -> (code, description, category)
+    -> canonical headered file -> read back."""
+    icd = icd_csv.read_icd_csv(spark, _write_icd_csv(spark, sf))
+    canonical = scratch_path(spark, "icd_canonical")
+    icd_csv.write_icd_csv(icd, canonical)
+    return icd_csv.read_icd_canonical(spark, canonical)
+
+
+def q_sql_audit(spark, sf):
+    """G1-G7 over a query log derived from orders."""
+    return sql_audit.audit_sql(fixtures.sql_log(spark, sf))
+
+
+def q_medallion_marts(spark, sf):
+    """R1 (S1-S8, S13, W1, A1-A3, D1-D6): the full run from text files,
+    summary mart read back from its written table."""
+    out = scratch_path(spark, "medallion")
+    res = run_medallion(spark, _write_claims_csv(spark, sf), _write_icd_csv(spark, sf), out, strict=False)
+    return _norm_summary(spark.read.parquet(res.tables["mart_claims_summary"]))
+
+
+def q_legacy_star_run(spark, sf):
+    """R2 (S10, Q1-Q9): the legacy run from text files; its written quality
+    report, with whether the star was loaded."""
+    out = scratch_path(spark, "star")
+    res = run_star(spark, _write_claims_csv(spark, sf), _write_icd_csv(spark, sf), out)
+    return res.report.select("check_id", "check_name", "failed_rows", "status",
+                             F.lit("loaded" if res.loaded else "not loaded").alias("load_status"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -65,6 +314,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_claims_summary": q_mart_claims_summary,
     "mart_provider_performance": q_mart_provider_performance,
     "mart_diagnosis_cost_analysis": q_mart_diagnosis_cost_analysis,
+    "mart_diagnosis_ranked": q_mart_diagnosis_ranked,
+    "star_fact_claims": q_star_fact_claims,
+    "star_dim_patient": q_star_dim_patient,
+    "star_dim_provider": q_star_dim_provider,
+    "star_dim_diagnosis": q_star_dim_diagnosis,
+    **{f"qc_{c.name}": _qc(c.name) for c in quality.CHECKS},
+    "qc_report": q_qc_report,
+    "qc_summary": q_qc_summary,
+    "qc_quarantine": q_qc_quarantine,
+    "model_tests": q_model_tests,
+    "source_freshness": q_source_freshness,
+    "kpi_totals": q_kpi_totals,
+    "kpi_top_state": q_kpi_top_state,
+    "kpi_yearly_cost": q_kpi_yearly_cost,
+    "row_counts": q_row_counts,
+    "q_top_state_paid": q_top_state_paid,
+    "q_top5_diagnosis_avg_cost": q_top5_diagnosis_avg_cost,
+    "q_lowest_payment_ratio": q_lowest_payment_ratio,
+    "q_summary_top5": q_summary_top5,
+    "q_providers_top100": q_providers_top100,
+    "mart_preview": q_mart_preview,
+    "csv_roundtrip_claims": q_csv_roundtrip_claims,
+    "csv_roundtrip_icd": q_csv_roundtrip_icd,
+    "sql_audit": q_sql_audit,
+    "medallion_marts": q_medallion_marts,
+    "legacy_star_run": q_legacy_star_run,
 }
 
 

@@ -31,7 +31,7 @@ def integral_key(c) -> Column:
     """A numeric code read leniently ('5', ' 05 ', '5.0') as a whole number;
     NULL for text and for non-integral values like '5.5'."""
     d = lenient_double(c)
-    return F.when(d == F.floor(d), d.cast("bigint"))
+    return F.when(d % 1 == 0, d.try_cast("bigint"))
 
 
 def strip_ws(c) -> Column:
@@ -44,9 +44,9 @@ def iso_date_text(c) -> Column:
     text that parses as none of them is kept as it is."""
     c = col_(c)
     parsed = F.coalesce(
-        F.try_to_date(c, F.lit("yyyy-MM-dd")),
-        F.try_to_date(c, F.lit("yyyyMMdd")),
-        F.try_to_date(c, F.lit("dd-MMM-yyyy")),
+        F.try_to_date(c, "yyyy-MM-dd"),
+        F.try_to_date(c, "yyyyMMdd"),
+        F.try_to_date(c, "dd-MMM-yyyy"),
     )
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), c)
 

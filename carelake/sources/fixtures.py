@@ -82,7 +82,7 @@ def claims_raw(spark: SparkSession, sf_dir: str, ingest_order: bool = True) -> D
     return _claims_base(spark, sf_dir).select(*cols)
 
 
-def claims_raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claims_raw_wide(spark: SparkSession, sf_dir: str, ingest_order: bool = False) -> DataFrame:
     """The raw claims relation with unused columns before and between the
     used ones, as in the real 197-column file (for CSV round trips)."""
     base = _claims_base(spark, sf_dir)
@@ -98,6 +98,8 @@ def claims_raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         if i in fillers:
             cols.append(fillers[i])
         cols.append(c)
+    if ingest_order:
+        cols.append(_ingest_seq())
     return base.select(*cols)
 
 
