@@ -19,6 +19,9 @@ REQUIRED_CONF = {
 }
 
 
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "carelake") -> SparkSession:
     """A local session for tests and the benchmark (not for cluster use)."""
     builder = (
@@ -29,6 +32,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CARELAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Whole-stage codegen emits methods above HotSpot's 8000-byte JIT
+        # limit for wide projections; let the JIT compile them anyway.
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)

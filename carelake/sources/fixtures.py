@@ -20,6 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan yields fewer splits than
+    the cluster has cores.
+
+    The test tables are single files with one row group, which Spark reads
+    in one task; everything up to the first shuffle would then run on one
+    core. Large inputs (many files or row groups) are left as they are, so
+    this adds no shuffle at scale. A hash partitioning (not round robin)
+    keeps a recomputed partition identical after an executor loss.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -27,9 +43,11 @@ def _s(c: Column) -> Column:
 def _paid_amount() -> Column:
     """price * (1 - discount) computed exactly in DECIMAL, then as DOUBLE:
     exact to 4 decimals, and free of NaN and -0.0."""
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
-    return (price * (F.lit(1) - discount)).cast("double")
+    # decimal(12,2) * decimal(5,2) -> decimal(18,4): exact, and small enough
+    # for Spark's long-backed decimal arithmetic.
+    return (price * (F.lit(1).cast("decimal(3,2)") - discount)).cast("double")
 
 
 def _ingest_seq() -> Column:
@@ -39,10 +57,11 @@ def _ingest_seq() -> Column:
 
 
 def _claims_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
+        "l_orderkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # Both joins are left to the planner: orders grows with lineitem and
     # supplier grows with the scale factor, so neither has a fixed bound.
@@ -193,7 +212,8 @@ SQL_LOG_TEMPLATES = [
 def sql_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query log (query_id, sql_text): one statement per order, shape
     chosen by the order key, parameters taken from the order."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"),
+                    "o_orderkey")
     shape = (F.col("o_orderkey") % len(SQL_LOG_TEMPLATES)).cast("int")
     k = _s(F.col("o_custkey") % 20 + 1)
     n = _s(F.col("o_custkey") % 1000)
