@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.contracts import normalize as N
-from carelake.operators import (dedup, freshness, marts, model_tests, quality, questions,
-                                sql_audit, staging, star)
-from carelake.plans.legacy_star import run_star
-from carelake.plans.medallion import run_medallion
+from carelake.operators import (dedup, freshness, marts, quality, questions, sql_audit, staging,
+                                star)
+from carelake.plans.legacy_star import build_star_tables, run_star
+from carelake.plans.medallion import build_models, run_medallion
 from carelake.session import apply_conf, scratch_path
 from carelake.sources import claims_csv, fixtures, icd_csv, seeds, sinks
 
@@ -168,18 +168,15 @@ def q_qc_quarantine(spark, sf):
 
 # ----------------------------------------------------- tests, freshness
 
+def _fixture_models(spark, sf):
+    """R1's model layers built from the fixture frames into a scratch folder."""
+    return build_models(spark, fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf),
+                        seeds.state_codes(spark), scratch_path(spark, "models"), strict=False)
+
+
 def q_model_tests(spark, sf):
-    """D1-D6 over the staging, dedup and mart models."""
-    stg = _stg(spark, sf)
-    claims = dedup.int_claims_deduplicated(stg)
-    icd, states = _icd(spark, sf), seeds.state_codes(spark)
-    return model_tests.run_model_tests({
-        "stg_claims": staging.drop_hidden(stg),
-        "int_claims_deduplicated": staging.drop_hidden(claims),
-        "mart_claims_summary": marts.claims_summary(claims, icd, states),
-        "mart_provider_performance": marts.provider_performance(claims, states),
-        "mart_diagnosis_cost_analysis": marts.diagnosis_cost_analysis(claims, icd),
-    })
+    """D1-D6 over the staging, dedup and mart models (R1's test step)."""
+    return _fixture_models(spark, sf).test_report
 
 
 def q_source_freshness(spark, sf):
@@ -207,20 +204,11 @@ def q_kpi_yearly_cost(spark, sf):
 
 
 def q_row_counts(spark, sf):
-    """Rows of every step of both runs."""
-    raw = fixtures.claims_raw(spark, sf)
-    stg = staging.stg_claims(raw)
-    claims = dedup.int_claims_deduplicated(stg)
-    icd, states = _icd(spark, sf), seeds.state_codes(spark)
-    fact, pat, prov, diag = _star(spark, sf)
-    return questions.row_counts({
-        "claims_raw": raw, "stg_claims": stg, "int_claims_deduplicated": claims,
-        "stg_icd_codes": icd,
-        "mart_claims_summary": marts.claims_summary(claims, icd, states),
-        "mart_provider_performance": marts.provider_performance(claims, states),
-        "mart_diagnosis_cost_analysis": marts.diagnosis_cost_analysis(claims, icd),
-        "fact_claims": fact, "dim_patient": pat, "dim_provider": prov, "dim_diagnosis": diag,
-    })
+    """Rows of every step of both runs, as each run reports them."""
+    models = _fixture_models(spark, sf)
+    stars = build_star_tables(spark, fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf),
+                              seeds.state_codes(spark), scratch_path(spark, "star"))
+    return models.row_counts.unionByName(stars.row_counts)
 
 
 def q_top_state_paid(spark, sf):

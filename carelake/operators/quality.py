@@ -131,7 +131,7 @@ def run_quality_checks(fact: DataFrame, dim_patient: DataFrame | None = None,
     only the fact table. The returned report is computed once and cached
     for the quarantine decision (six rows).
     """
-    from carelake.sources.sinks import write_quarantine
+    from carelake.sources.sinks import run_concurrently, write_quarantine
 
     report = quality_report(fact)
     if quarantine_root is None:
@@ -139,6 +139,7 @@ def run_quality_checks(fact: DataFrame, dim_patient: DataFrame | None = None,
     report = report.cache()
     failing = [r["check_name"] for r in report.where(F.col("failed_rows") > 0).select("check_name").collect()]
     cols = output_columns(fact)
-    for name in failing:
-        write_quarantine(failed_rows(fact, name).select(*cols), quarantine_root, name)
+    run_concurrently({
+        name: (lambda n=name: write_quarantine(failed_rows(fact, n).select(*cols), quarantine_root, n))
+        for name in failing})
     return report

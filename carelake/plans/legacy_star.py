@@ -3,6 +3,7 @@
     read claims + code list -> v1 transform (P8-P16, J3, J4, W2)
     -> written once -> split (W3-W5) -> quality report + quarantine (Q1-Q8)
     -> load dims then fact (S10) only when every check passed (Q9)
+    -> row counts of every step (A15)
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.operators import quality, star
+from carelake.operators import quality, questions, star
 from carelake.session import apply_conf
 from carelake.sources import claims_csv, icd_csv, seeds, sinks
 
@@ -21,27 +22,41 @@ class StarResult:
     loaded: bool = False
     tables: dict[str, str] = field(default_factory=dict)
     report: DataFrame | None = None
+    row_counts: DataFrame | None = None
 
 
-def run_star(spark: SparkSession, claims_path: str, icd_path: str, out_root: str) -> StarResult:
-    """Run the legacy ETL into ``out_root`` (star tables, quarantine, report)."""
+def build_star_tables(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame,
+                      states: DataFrame, out_root: str) -> StarResult:
+    """The legacy ETL from raw DataFrames into ``out_root``."""
     apply_conf(spark)
     res = StarResult()
-    raw = claims_csv.read_claims_csv(spark, claims_path, columns=list(star.V1_RENAMES))
-    icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
-    rows = star.transform_claims(raw, icd_raw, seeds.state_codes(spark))
+    read = spark.read.parquet
+    rows = star.transform_claims(claims_raw, icd_raw, states)
     # One write of the transformed rows feeds the four splits, the checks and
-    # the load, and cuts their lineage back to the text files.
-    staged = sinks.write_table(rows, f"{out_root}/staging/claims_v1")
-    fact, pat, prov, diag = star.split_star(spark.read.parquet(staged))
+    # the load, and cuts their lineage back to the raw input.
+    res.tables["claims_v1"] = sinks.write_table(rows, f"{out_root}/staging/claims_v1")
+    staged = read(res.tables["claims_v1"])
+    fact, pat, prov, diag = star.split_star(staged)
 
-    checked = star.fact_with_order(spark.read.parquet(staged))
-    report = quality.run_quality_checks(checked, pat, prov, diag, quarantine_root=f"{out_root}/quarantine")
+    report = quality.run_quality_checks(star.fact_with_order(staged), pat, prov, diag,
+                                        quarantine_root=f"{out_root}/quarantine")
     res.tables["quality_report"] = sinks.write_table(report, f"{out_root}/reports/quality")
-    res.report = spark.read.parquet(res.tables["quality_report"])
+    report.unpersist()
+    res.report = read(res.tables["quality_report"])
+    split = {"fact_claims": fact, "dim_patient": pat, "dim_provider": prov, "dim_diagnosis": diag}
     if quality.all_passed(res.report):
-        res.tables.update(sinks.load_star(
-            {"fact_claims": fact, "dim_patient": pat, "dim_provider": prov, "dim_diagnosis": diag},
-            f"{out_root}/star"))
+        res.tables.update(sinks.load_star(split, f"{out_root}/star"))
+        # (load_star writes the dimensions before the fact, one after another)
         res.loaded = True
+        split = {name: read(res.tables[name]) for name in split}
+    counts = questions.row_counts(split)
+    res.tables["row_counts"] = sinks.write_table(counts, f"{out_root}/reports/row_counts")
+    res.row_counts = read(res.tables["row_counts"])
     return res
+
+
+def run_star(spark: SparkSession, claims_path: str, icd_path: str, out_root: str) -> StarResult:
+    """Run the legacy ETL from the raw text files."""
+    raw = claims_csv.read_claims_csv(spark, claims_path, columns=list(star.V1_RENAMES))
+    icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
+    return build_star_tables(spark, raw, icd_raw, seeds.state_codes(spark), out_root)

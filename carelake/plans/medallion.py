@@ -3,12 +3,13 @@ then the model tests.
 
     gate (S13) -> bronze (S1, S2, S5, S6) -> staging views (P1-P5, S7)
     -> de-duplicated claims (W1), written once -> marts (A1-A3, S8)
-    -> model tests (D1-D6)
+    -> model tests (D1-D6) and row counts (A15)
 
 The de-duplicated claims are written to a table and all three marts read
 that table: the dedup shuffle runs once, and the written table cuts the
 lineage, so a lost executor during the mart stage recomputes from the
-silver table rather than from the raw text.
+silver table rather than from the raw text. Tests and row counts read the
+written tables too.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.operators import dedup, marts, model_tests, staging
+from carelake.operators import dedup, marts, model_tests, questions, staging
 from carelake.session import apply_conf
 from carelake.sources import claims_csv, icd_csv, seeds, sinks
 
+MARTS = ("mart_claims_summary", "mart_provider_performance", "mart_diagnosis_cost_analysis")
+
 
 class ModelTestFailure(RuntimeError):
     """Raised when a declared model test finds failing rows."""
@@ -30,30 +33,23 @@ class ModelTestFailure(RuntimeError):
 class MedallionResult:
     tables: dict[str, str] = field(default_factory=dict)
     test_report: DataFrame | None = None
+    row_counts: DataFrame | None = None
     failed_tests: list = field(default_factory=list)
 
 
-def run_medallion(spark: SparkSession, claims_path: str, icd_path: str, out_root: str,
-                  states_path: str | None = None, strict: bool = True) -> MedallionResult:
-    """Build every layer under ``out_root``; return the table paths and the
-    model-test report. With ``strict`` a failing test raises after all
-    tables are written (like a failed test step after the model step)."""
+def build_models(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame,
+                 out_root: str, strict: bool = True) -> MedallionResult:
+    """Silver and gold layers from bronze DataFrames, written under
+    ``out_root``; then the model tests and row counts, read from the
+    written tables. With ``strict`` a failing test raises after all tables
+    are written (like a failed test step after the model step)."""
     apply_conf(spark)
     res = MedallionResult()
     t = res.tables
-
-    claims_csv.require_source(spark, claims_path)
-    raw = claims_csv.read_claims_csv(spark, claims_path)
-    t["claims_raw"] = sinks.write_table(raw, f"{out_root}/bronze/claims_raw")
-    icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
-    t["icd_codes_raw"] = sinks.write_table(icd_raw, f"{out_root}/bronze/icd_codes_raw")
-    states = (seeds.read_state_codes_csv(spark, states_path) if states_path else seeds.state_codes(spark))
-    t["state_codes"] = sinks.write_table(states, f"{out_root}/seeds/state_codes")
-
     read = spark.read.parquet
-    stg = staging.stg_claims(read(t["claims_raw"]))
-    icd = staging.stg_icd_codes(read(t["icd_codes_raw"]))
-    states = read(t["state_codes"])
+
+    stg = staging.stg_claims(claims_raw)
+    icd = staging.stg_icd_codes(icd_raw)
     stg.createOrReplaceTempView("stg_claims")
     icd.createOrReplaceTempView("stg_icd_codes")
 
@@ -67,16 +63,44 @@ def run_medallion(spark: SparkSession, claims_path: str, icd_path: str, out_root
         "mart_provider_performance": marts.provider_performance(claims, states),
         "mart_diagnosis_cost_analysis": marts.diagnosis_cost_analysis(claims, icd),
     }
+    t.update(sinks.write_tables({name: (df, f"{out_root}/gold/{name}") for name, df in built.items()}))
     models = {"stg_claims": staging.drop_hidden(stg), "int_claims_deduplicated": claims}
-    for name, df in built.items():
-        t[name] = sinks.write_table(df, f"{out_root}/gold/{name}")
+    for name in built:
         models[name] = read(t[name])
         models[name].createOrReplaceTempView(name)
 
     report = model_tests.run_model_tests(models)
-    t["model_tests"] = sinks.write_table(report, f"{out_root}/reports/model_tests")
+    counts = questions.row_counts({
+        "claims_raw": claims_raw, "stg_claims": stg, "stg_icd_codes": icd,
+        **{name: models[name] for name in ("int_claims_deduplicated", *MARTS)},
+    })
+    t.update(sinks.write_tables({"model_tests": (report, f"{out_root}/reports/model_tests"),
+                                 "row_counts": (counts, f"{out_root}/reports/row_counts")}))
     res.test_report = read(t["model_tests"])
+    res.row_counts = read(t["row_counts"])
+
     res.failed_tests = model_tests.failed_tests(res.test_report)
     if strict and res.failed_tests:
         raise ModelTestFailure(f"model tests failed: {res.failed_tests}")
     return res
+
+
+def run_medallion(spark: SparkSession, claims_path: str, icd_path: str, out_root: str,
+                  states_path: str | None = None, strict: bool = True) -> MedallionResult:
+    """The full run from the raw text files: gate, bronze tables, then
+    :func:`build_models` on the bronze tables."""
+    apply_conf(spark)
+    claims_csv.require_source(spark, claims_path)
+    tables = {}
+    raw = claims_csv.read_claims_csv(spark, claims_path)
+    tables["claims_raw"] = sinks.write_table(raw, f"{out_root}/bronze/claims_raw")
+    icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
+    tables["icd_codes_raw"] = sinks.write_table(icd_raw, f"{out_root}/bronze/icd_codes_raw")
+    states = seeds.read_state_codes_csv(spark, states_path) if states_path else seeds.state_codes(spark)
+    tables["state_codes"] = sinks.write_table(states, f"{out_root}/seeds/state_codes")
+
+    read = spark.read.parquet
+    res = build_models(spark, read(tables["claims_raw"]), read(tables["icd_codes_raw"]),
+                       read(tables["state_codes"]), out_root, strict)
+    res.tables.update(tables)
+    return res

@@ -3,6 +3,9 @@ refresh); written tables also cut the lineage of what reads them next."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return path
 
 
+def run_concurrently(actions: dict[str, Callable[[], str]], max_parallel: int = 4) -> dict[str, str]:
+    """Run independent write actions as concurrent Spark jobs (one driver
+    thread each), so small jobs share the cluster instead of queueing."""
+    if len(actions) <= 1:
+        return {name: act() for name, act in actions.items()}
+    with ThreadPoolExecutor(max_workers=min(max_parallel, len(actions))) as pool:
+        futures = {name: pool.submit(act) for name, act in actions.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
+def write_tables(jobs: dict[str, tuple[DataFrame, str]], max_parallel: int = 4) -> dict[str, str]:
+    """Write independent tables concurrently: name -> (DataFrame, path)."""
+    return run_concurrently({name: (lambda d=df, p=path: write_table(d, p))
+                             for name, (df, path) in jobs.items()}, max_parallel)
+
+
 def write_claims_csv(df: DataFrame, path: str) -> str:
     """The raw claims layout: '|'-separated text with a header line."""
     (df.write.mode("overwrite").option("header", True).option("sep", "|")
