@@ -120,3 +120,18 @@ def audit_sql(log: DataFrame, id_col: str = "query_id", sql_col: str = "sql_text
         F.when(F.col("rule").isNull(), safe).alias("safe_sql"),
         F.when(F.col("rule").isNull(), qualify_tables(safe, project, dataset)).alias("qualified_sql"),
     )
+
+
+class GuardrailViolation(ValueError):
+    """A statement failed the guardrails; it must not run (fail closed)."""
+
+
+def run_query(spark, sql_text: str, limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
+    """Check one statement with the same rules as the log audit (a
+    one-row DataFrame), then run the prepared text with ``spark.sql`` over
+    the registered mart views. Returns the lazy result."""
+    log = spark.createDataFrame([(0, sql_text)], "query_id long, sql_text string")
+    verdict = audit_sql(log, limit=limit).first()
+    if verdict["verdict"] != "pass":
+        raise GuardrailViolation(f"blocked ({verdict['rule']}: {verdict['detail']}): {sql_text[:80]}")
+    return spark.sql(verdict["safe_sql"])

@@ -1 +1,6 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The claims pipeline this library re-creates is a daily full-refresh batch;
+it has no streams, watermarks, windows over event time or stateful
+operators, so none are provided here.
+"""

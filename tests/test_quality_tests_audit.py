@@ -114,3 +114,12 @@ def test_audit_cleanup_and_limit_rewrite(spark):
 def test_qualify_rejects_odd_names(bad):
     with pytest.raises(ValueError):
         sql_audit.qualify_tables(F.col("x"), bad, "ds")
+
+
+def test_run_query_gates_and_limits(spark):
+    spark.range(150).selectExpr("cast(id as string) as state", "id * 1.0 as total_paid") \
+        .createOrReplaceTempView("mart_claims_summary")
+    df = sql_audit.run_query(spark, "SELECT state, total_paid FROM mart_claims_summary ORDER BY total_paid DESC")
+    assert df.count() == 100
+    with pytest.raises(sql_audit.GuardrailViolation):
+        sql_audit.run_query(spark, "DROP TABLE mart_claims_summary")
