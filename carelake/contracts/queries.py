@@ -179,6 +179,12 @@ def q_model_tests(spark, sf):
     return _fixture_models(spark, sf).test_report
 
 
+def q_icd_duplicate_codes(spark, sf):
+    """ICD fan-out report: staged codes listed more than once."""
+    from carelake.operators import model_tests
+    return model_tests.duplicate_values(_icd(spark, sf), "diagnosis_code")
+
+
 def q_source_freshness(spark, sf):
     """S12 with a fixed 'now'."""
     return freshness.source_freshness(fixtures.claims_raw(spark, sf, ingest_order=False),
@@ -312,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "qc_summary": q_qc_summary,
     "qc_quarantine": q_qc_quarantine,
     "model_tests": q_model_tests,
+    "icd_duplicate_codes": q_icd_duplicate_codes,
     "source_freshness": q_source_freshness,
     "kpi_totals": q_kpi_totals,
     "kpi_top_state": q_kpi_top_state,
