@@ -34,10 +34,12 @@ def read_claims_csv(
     they parse as yyyy-MM-dd, yyyyMMdd or dd-MMM-yyyy, so a month is always
     ``SUBSTR(date, 1, 7)`` and date order is text order.
 
-    ``ingest_order`` adds ``_ingest_seq``: a struct that sorts rows in file
-    order (file path, split start, position inside the split). "Keep the
-    first row" operators order by it, because a distributed scan does not
-    keep file order by itself.
+    ``ingest_order`` adds ``_ingest_seq``: a struct of three longs that sorts
+    rows in file order (file, split start, position inside the split) --
+    files in a fixed order given by a 64-bit hash of their path, rows of a
+    file in the order they are written. "Keep the first row" operators
+    order by it, because a distributed scan does not keep file order by
+    itself. Longs instead of the path keep the key small in every shuffle.
     """
     columns = list(columns or RAW_CLAIM_COLUMNS)
     raw = (spark.read.option("header", True).option("sep", "|")
@@ -52,7 +54,7 @@ def read_claims_csv(
         exprs.append((iso_date_text(col) if normalize_dates and c in DATE_COLUMNS else col).alias(c))
     if ingest_order:
         exprs.append(F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("row"),
         ).alias(INGEST_ORDER))

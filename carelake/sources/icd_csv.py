@@ -32,7 +32,7 @@ def icd_projection(source: DataFrame, ingest_order: bool = False) -> DataFrame:
             F.col("category")]
     if ingest_order:
         cols.append(F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("row"),
         ).alias(ICD_INGEST_ORDER))
