@@ -28,14 +28,15 @@ class Check:
     description: str
 
 
-# The six checks, in run order, with their quarantine names.
+# The six checks in run order; the names are the quarantine
+# folder suffixes. The descriptions say what a failing row looks like.
 CHECKS = [
-    Check(1, "null_claim_id", "No null claim_ids"),
-    Check(2, "null_patient_id", "No null patient_ids"),
-    Check(3, "duplicate_claim_id", "No duplicate claim_ids"),
-    Check(4, "negative_claim_amount", "No negative claim amounts"),
-    Check(5, "null_diagnosis_code", "No null diagnosis codes"),
-    Check(6, "empty_claim_date", "No empty claim dates"),
+    Check(1, "null_claim_id", "claim id missing"),
+    Check(2, "null_patient_id", "patient id missing"),
+    Check(3, "duplicate_claim_id", "claim id already seen earlier in the file"),
+    Check(4, "negative_claim_amount", "paid amount below zero"),
+    Check(5, "null_diagnosis_code", "diagnosis code missing"),
+    Check(6, "empty_claim_date", "claim from-date missing, 'nan' or empty"),
 ]
 CHECK_BY_NAME = {c.name: c for c in CHECKS}
 
@@ -86,11 +87,15 @@ def check_counts(fact: DataFrame) -> DataFrame:
     return fact.agg(*aggs)
 
 
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def quality_report(fact: DataFrame) -> DataFrame:
     """Q7: one row per check -- check_id, check_name, description,
     failed_rows, status ('PASSED' / 'FAILED') -- and the records checked."""
     counts = check_counts(fact)
-    stack = ", ".join(f"{c.check_id}L, '{c.name}', '{c.description}', `{c.name}`" for c in CHECKS)
+    stack = ", ".join(f"{c.check_id}L, '{c.name}', {_sql_str(c.description)}, `{c.name}`" for c in CHECKS)
     long = counts.selectExpr(
         "records_checked",
         f"stack({len(CHECKS)}, {stack}) as (check_id, check_name, description, failed_rows)")

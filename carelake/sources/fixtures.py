@@ -182,8 +182,10 @@ def icd_source_six(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Statement shapes of the query log. {k} {n} {s} are filled from the order
-# row, so every order yields one statement and the log grows with orders.
+# Statement shapes of the query log -- the five guardrail
+# self-check statements and the further cases of FIXTURES.md section 4.
+# {k} {n} {s} are filled from the order row, so every order yields one
+# statement and the log grows with the orders table.
 SQL_LOG_TEMPLATES = [
     "SELECT state, total_paid FROM mart_claims_summary ORDER BY total_paid DESC LIMIT {k}",
     "DELETE FROM mart_claims_summary WHERE state = '{s}'",
