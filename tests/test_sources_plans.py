@@ -80,3 +80,17 @@ def test_medallion_and_star_runs(spark, sf_small):
     assert {r.load_status for r in rep} == {"not loaded"}
     # v1 keeps negative payments, and the ICD fan-out re-creates duplicate claim ids.
     assert {r.check_name for r in rep if r.status == "FAILED"} == {"duplicate_claim_id", "negative_claim_amount"}
+
+
+def test_command_line_jobs(spark, sf_small, tmp_path):
+    from carelake.__main__ import main
+    from carelake.contracts import queries as Q
+    from carelake.sources import fixtures
+    claims, codes = Q._write_claims_csv(spark, sf_small), Q._write_icd_csv(spark, sf_small)
+    # the fixture has NULL diagnosis codes (a D5 failure) and v1 duplicates: both exit 1
+    assert main(["medallion", "--claims", claims, "--icd", codes, "--out", str(tmp_path / "m")]) == 1
+    assert spark.read.parquet(str(tmp_path / "m/gold/mart_claims_summary")).count() > 0
+    assert main(["star", "--claims", claims, "--icd", codes, "--out", str(tmp_path / "s")]) == 1
+    fixtures.sql_log(spark, sf_small).write.parquet(str(tmp_path / "log"))
+    assert main(["audit", "--log", str(tmp_path / "log"), "--out", str(tmp_path / "a")]) == 0
+    assert spark.read.parquet(str(tmp_path / "a")).count() == spark.read.parquet(str(tmp_path / "log")).count()
