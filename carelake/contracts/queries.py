@@ -168,9 +168,17 @@ def q_qc_quarantine(spark, sf):
 
 # ----------------------------------------------------- tests, freshness
 
-def _fixture_models(spark, sf):
-    """R1's model layers built from the fixture frames into a scratch folder."""
-    return build_models(spark, fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf),
+def _fixture_bronze(spark, sf) -> DataFrame:
+    """The fixture's raw claims written once as a bronze table (as R1 does
+    with the raw file), so later steps read it instead of re-joining."""
+    path = sinks.write_table(fixtures.claims_raw(spark, sf), scratch_path(spark, "bronze"))
+    return spark.read.parquet(path)
+
+
+def _fixture_models(spark, sf, bronze: DataFrame | None = None):
+    """R1's model layers built from the fixture's bronze table into a scratch folder."""
+    bronze = bronze if bronze is not None else _fixture_bronze(spark, sf)
+    return build_models(spark, bronze, fixtures.icd_codes_raw(spark, sf),
                         seeds.state_codes(spark), scratch_path(spark, "models"), strict=False)
 
 
@@ -211,8 +219,9 @@ def q_kpi_yearly_cost(spark, sf):
 
 def q_row_counts(spark, sf):
     """Rows of every step of both runs, as each run reports them."""
-    models = _fixture_models(spark, sf)
-    stars = build_star_tables(spark, fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf),
+    bronze = _fixture_bronze(spark, sf)
+    models = _fixture_models(spark, sf, bronze)
+    stars = build_star_tables(spark, bronze, fixtures.icd_codes_raw(spark, sf),
                               seeds.state_codes(spark), scratch_path(spark, "star"))
     return models.row_counts.unionByName(stars.row_counts)
 
@@ -250,10 +259,12 @@ def q_mart_preview(spark, sf):
 # --------------------------------------------------------- sources, sinks
 
 def _write_claims_csv(spark, sf) -> str:
-    """The wide raw claims text file, rows written in the synthetic file
-    order (a sorted write: part files and rows inside them follow it)."""
+    """The wide raw claims text file: every claim's lines in one part file,
+    in the synthetic file order."""
     wide = fixtures.claims_raw_wide(spark, sf, ingest_order=True)
-    ordered = wide.orderBy(claims_csv.INGEST_ORDER).drop(claims_csv.INGEST_ORDER)
+    # All lines of a claim go to one file, in file order inside it.
+    ordered = (wide.repartition("CLM_ID").sortWithinPartitions(claims_csv.INGEST_ORDER)
+                   .drop(claims_csv.INGEST_ORDER))
     return sinks.write_claims_csv(ordered, scratch_path(spark, "claims_csv"))
 
 
