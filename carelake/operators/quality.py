@@ -53,13 +53,35 @@ def _row_predicates() -> dict[str, Column]:
     }
 
 
-def duplicate_rows(fact: DataFrame, key: str = "claim_id", seq: str = INGEST_ORDER) -> DataFrame:
+# Largest number of repeated keys whose (key, first row) pairs are broadcast
+# (~100 bytes each, about 10 MB); above it the check shuffles instead.
+DUPLICATE_KEYS_BROADCAST_LIMIT = 100_000
+
+
+def duplicate_rows(fact: DataFrame, key: str = "claim_id", seq: str = INGEST_ORDER,
+                   broadcast_limit: int = DUPLICATE_KEYS_BROADCAST_LIMIT) -> DataFrame:
     """Q3: rows whose ``key`` already occurred earlier in file order (NULL
-    keys count as equal). Needs the file-order column ``seq``."""
-    firsts = (fact.groupBy(key).agg(F.min(seq).alias("__first"))
+    keys count as equal). Needs the file-order column ``seq``.
+
+    The first row of every key comes from an aggregation (partial before the
+    shuffle, so a hot key costs one row per map partition). Then:
+
+    * if few keys repeat (counted first, so the size is known), those keys
+      with their first row are broadcast and the fact table is filtered
+      map-side -- no shuffle of the fact at all;
+    * otherwise an anti join against all first rows, hashed on (key, file
+      order), so the rows of a hot key spread over every partition.
+    """
+    firsts = (fact.groupBy(key)
+                  .agg(F.min(seq).alias("__first"), F.count(F.lit(1)).alias("__n"))
                   .withColumnRenamed(key, "__key"))
+    repeated = firsts.where(F.col("__n") > 1).select("__key", "__first")
+    if repeated.count() <= broadcast_limit:
+        small = F.broadcast(repeated)
+        cond = fact[key].eqNullSafe(small["__key"]) & ~fact[seq].eqNullSafe(small["__first"])
+        return fact.join(small, cond, "left_semi")
     cond = fact[key].eqNullSafe(firsts["__key"]) & (fact[seq] == firsts["__first"])
-    return fact.join(firsts, cond, "left_anti")
+    return fact.join(firsts.select("__key", "__first"), cond, "left_anti")
 
 
 def failed_rows(fact: DataFrame, check: str) -> DataFrame:

@@ -66,3 +66,14 @@ def test_hot_diagnosis_and_provider_marts(spark):
     assert summary.agg(F.sum("total_claims")).first()[0] == claims.count()
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_duplicate_rows_both_strategies(spark):
+    stg = staging.stg_claims(skewed_raw(spark))
+    fact = stg.select("claim_id", "patient_id", "provider_id", "diagnosis_code", "claim_amount",
+                      "total_charges", "claim_from_date", "claim_thru_date", "drg_code", "_ingest_seq")
+    small = quality.duplicate_rows(fact)                      # one repeated key: broadcast
+    big = quality.duplicate_rows(fact, broadcast_limit=0)     # forced shuffle anti join
+    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r._ingest_seq for r in small.collect()) == sorted(r._ingest_seq for r in big.collect())
+    assert small.count() == N // 3 - 1
