@@ -94,3 +94,32 @@ def test_command_line_jobs(spark, sf_small, tmp_path):
     fixtures.sql_log(spark, sf_small).write.parquet(str(tmp_path / "log"))
     assert main(["audit", "--log", str(tmp_path / "log"), "--out", str(tmp_path / "a")]) == 0
     assert spark.read.parquet(str(tmp_path / "a")).count() == spark.read.parquet(str(tmp_path / "log")).count()
+
+
+def test_star_loads_when_checks_pass(spark, tmp_path):
+    from carelake.plans.legacy_star import build_star_tables
+    from carelake.schemas import RAW_CLAIM_COLUMNS
+    rows = [{"CLM_ID": f"C{i}", "BENE_ID": f"B{i % 3}", "PRVDR_NUM": f"P{i % 2}", "CLM_LINE_NUM": "1",
+             "PRNCPAL_DGNS_CD": "D001", "CLM_DRG_CD": "470", "CLM_PMT_AMT": "10.5", "CLM_TOT_CHRG_AMT": "20",
+             "CLM_FROM_DT": "2020-01-01", "CLM_THRU_DT": "2020-01-03", "PRVDR_STATE_CD": "10",
+             "ORG_NPI_NUM": "N", "PTNT_DSCHRG_STUS_CD": "1", "CLM_IP_ADMSN_TYPE_CD": "1", "_ingest_seq": i}
+            for i in range(6)]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_CLAIM_COLUMNS) + ", _ingest_seq long")
+    codes = spark.createDataFrame([("D001", "Desc", "cat", 1)], "code string, description string, "
+                                                               "category string, _icd_seq long")
+    res = build_star_tables(spark, raw, codes, seeds.state_codes(spark), str(tmp_path))
+    assert res.loaded
+    counts = {r.step: r.row_count for r in res.row_counts.collect()}
+    assert counts == {"fact_claims": 6, "dim_patient": 3, "dim_provider": 2, "dim_diagnosis": 1}
+    fact = spark.read.parquet(res.tables["fact_claims"])
+    assert fact.columns == ["claim_id", "patient_id", "provider_id", "diagnosis_code", "claim_amount",
+                            "total_charges", "claim_from_date", "claim_thru_date", "drg_code"]
+    assert {r.provider_state for r in spark.read.parquet(res.tables["dim_provider"]).collect()} == {"Florida"}
+
+
+def test_state_seed_csv(spark, tmp_path):
+    p = tmp_path / "state_codes.csv"
+    p.write_text("state_code,state_name\n" + "\n".join(f"{c},{n}" for c, n in seeds.STATE_CODES) + "\n")
+    got = seeds.read_state_codes_csv(spark, str(p))
+    assert got.schema.simpleString() == "struct<state_code:bigint,state_name:string>"
+    assert sorted(map(tuple, got.collect())) == sorted(seeds.STATE_CODES)
