@@ -102,7 +102,7 @@ def q_mart_diagnosis_cost_analysis(spark, sf):
 
 
 def q_mart_diagnosis_ranked(spark, sf):
-    """The diagnosis mart in presentation order, with its rank."""
+    """The diagnosis mart in presentation order (highest total cost first)."""
     ranked = marts.order_by_cost(_norm_diagnoses(_diagnoses(spark, sf)))
     return ranked.select("diagnosis_code", "diagnosis_description", "total_cost")
 
