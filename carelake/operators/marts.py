@@ -11,6 +11,7 @@ Plan shape, chosen for scale:
   partial table to the codes, then finish the aggregation. A hot diagnosis
   code is collapsed by the partial aggregation instead of landing in one
   join task, and the join is cheap whichever strategy AQE picks for it.
+* Outputs carry the column dictionary as ``comment`` metadata.
 * Partial rows carry sums and counts (and the second central moment for
   the standard deviation), so re-aggregating after the code join gives the
   same result as aggregating the joined rows -- including the fan-out of a
@@ -23,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions.columns import month_of, safe_bigint
+from carelake.schemas import (MART_CLAIMS_SUMMARY, MART_DIAGNOSIS_COST, MART_PROVIDER_PERFORMANCE,
+                              with_comments)
 from carelake.sources.seeds import with_state_name
 
 
@@ -48,7 +51,7 @@ def claims_summary(claims: DataFrame, icd: DataFrame, states: DataFrame) -> Data
                     F.sum(F.col("total_charges") - F.col("claim_amount")).alias("denied")))
     named = with_state_name(partial, safe_bigint("provider_state_code"), states, "state")
     joined = named.join(_icd_lookup(icd), "diagnosis_code", "left")
-    return (joined
+    mart = (joined
             .groupBy("claim_month", "state", "diagnosis_code",
                      "diagnosis_description", "diagnosis_category")
             .agg(F.sum("n_claims").alias("total_claims"),
@@ -56,6 +59,7 @@ def claims_summary(claims: DataFrame, icd: DataFrame, states: DataFrame) -> Data
                  F.sum("charged").alias("total_charged"),
                  _ratio(F.sum("paid"), F.sum("n_paid")).alias("avg_paid_per_claim"),
                  F.sum("denied").alias("total_denied_amount")))
+    return with_comments(mart, MART_CLAIMS_SUMMARY)
 
 
 def provider_performance(claims: DataFrame, states: DataFrame) -> DataFrame:
@@ -66,14 +70,14 @@ def provider_performance(claims: DataFrame, states: DataFrame) -> DataFrame:
     shuffle is the aggregation's, with map-side partial aggregation."""
     named = with_state_name(claims, safe_bigint("provider_state_code"), states, "provider_state")
     paid, charged = F.sum("claim_amount"), F.sum("total_charges")
-    return (named.groupBy("provider_id", "npi_number", "provider_state")
+    return with_comments(named.groupBy("provider_id", "npi_number", "provider_state")
             .agg(F.count("claim_id").alias("total_claims"),
                  paid.alias("total_paid"),
                  charged.alias("total_charged"),
                  F.round(_ratio(paid, charged) * 100, 2).alias("payment_ratio_pct"),
                  F.avg("claim_amount").alias("avg_claim_paid"),
                  F.max("claim_amount").alias("max_claim"),
-                 F.min("claim_amount").alias("min_claim")))
+                 F.min("claim_amount").alias("min_claim")), MART_PROVIDER_PERFORMANCE)
 
 
 def diagnosis_cost_analysis(claims: DataFrame, icd: DataFrame) -> DataFrame:
@@ -93,13 +97,14 @@ def diagnosis_cost_analysis(claims: DataFrame, icd: DataFrame) -> DataFrame:
     # per-code row (the code is a group key), so their means agree and the
     # pooled second moment is the plain sum of the parts.
     n = F.sum("n_paid")
-    return (joined.groupBy("diagnosis_code", "diagnosis_description", "diagnosis_category")
+    return with_comments(joined.groupBy("diagnosis_code", "diagnosis_description", "diagnosis_category")
             .agg(F.sum("n_claims").alias("claim_count"),
                  F.sum("paid").alias("total_cost"),
                  _ratio(F.sum("paid"), n).alias("avg_cost_per_claim"),
                  F.max("hi").alias("max_claim"),
                  F.min("lo").alias("min_claim"),
-                 F.when(n > 1, F.sqrt(F.greatest(F.sum("m2"), F.lit(0.0)) / (n - 1))).alias("cost_stddev")))
+                 F.when(n > 1, F.sqrt(F.greatest(F.sum("m2"), F.lit(0.0)) / (n - 1))).alias("cost_stddev")),
+        MART_DIAGNOSIS_COST)
 
 
 def order_by_cost(mart: DataFrame) -> DataFrame:

@@ -104,3 +104,11 @@ def test_v1_fills_and_coerces(spark):
                                         "claim_amount", "total_charges", "claim_from_date",
                                         "claim_thru_date", "drg_code"]
     assert pat.where(F.col("state") == "California").count() == 1
+
+
+def test_marts_carry_column_comments(spark):
+    out = marts.provider_performance(claims(spark, [{}]), seeds.state_codes(spark))
+    meta = {f.name: f.metadata.get("comment") for f in out.schema.fields}
+    assert meta["payment_ratio_pct"].startswith("paid / charged")
+    assert out.columns == ["provider_id", "npi_number", "provider_state", "total_claims", "total_paid",
+                           "total_charged", "payment_ratio_pct", "avg_claim_paid", "max_claim", "min_claim"]
