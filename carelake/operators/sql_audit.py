@@ -54,9 +54,13 @@ def clean_fences(sql: Column) -> Column:
 
 
 def blocked_keyword(sql: Column) -> Column:
-    """G1: the first blocked keyword present as a whole word, else NULL."""
-    upper = F.upper(sql)
-    return F.coalesce(*[F.when(upper.rlike(rf"\b{kw}\b"), F.lit(kw)) for kw in BLOCKED_KEYWORDS])
+    """G1: the blocked keyword that comes first in the list among those
+    present as whole words (upper-cased text), else NULL. One regex scan
+    finds them all; the list position then picks the one to report."""
+    keywords = F.array(*[F.lit(k) for k in BLOCKED_KEYWORDS])
+    found = F.regexp_extract_all(F.upper(sql), F.lit(r"\b(" + "|".join(BLOCKED_KEYWORDS) + r")\b"), 1)
+    first = F.array_min(F.transform(found, lambda k: F.array_position(keywords, k)))
+    return F.try_element_at(keywords, first.cast("int"))
 
 
 def starts_with_select(sql: Column) -> Column:
