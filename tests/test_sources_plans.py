@@ -123,3 +123,13 @@ def test_state_seed_csv(spark, tmp_path):
     got = seeds.read_state_codes_csv(spark, str(p))
     assert got.schema.simpleString() == "struct<state_code:bigint,state_name:string>"
     assert sorted(map(tuple, got.collect())) == sorted(seeds.STATE_CODES)
+
+
+def test_medallion_strict_raises_on_failed_tests(spark, sf_small, tmp_path):
+    from carelake.contracts import queries as Q
+    from carelake.plans.medallion import ModelTestFailure, run_medallion
+    claims, codes = Q._write_claims_csv(spark, sf_small), Q._write_icd_csv(spark, sf_small)
+    with pytest.raises(ModelTestFailure, match="mart_diagnosis_cost_analysis"):
+        run_medallion(spark, claims, codes, str(tmp_path / "m"))
+    # every layer was written before the test step failed
+    assert spark.read.parquet(str(tmp_path / "m/gold/mart_provider_performance")).count() > 0
