@@ -32,18 +32,30 @@ def state_codes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STATE_CODES, STATE_CODES_SCHEMA)
 
 
-def read_state_codes_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Load the seed from its headered CSV file (state_code,state_name)."""
+# A seed file may hold at most this many rows: the lookup is broadcast.
+SEED_MAX_ROWS = 1000
+
+
+def read_state_codes_csv(spark: SparkSession, path: str, max_rows: int = SEED_MAX_ROWS) -> DataFrame:
+    """Load the seed from its headered CSV file (state_code,state_name).
+
+    The lookup is broadcast, so the file's size is checked here (a count
+    of a seed file) and an oversized one is refused."""
     raw = spark.read.option("header", True).schema("state_code string, state_name string").csv(path)
-    return raw.select(F.col("state_code").cast("bigint").alias("state_code"), "state_name")
+    seed = raw.select(F.col("state_code").cast("bigint").alias("state_code"), "state_name")
+    n = seed.count()
+    if n > max_rows:
+        raise ValueError(f"state seed {path} has {n} rows; a broadcast seed may have at most {max_rows}")
+    return seed
 
 
 def with_state_name(df: DataFrame, key, states: DataFrame, out: str, default: str = "Unknown") -> DataFrame:
     """LEFT join ``df`` to the seed on a numeric key expression and add
     ``out`` = state name, or ``default`` when the key does not map.
 
-    The seed is broadcast explicitly: its size is fixed at 53 rows, so this
-    is a map-side hash join that never shuffles ``df``.
+    The seed is broadcast explicitly: it is the built-in 53 rows, or a seed
+    file whose row count :func:`read_state_codes_csv` has checked, so this is
+    a map-side hash join that never shuffles ``df``.
     """
     seed = F.broadcast(states.select(F.col("state_code").alias("__state_code"),
                                      F.col("state_name").alias("__state_name")))

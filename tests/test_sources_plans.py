@@ -133,3 +133,11 @@ def test_medallion_strict_raises_on_failed_tests(spark, sf_small, tmp_path):
         run_medallion(spark, claims, codes, str(tmp_path / "m"))
     # every layer was written before the test step failed
     assert spark.read.parquet(str(tmp_path / "m/gold/mart_provider_performance")).count() > 0
+
+
+def test_oversized_seed_refused(spark, tmp_path):
+    p = tmp_path / "big_seed.csv"
+    p.write_text("state_code,state_name\n" + "\n".join(f"{i},S{i}" for i in range(20)) + "\n")
+    assert seeds.read_state_codes_csv(spark, str(p)).count() == 20
+    with pytest.raises(ValueError):
+        seeds.read_state_codes_csv(spark, str(p), max_rows=10)
