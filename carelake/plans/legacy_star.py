@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.operators import quality, questions, star
-from carelake.session import apply_conf
+from carelake.session import apply_conf, fit_shuffle_partitions
 from carelake.sources import claims_csv, icd_csv, seeds, sinks
 
 
@@ -58,5 +58,6 @@ def build_star_tables(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataF
 def run_star(spark: SparkSession, claims_path: str, icd_path: str, out_root: str) -> StarResult:
     """Run the legacy ETL from the raw text files."""
     raw = claims_csv.read_claims_csv(spark, claims_path, columns=list(star.V1_RENAMES))
+    fit_shuffle_partitions(spark, raw)
     icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
     return build_star_tables(spark, raw, icd_raw, seeds.state_codes(spark), out_root)

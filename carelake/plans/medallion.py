@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.operators import dedup, marts, model_tests, questions, staging
-from carelake.session import apply_conf
+from carelake.session import apply_conf, fit_shuffle_partitions
 from carelake.sources import claims_csv, icd_csv, seeds, sinks
 
 MARTS = ("mart_claims_summary", "mart_provider_performance", "mart_diagnosis_cost_analysis")
@@ -93,6 +93,7 @@ def run_medallion(spark: SparkSession, claims_path: str, icd_path: str, out_root
     claims_csv.require_source(spark, claims_path)
     tables = {}
     raw = claims_csv.read_claims_csv(spark, claims_path)
+    fit_shuffle_partitions(spark, raw)
     tables["claims_raw"] = sinks.write_table(raw, f"{out_root}/bronze/claims_raw")
     icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
     tables["icd_codes_raw"] = sinks.write_table(icd_raw, f"{out_root}/bronze/icd_codes_raw")

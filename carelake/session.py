@@ -74,3 +74,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex}"
+
+
+# Shuffle sizing: bytes of input per shuffle partition, and a ceiling.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def fit_shuffle_partitions(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES,
+                           max_partitions: int = MAX_SHUFFLE_PARTITIONS) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``df``'s input
+    gives about ``target_bytes`` per partition (never lowers the setting).
+
+    AQE coalesces partitions that turn out small but does not split big
+    ones, so the setting is the upper bound that keeps tasks in memory at
+    scale. The size is the optimizer's estimate (file sizes for a scan), so
+    nothing is read. Returns the setting in effect."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    needed = min(max_partitions, -(-size // target_bytes))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+        return needed
+    return current

@@ -141,3 +141,15 @@ def test_oversized_seed_refused(spark, tmp_path):
     assert seeds.read_state_codes_csv(spark, str(p)).count() == 20
     with pytest.raises(ValueError):
         seeds.read_state_codes_csv(spark, str(p), max_rows=10)
+
+
+def test_fit_shuffle_partitions(spark):
+    from carelake.session import fit_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.range(100_000)
+    try:
+        assert fit_shuffle_partitions(spark, df) == int(before)          # small input: unchanged
+        raised = fit_shuffle_partitions(spark, df, target_bytes=1024)     # ~800 KB / 1 KB
+        assert raised > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(raised)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
