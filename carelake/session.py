@@ -32,6 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CARELAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Long single-JVM runs (tests, bench): free finished jobs' shuffle
+        # files and broadcasts promptly.
+        .config("spark.cleaner.periodicGC.interval", "2min")
         # Whole-stage codegen emits methods above HotSpot's 8000-byte JIT
         # limit for wide projections; let the JIT compile them anyway.
         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
