@@ -93,9 +93,12 @@ def fit_shuffle_partitions(spark: SparkSession, df, target_bytes: int = TARGET_P
     ones, so the setting is the upper bound that keeps tasks in memory at
     scale. The size is the optimizer's estimate (file sizes for a scan), so
     nothing is read. Returns the setting in effect."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    needed = min(max_partitions, -(-size // target_bytes))
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM plan access (e.g. Spark Connect): keep the setting
+        return current
+    needed = min(max_partitions, -(-size // target_bytes))
     if needed > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
         return needed

@@ -30,10 +30,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     this adds no shuffle at scale. A hash partitioning (not round robin)
     keeps a recomputed partition identical after an executor loss.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(cores, key)
+    return df if splits >= cores else df.repartition(cores, key)
 
 
 def _s(c: Column) -> Column:
