@@ -62,7 +62,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     dir). Only when neither is set -- as in local tests -- a folder of our
     own is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no context access (e.g. Spark Connect): use the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return (configured or tempfile.mkdtemp(prefix="carelake-ckpt-")).rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
