@@ -150,20 +150,13 @@ def q_qc_summary(spark, sf):
 
 
 def q_qc_quarantine(spark, sf):
-    """Write the failing rows of each failed check, read back the
-    row count of every quarantine folder."""
+    """Quarantine the failing rows of every check, read back the
+    number of rows in each check's folder."""
     root = scratch_path(spark, "quarantine")
-    fact = fixtures.fact_dirty(spark, sf)
-    report = quality.run_quality_checks(fact, quarantine_root=root)
-    failed = [r["check_name"] for r in report.where("failed_rows > 0").select("check_name").collect()]
-    parts = [spark.read.option("header", True).csv(f"{root}/failed_{name}")
-                  .agg(F.count(F.lit(1)).alias("quarantined_rows"))
-                  .select(F.lit(name).alias("check_name"), "quarantined_rows")
-             for name in failed]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    quality.quarantine(fixtures.fact_dirty(spark, sf), root)
+    return (quality.read_quarantine(spark, root)
+            .groupBy(F.col("failed").alias("check_name"))
+            .agg(F.count(F.lit(1)).alias("quarantined_rows")))
 
 
 # ----------------------------------------------------- tests, freshness

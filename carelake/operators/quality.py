@@ -148,25 +148,38 @@ def all_passed(report: DataFrame) -> bool:
     return all(r["status"] == "PASSED" for r in report.select("status").collect())
 
 
+def quarantine(fact: DataFrame, root: str) -> str:
+    """Write every failing row under ``root/failed=<check>/``.
+
+    The five row-local checks share ONE scan: each row is tagged with the
+    checks it fails (a row failing two checks is written under both), and a
+    single partitioned write lays out the folders. The duplicate check needs
+    its join, so it appends its rows to the same layout."""
+    from carelake.sources.sinks import write_quarantine_partitioned
+
+    preds = _row_predicates()
+    cols = output_columns(fact)
+    tags = F.filter(F.array(*[F.when(preds[c.name], F.lit(c.name)) for c in CHECKS if c.name in preds]),
+                    lambda t: t.isNotNull())
+    write_quarantine_partitioned(fact.select(*cols, F.explode(tags).alias("failed")), root)
+    dups = failed_rows(fact, "duplicate_claim_id").select(*cols, F.lit("duplicate_claim_id").alias("failed"))
+    return write_quarantine_partitioned(dups, root, mode="append")
+
+
+def read_quarantine(spark, root: str) -> DataFrame:
+    """All quarantined rows, with the check they failed as column ``failed``."""
+    return spark.read.option("header", True).csv(root)
+
+
 def run_quality_checks(fact: DataFrame, dim_patient: DataFrame | None = None,
                        dim_provider: DataFrame | None = None, dim_diagnosis: DataFrame | None = None,
                        quarantine_root: str | None = None) -> DataFrame:
     """Q1-Q8: the report over ``fact``; with ``quarantine_root``, also write
-    the failing rows of every failed check to ``failed_<check>`` (S11).
+    the failing rows of every failed check there (see :func:`quarantine`).
 
     The dimensions are accepted for interface parity; all six rules read
-    only the fact table. The returned report is computed once and cached
-    for the quarantine decision (six rows).
-    """
-    from carelake.sources.sinks import run_concurrently, write_quarantine
-
+    only the fact table."""
     report = quality_report(fact)
-    if quarantine_root is None:
-        return report
-    report = report.cache()
-    failing = [r["check_name"] for r in report.where(F.col("failed_rows") > 0).select("check_name").collect()]
-    cols = output_columns(fact)
-    run_concurrently({
-        name: (lambda n=name: write_quarantine(failed_rows(fact, n).select(*cols), quarantine_root, n))
-        for name in failing})
+    if quarantine_root is not None:
+        quarantine(fact, quarantine_root)
     return report

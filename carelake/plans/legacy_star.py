@@ -41,7 +41,6 @@ def build_star_tables(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataF
     report = quality.run_quality_checks(star.fact_with_order(staged), pat, prov, diag,
                                         quarantine_root=f"{out_root}/quarantine")
     res.tables["quality_report"] = sinks.write_table(report, f"{out_root}/reports/quality")
-    report.unpersist()
     res.report = read(res.tables["quality_report"])
     split = {"fact_claims": fact, "dim_patient": pat, "dim_provider": prov, "dim_diagnosis": diag}
     if quality.all_passed(res.report):

@@ -102,6 +102,16 @@ def load_star(tables: dict[str, DataFrame], root: str, check_keys: bool = True)
     return out
 
 
+def write_quarantine_partitioned(tagged: DataFrame, root: str, mode: str = "overwrite") -> str:
+    """Quarantined rows tagged with a ``failed`` column (the check
+    name), written as headered CSV partitioned by it:
+    ``root/failed=<check>/``. A check without failing rows gets no folder."""
+    (tagged.write.mode(mode).partitionBy("failed").option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(root))
+    return root
+
+
 def write_quarantine(failed: DataFrame, root: str, check_name: str) -> str:
     """The failing rows of one check as a headered CSV folder
     ``root/failed_<check>`` (call only when the check found rows)."""

@@ -44,8 +44,10 @@ def test_report_summary_and_quarantine(spark, tmp_path):
     rows = {r.check_name: r for r in report.collect()}
     assert rows["duplicate_claim_id"].failed_rows == 1 and rows["duplicate_claim_id"].status == "FAILED"
     assert rows["null_claim_id"].status == "PASSED"
-    assert (tmp_path / "failed_duplicate_claim_id").exists()
-    assert not (tmp_path / "failed_null_claim_id").exists()
+    assert (tmp_path / "failed=duplicate_claim_id").exists()
+    assert not (tmp_path / "failed=null_claim_id").exists()
+    back = quality.read_quarantine(spark, str(tmp_path))
+    assert back.where("failed = 'duplicate_claim_id'").count() == 1
     s = quality.quality_summary(report).collect()[0]
     assert (s.checks_passed, s.checks_total, s.pass_rate_pct, s.verdict) == (5, 6, 83, "review quarantine")
     assert not quality.all_passed(report)
