@@ -244,6 +244,18 @@ def q_providers_top100(spark, sf):
     return questions.providers_top_paid(_norm_providers(_providers(spark, sf)), sql_audit.DEFAULT_ROW_LIMIT)
 
 
+ADHOC_SQL = ("SELECT state, ROUND(SUM(total_paid), 4) AS total_paid, SUM(total_claims) AS total_claims "
+             "FROM mart_claims_summary GROUP BY state")
+
+
+def q_adhoc_state_totals(spark, sf):
+    """S14 with G1-G5: an ad-hoc SQL text over the summary mart's view,
+    checked by the guardrails (which add LIMIT 100) and run by spark.sql.
+    At most 54 state rows, so the limit cuts nothing."""
+    _summary(spark, sf).createOrReplaceTempView("mart_claims_summary")
+    return sql_audit.run_query(spark, ADHOC_SQL)
+
+
 def q_mart_preview(spark, sf):
     """Five rows of the summary mart (which ones is unspecified)."""
     return questions.preview(_norm_summary(_summary(spark, sf)), 5)
@@ -334,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_summary_top5": q_summary_top5,
     "q_providers_top100": q_providers_top100,
     "mart_preview": q_mart_preview,
+    "adhoc_state_totals": q_adhoc_state_totals,
     "csv_roundtrip_claims": q_csv_roundtrip_claims,
     "csv_roundtrip_icd": q_csv_roundtrip_icd,
     "sql_audit": q_sql_audit,
