@@ -34,9 +34,14 @@ def integral_key(c) -> Column:
     return F.when(d % 1 == 0, d.try_cast("bigint"))
 
 
+WHITESPACE = r"[ \t\n\x0B\f\r]"
+
+
 def strip_ws(c) -> Column:
-    """Remove leading and trailing whitespace of any kind (tabs, newlines)."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace of any kind (spaces, tabs,
+    newlines) -- what a warehouse TRIM() or Python's str.strip() removes,
+    where Spark's ``trim`` only removes spaces."""
+    return F.regexp_replace(col_(c), rf"^{WHITESPACE}+|{WHITESPACE}+\z", "")
 
 
 def iso_date_text(c) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.functions.columns import non_negative_amount
+from carelake.functions.columns import non_negative_amount, strip_ws
 from carelake.schemas import RAW_TO_STAGED
 
 
@@ -26,13 +26,15 @@ def stg_claims(claims_raw: DataFrame) -> DataFrame:
 
 def stg_icd_codes(icd_raw: DataFrame) -> DataFrame:
     """Upper-cased, trimmed code; trimmed description and category.
-    Rows with a NULL code are dropped (an empty code survives). Codes are
-    not de-duplicated: a doubled code fans out in the joins that use it."""
+    Trimming removes all surrounding whitespace (tabs too), like the
+    warehouse TRIM. Rows with a NULL code are dropped (an empty code
+    survives). Codes are not de-duplicated: a doubled code fans out in the
+    joins that use it."""
     hidden = [c for c in icd_raw.columns if c.startswith("_")]
     return icd_raw.where(F.col("code").isNotNull()).select(
-        F.trim(F.upper("code")).alias("diagnosis_code"),
-        F.trim("description").alias("diagnosis_description"),
-        F.trim("category").alias("diagnosis_category"),
+        strip_ws(F.upper("code")).alias("diagnosis_code"),
+        strip_ws("description").alias("diagnosis_description"),
+        strip_ws("category").alias("diagnosis_category"),
         *hidden,
     )
 
