@@ -13,7 +13,11 @@ Conventions that every operator of this package keeps:
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +77,29 @@ def unpack(df: DataFrame, outputs: list[str]) -> DataFrame:
     return df.select(*[F.col(ROW)[f].alias(f) for f in kept], *outputs)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(), f"{top.name}-py.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for f in sorted(top.rglob("*.py")):
+            out.write(f, f.relative_to(top.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, body, schema) -> DataFrame:
+    """``mapInArrow`` with a body from this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(body, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in batches small enough to hold as Python objects."""
     for batch in batches:
