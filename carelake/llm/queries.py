@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import language_id, quality_rules
+from carelake.llm import language_id, quality_rules, simhash_dedup
 from carelake.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     known = language_id.collect_profiles(language_id.train_profiles(docs.where(~language_id.held_out())))
@@ -24,4 +28,4 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_language_id, op10_quality_rules)}
+    return {f.__name__: f for f in (op4_simhash_dedup, op6_language_id, op10_quality_rules)}
