@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import language_id, quality_rules, simhash_dedup
+from carelake.llm import language_id, packing, quality_rules, simhash_dedup
 from carelake.llm.common import table
 
 
@@ -16,6 +17,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.PATTERN, carry=["doc_id"])
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,4 +34,4 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_dedup, op6_language_id, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op6_language_id, op10_quality_rules)}
