@@ -61,5 +61,23 @@ FROM r
 """
 
 
+# Every window of 35 words, counted as its own text over the corpus.
+SUBSTRINGS = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
+win AS (
+  SELECT rid, u.i AS i, md5(array_to_string(words[u.i:u.i + 34], ' ')) AS k
+  FROM d, unnest(range(1, len(words) - 33)) AS u(i)),
+twice AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY k) > 1),
+gone AS (SELECT DISTINCT rid, i + o.j AS i FROM twice, unnest(range(0, 35)) AS o(j)),
+word AS (SELECT rid, u.i AS i, words[u.i] AS w FROM d, unnest(range(1, len(words) + 1)) AS u(i)),
+kept AS (
+  SELECT rid, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS t
+  FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": QUALITY}
+    return {"op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY}

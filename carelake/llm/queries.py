@@ -7,9 +7,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carelake.llm import language_id, packing, quality_rules, simhash_dedup
-from carelake.llm.common import table
+from carelake.llm import language_id, packing, quality_rules, simhash_dedup, substring_dedup
+from carelake.llm.common import ROW, table
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return done.select(F.col(f"{ROW}.doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,4 +40,4 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op6_language_id, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op6_language_id, op8_substring_dedup, op10_quality_rules)}
