@@ -159,13 +159,14 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     f_source = fences(by_source, ["g_lang", "g_source"]).select(
         F.col("g_lang").alias("t_lang"), F.col("g_source").alias("t_source"), F.col("rows").alias("r1"), F.col("limits").alias("l1"))
     f_lang = fences(by_lang, ["g_lang"]).select(F.col("g_lang").alias("u_lang"), F.col("rows").alias("r2"), F.col("limits").alias("l2"))
-    f_all = fences(overall, []).select(F.col("limits").alias("l3"), F.lit(1).alias("one"))
+    widest = fences(overall, []).first()  # one row of limits
+    f_all = F.struct(*[F.lit(widest.limits[m]).cast("long").alias(m) for m in MEASURES]) if widest and widest.limits \
+        else F.lit(None).cast("struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">")
     # One fence per (language, source) that occurs: its own, else the wider group's.
     chosen = (f_source.join(f_lang, F.col("t_lang").eqNullSafe(F.col("u_lang")), "left")
-              .withColumn("one0", F.lit(1)).join(f_all, F.col("one0") == F.col("one"), "left")
               .select("t_lang", "t_source",
                       F.when(F.col("r1") >= min_group, F.col("l1")).when(F.col("r2") >= min_group, F.col("l2"))
-                      .otherwise(F.col("l3")).alias("limits")))
+                      .otherwise(f_all).alias("limits")))
     joined = measured.join(chosen, F.col("g_lang").eqNullSafe(F.col("t_lang"))
                            & F.col("g_source").eqNullSafe(F.col("t_source")), "left")
     over = F.lit(False)
