@@ -47,10 +47,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_WRITTEN: list[str] = []
+
+
+def take_written() -> list[str]:
+    """The scratch tables written since the last call."""
+    paths = _WRITTEN[:]
+    _WRITTEN.clear()
+    return paths
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that no frame will read any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

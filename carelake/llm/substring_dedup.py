@@ -305,10 +305,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(remove, schema)
 
 
-def strip_documents(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+def strip_documents(docs: DataFrame, text: str = "text", length: str | None = None, window: int = WINDOW) -> DataFrame:
     """``docs`` with the words left as the text of the rows that lost some
-    (joined by one space); the other rows keep their text as it is."""
+    (joined by one space), and its length in the column ``length``; the other
+    rows stay as they are."""
     others = [c for c in docs.columns if c != text]
     done = remove_repeats(docs, text, others, window)
-    new = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    return done.select(*[new.alias(c) if c == text else F.col(ROW)[c].alias(c) for c in docs.columns])
+    lost = F.col("n_removed") > 0
+    new = {text: F.when(lost, F.col("kept")).otherwise(F.col("text"))}
+    if length:
+        old = F.col(ROW)[length]
+        new[length] = F.when(lost, F.length("kept").cast(docs.schema[length].dataType)).otherwise(old)
+    return done.select(*[new.get(c, F.col(ROW)[c] if c != text else None).alias(c) for c in docs.columns])
