@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import language_id, packing, quality_rules, simhash_dedup, substring_dedup
+from carelake.llm import language_id, packing, piece_codec, quality_rules, simhash_dedup, substring_dedup
 from carelake.llm.common import ROW, table
 
 
@@ -32,6 +32,15 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_codec.encode(table(spark, sf_dir, "documents"), model, carry=["doc_id"])
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    decoded = piece_codec.decode(encoded.withColumns({"n_tokens": F.size("ids").cast("long"), "ids_sha256": digest}), model,
+                                 carry=["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     known = language_id.collect_profiles(language_id.train_profiles(docs.where(~language_id.held_out())))
@@ -40,4 +49,4 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op6_language_id, op8_substring_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op8_substring_dedup, op10_quality_rules)}
