@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import language_id, packing, piece_codec, quality_rules, simhash_dedup, substring_dedup
+from carelake.llm import chat_format, language_id, packing, piece_codec, quality_rules, simhash_dedup, substring_dedup
 from carelake.llm.common import ROW, table
 
 
@@ -18,6 +18,14 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col(f"{ROW}.doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The conversation that imitates marks: its texts are control strings.
+    imitation = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                      "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(imitation)
+    return chat_format.digest_conversations(chat_format.format_conversations(turns))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
@@ -49,4 +57,5 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op8_substring_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op8_substring_dedup, op9_chat_format,
+                                       op10_quality_rules)}
