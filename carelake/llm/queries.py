@@ -9,10 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import chat_format, language_id, packing, piece_codec, quality_rules, simhash_dedup, substring_dedup
+from carelake.llm import chat_format, language_id, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
 from carelake.llm.common import ROW, table
 
 
+SHARDS = 40
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text).cast("long") + 16).alias("size"), F.crc32(text).alias("text_crc32"))
+    placed = sharding.assign_shards(docs, SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return done.select(F.col(f"{ROW}.doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -57,5 +69,5 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op8_substring_dedup, op9_chat_format,
+    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op7_sharding, op8_substring_dedup, op9_chat_format,
                                        op10_quality_rules)}
