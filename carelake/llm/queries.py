@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import chat_format, language_id, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
+from carelake.llm import ann_graph, chat_format, language_id, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
 from carelake.llm.common import ROW, table
 
 
@@ -43,6 +43,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op1_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_graph.nearest(table(spark, sf_dir, "embeddings"), wanted=5, query=F.col("id") % 50 == 0)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                         public_tokenizers.PATTERN, carry=["doc_id"])
@@ -69,5 +73,5 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op7_sharding, op8_substring_dedup, op9_chat_format,
+    return {f.__name__: f for f in (op1_ann_graph, op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op7_sharding, op8_substring_dedup, op9_chat_format,
                                        op10_quality_rules)}
