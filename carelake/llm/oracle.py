@@ -79,5 +79,44 @@ FROM d LEFT JOIN kept USING (rid)
 """
 
 
+def _licenses() -> str:
+    """Units joined to templates whose bigram count is in range; shared bigrams
+    are counted as the smaller of both counts."""
+    from carelake.llm.license_scan import TEMPLATES
+
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    values = ", ".join(f"({i}, {quote(name)}, {quote(text)})" for i, (name, text) in enumerate(TEMPLATES))
+    words = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')".format
+    return rf"""
+WITH tpl AS (SELECT t, license, {words('text')} AS words FROM (VALUES {values}) AS v(t, license, text)),
+tgram AS (SELECT t, words[u.i] || ' ' || words[u.i + 1] AS g, count(*) AS c
+  FROM tpl, unnest(range(1, len(words))) AS u(i) GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+raw AS (
+  SELECT rid, text AS unit FROM d
+  UNION ALL SELECT rid, unnest(string_split(text, chr(10))) FROM d
+  UNION ALL SELECT rid, unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) FROM d),
+unit AS (
+  SELECT row_number() OVER () AS uid, rid, words, len(words) - 1 AS n
+  FROM (SELECT DISTINCT rid, {words('unit')} AS words FROM raw) WHERE len(words) > 1),
+pair AS (
+  SELECT uid, rid, unit.words, unit.n, t, license, len(tpl.words) - 1 AS m
+  FROM unit JOIN tpl ON unit.n * 6 >= (len(tpl.words) - 1) * 4 AND unit.n * 4 <= (len(tpl.words) - 1) * 6),
+ugram AS (
+  SELECT uid, words[u.i] || ' ' || words[u.i + 1] AS g, count(*) AS c
+  FROM (SELECT DISTINCT uid, words FROM pair), unnest(range(1, len(words))) AS u(i) GROUP BY ALL),
+hit AS (
+  SELECT uid, rid, t, license, m, 2.0::DOUBLE * sum(least(ugram.c, tgram.c)) / any_value(n + m) AS score
+  FROM pair JOIN ugram USING (uid) JOIN tgram USING (t, g) GROUP BY uid, rid, t, license, m
+  HAVING 2.0::DOUBLE * sum(least(ugram.c, tgram.c)) / any_value(n + m) >= 0.8),
+best AS (
+  SELECT rid, license, score FROM hit
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, m DESC, license DESC) = 1),
+al AS (SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) AS n_matches FROM hit GROUP BY rid)
+SELECT doc_id, best.license, coalesce(score, 0.0::DOUBLE) AS score, coalesce(licenses, '') AS licenses, coalesce(n_matches, 0)::BIGINT AS n_matches
+FROM d LEFT JOIN best USING (rid) LEFT JOIN al USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY}
+    return {"op3_license_scan": _licenses(), "op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import ann_graph, chat_format, language_id, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
+from carelake.llm import ann_graph, chat_format, language_id, license_scan, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
 from carelake.llm.common import ROW, table
 
 
@@ -52,6 +52,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.PATTERN, carry=["doc_id"])
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select("doc_id", "license", "score", F.array_join("licenses", ",").alias("licenses"), "n_matches")
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -73,5 +78,5 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ann_graph, op2_packing, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op7_sharding, op8_substring_dedup, op9_chat_format,
+    return {f.__name__: f for f in (op1_ann_graph, op2_packing, op3_license_scan, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op7_sharding, op8_substring_dedup, op9_chat_format,
                                        op10_quality_rules)}
