@@ -13,6 +13,7 @@ Conventions that every operator of this package keeps:
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -76,19 +77,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished jobs now: it acts
-    when the driver's garbage is collected, which small plans put off."""
+    when the driver's garbage is collected, which small plans put off. The
+    frames let go of here hold the plans there."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
-def keyed_rows(docs: DataFrame, name: str, **columns: Column) -> DataFrame:
-    """A written table (``KEY``, ``ROW``, the given columns): every input row
-    with a unique long key that stays the same for all later reads."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)
-    keyed = docs.select(F.monotonically_increasing_id().alias(KEY), row,
-                        *[c.alias(n) for n, c in columns.items()])
-    return materialise(keyed, name)
-
-
 def unpack(df: DataFrame, outputs: list[str]) -> DataFrame:
     """The columns of ``ROW`` but those named like an output, then the outputs."""
     taken = {n.lower() for n in outputs}

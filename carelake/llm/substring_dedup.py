@@ -36,14 +36,17 @@ pass through.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.llm.common import KEY, ROW, materialise, release_shuffles, ship_package
+from carelake.llm.common import ROW, map_arrow, materialise, release_shuffles, ship_package, slices
 
 WINDOW = 35
 ROUNDS = ("run", "pair", "pair", "pair", "pair")
@@ -156,14 +159,13 @@ def _received(names: np.ndarray, buckets: int, answers: pa.Table) -> np.ndarray:
     return found
 
 
-SENT = "chunk long, bucket long, names binary, check binary, plan binary"
+SENT = "chunk long, bucket long, names binary, check binary"
 
 
-def _sent_table(chunk: int, parts: list[tuple[int, bytes, bytes]], plan: bytes | None = None) -> pa.Table:
-    rows = [(chunk, b, n, c, None) for b, n, c in parts] + ([(chunk, -1, None, None, plan)] if plan is not None else [])
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-                    names=["chunk", "bucket", "names", "check", "plan"])
+def _sent_table(chunk: int, parts: list[tuple[int, bytes, bytes]]) -> pa.Table:
+    return pa.table([pa.array([chunk] * len(parts), pa.int64()), pa.array([p[0] for p in parts], pa.int64()),
+                     pa.array([p[1] for p in parts], pa.binary()), pa.array([p[2] for p in parts], pa.binary())],
+                    names=["chunk", "bucket", "names", "check"])
 
 
 def elsewhere(sent: DataFrame) -> DataFrame:
@@ -192,12 +194,42 @@ def elsewhere(sent: DataFrame) -> DataFrame:
         return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))],
                         names=["chunk", "bucket", "bits"])
 
-    return sent.where("bucket >= 0").select("chunk", "bucket", "names", "check").groupBy("bucket").applyInArrow(
-        compare, "chunk long, bucket long, bits binary")
+    return sent.groupBy("bucket").applyInArrow(compare, "chunk long, bucket long, bits binary")
+
+
+def _gather(row_type: T.StructType):
+    """Consecutive rows of a task as chunks: the carried rows in an array, the
+    texts compressed together."""
+    names = ["rows", "texts"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def chunk() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            sink = pa.BufferOutputStream()
+            texts = table.select(["text"])
+            with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(texts)
+            rows = table.column(ROW).combine_chunks()
+            rows = rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                                               pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=names)
 
+        for batch in slices(batches, 64):
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size >= CHUNK_BYTES:
+                yield chunk()
+                held, size = [], 0
+        if held:
+            yield chunk()
 
-def _ordered(chunk: pa.Table) -> pa.Table:
-    return chunk.sort_by(KEY)
+    return run, T.StructType([T.StructField("rows", T.ArrayType(row_type)), T.StructField("texts", T.BinaryType())])
+
+
+def _texts(chunk: pa.Table) -> list[str | None]:
+    return pa.ipc.open_stream(chunk.column("texts")[0].as_py()).read_all().column("text").to_pylist()
 
 
 def candidates(words: Words, window: int, once: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -219,90 +251,81 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     spark = docs.sparkSession
     ship_package(spark)
     carry = [c for c in docs.columns if c != text] if carry is None else carry
-    # A struct needs a field; the row key serves for tables of texts alone.
+    # A struct needs a field: one of our own for tables of texts alone.
     row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(True).alias("_"))
-    keyed = materialise(docs.select(F.monotonically_increasing_id().alias(KEY), row.alias(ROW),
-                                    F.col(text).cast("string").alias("text"), F.octet_length(F.col(text).cast("string")).alias("size")),
-                        "substring-rows")
-    total = keyed.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
-    chunks = max(1, -(-total // CHUNK_BYTES))
-    buckets = max(1, -(-chunks // BUCKET_CHUNKS))
-    dealt = keyed.select(F.pmod(F.xxhash64(KEY), F.lit(chunks)).alias("chunk"), KEY, ROW, "text")
-    texts = dealt.select("chunk", KEY, "text")
-
-    def send_pairs(key: tuple, chunk: pa.Table) -> pa.Table:
-        pairs, _, _ = symbol_pairs(Words(_ordered(chunk).column("text").to_pylist()), window)
-        return _sent_table(key[0].as_py(), _send(np.unique(pairs), None, buckets))
-
-    shared = materialise(elsewhere(texts.groupBy("chunk").applyInArrow(send_pairs, SENT)), "substring-pairs")
+    rows = docs.select(row.alias(ROW), F.col(text).cast("string").alias("text"))
+    gather, schema = _gather(rows.schema[ROW].dataType)
+    chunks = materialise(map_arrow(rows, gather, schema).withColumn("chunk", F.monotonically_increasing_id()), "substring-chunks")
+    buckets = max(1, -(-chunks.count() // BUCKET_CHUNKS))
+    texts = chunks.select("chunk", "texts")
+
+    def send_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            pairs, _, _ = symbol_pairs(Words(_texts(batch)), window)
+            yield from _sent_table(batch.column("chunk")[0].as_py(), _send(np.unique(pairs), None, buckets)).to_batches()
+
+    pairs = elsewhere(map_arrow(texts, send_pairs, SENT)).withColumn("kind", F.lit("pairs"))
+    pairs = materialise(pairs, "substring-pairs")
     release_shuffles(spark)
 
-    def send_windows(key: tuple, chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        if not chunk.num_rows:
-            return _sent_table(0, [])
-        words = Words(_ordered(chunk).column("text").to_pylist())
+    def open_windows(chunk: pa.Table, answers: pa.Table):
+        """The windows of a chunk that may be repeated: texts' words, starts,
+        number of each in the sorted distinct hashes, those (two parts)."""
+        words = Words(_texts(chunk))
         pairs, begin, end = symbol_pairs(words, window)
         names, at, count = np.unique(pairs, return_inverse=True, return_counts=True)
-        shared_here = (count > 1) | _received(names, buckets, answers)
-        starts = candidates(words, window, ~shared_here[at], begin, end)
+        shared = (count > 1) | _received(names, buckets, answers.filter(pa.compute.equal(answers.column("kind"), "pairs")))
+        starts = candidates(words, window, ~shared[at], begin, end)
         if not len(starts):
-            return _sent_table(0, [])
+            return words, starts, starts, np.empty(0, U), np.empty(0, U)
         high, low = window_hashes(words.high, window)[starts], window_hashes(words.low, window)[starts]
         order = np.lexsort((low, high))
         high, low = high[order], low[order]
         new = np.concatenate(([True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])))
-        number = np.cumsum(new) - 1
         which = np.empty(len(starts), dtype=np.int64)
-        which[order] = number
-        names = high[new]
-        twice = np.bincount(number) > 1
-        plan = pa.table({"starts": [starts.astype(np.int32)], "which": [which.astype(np.int32)], "names": [(names >> U(32)).astype(np.uint32)], "twice": [twice]})
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, plan.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_table(plan)
-        return _sent_table(key[0].as_py(), _send(names, low[new], buckets), sink.getvalue().to_pybytes())
-
-    windows = materialise(texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(send_windows, SENT), "substring-windows")
-    release_shuffles(spark)
-    answers = materialise(elsewhere(windows).select("chunk", "bucket", "bits", F.lit(None).cast("binary").alias("plan"))
-                          .unionByName(windows.where("bucket < 0").select("chunk", "bucket", F.lit(None).cast("binary").alias("bits"), "plan")),
-                          "substring-repeats")
+        which[order] = np.cumsum(new) - 1
+        return words, starts, which, high[new], low[new]
+
+    def send_windows(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        if not chunk.num_rows:
+            return _sent_table(0, [])
+        _, _, _, high, low = open_windows(chunk, answers)
+        return _sent_table(chunk.column("chunk")[0].as_py(), _send(high, low, buckets))
+
+    sent = texts.groupBy("chunk").cogroup(pairs.groupBy("chunk")).applyInArrow(send_windows, SENT)
+    repeats = materialise(elsewhere(sent).withColumn("kind", F.lit("windows")), "substring-windows")
     release_shuffles(spark)
     span = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([dealt.schema[ROW], T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
+    schema = T.StructType([T.StructField(ROW, chunks.schema["rows"].dataType.elementType), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("removed", span), T.StructField("kept", T.StringType())])
 
     def remove(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = _ordered(chunk)
-        texts_here = chunk.column("text").to_pylist()
-        words = [(t or "").encode().split() for t in texts_here]
-        counts = np.array([len(w) for w in words], dtype=np.int64)
-        begins = np.concatenate(([0], np.cumsum(counts + 1)))[:-1] if len(words) else counts
-        change = np.zeros(int(counts.sum()) + len(words) + 1, dtype=np.int64)
-        for raw in answers.column("plan").to_pylist():
-            if raw is not None:
-                plan = pa.ipc.open_stream(raw).read_all().to_pydict()
-                names = np.array(plan["names"][0], dtype=U) << U(32)
-                repeated = np.array(plan["twice"][0], dtype=bool) | _received(names, buckets, answers)
-                starts = np.array(plan["starts"][0], dtype=np.int64)[repeated[np.array(plan["which"][0], dtype=np.int64)]]
-                change += np.bincount(starts, minlength=len(change)) - np.bincount(starts + window, minlength=len(change))
+        kinds = [pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
+        if not chunk.num_rows:
+            return pa.table([chunk.column("rows").combine_chunks().flatten(), pa.array([], pa.string()), pa.array([], pa.int64()),
+                             pa.array([], pa.int64()), pa.array([], kinds[0]), pa.array([], pa.string())], names=schema.names)
+        words, starts, which, high, _ = open_windows(chunk, answers)
+        repeated = (np.bincount(which, minlength=len(high)) > 1) | _received(
+            high, buckets, answers.filter(pa.compute.equal(answers.column("kind"), "windows")))
+        starts = starts[repeated[which]]
+        change = np.bincount(starts, minlength=len(words.gap) + 1) - np.bincount(starts + window, minlength=len(words.gap) + 1)
         covered = np.cumsum(change) > 0
-        n_removed, removed, kept = [], [], []
-        for own, at, n in zip(words, begins.tolist(), counts.tolist()):
-            gone = covered[at:at + n]
+        n_words, n_removed, removed, kept = [], [], [], []
+        for own, at in zip(words.words, words.begins.tolist()):
+            gone = covered[at:at + len(own)]
+            n_words.append(len(own))
             n_removed.append(int(gone.sum()))
+            spans = []
             if n_removed[-1]:
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).tolist()
-                removed.append([{"begin": a, "end": b} for a, b in zip(edges[::2], edges[1::2])])
+                spans = [{"begin": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
                 own = [w for w, g in zip(own, gone.tolist()) if not g]
-            else:
-                removed.append([])
+            removed.append(spans)
             kept.append(b" ".join(own).decode())
-        return pa.table([chunk.column(ROW), chunk.column("text"), pa.array(counts), pa.array(n_removed, pa.int64()),
-                         pa.array(removed, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())],
-                        names=schema.names)
+        return pa.table([chunk.column("rows").combine_chunks().flatten(), pa.array(_texts(chunk), pa.string()), pa.array(n_words, pa.int64()),
+                         pa.array(n_removed, pa.int64()), pa.array(removed, kinds[0]), pa.array(kept, pa.string())], names=schema.names)
 
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(remove, schema)
+    return chunks.groupBy("chunk").cogroup(pairs.union(repeats).groupBy("chunk")).applyInArrow(remove, schema)
 
 
 def strip_documents(docs: DataFrame, text: str = "text", length: str | None = None, window: int = WINDOW) -> DataFrame:
