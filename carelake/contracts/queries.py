@@ -17,6 +17,7 @@ from carelake.operators import (dedup, freshness, marts, quality, questions, sql
                                 star)
 from carelake.plans.legacy_star import build_star_tables, run_star
 from carelake.plans.medallion import build_models, run_medallion
+from carelake.schemas import RAW_CLAIM_COLUMNS
 from carelake.session import apply_conf, scratch_path
 from carelake.sources import claims_csv, fixtures, icd_csv, seeds, sinks
 
@@ -150,13 +151,10 @@ def q_qc_summary(spark, sf):
 
 
 def q_qc_quarantine(spark, sf):
-    """Quarantine the failing rows of every check, read back the
-    number of rows in each check's folder."""
-    root = scratch_path(spark, "quarantine")
-    quality.quarantine(fixtures.fact_dirty(spark, sf), root)
-    return (quality.read_quarantine(spark, root)
-            .groupBy(F.col("failed").alias("check_name"))
-            .agg(F.count(F.lit(1)).alias("quarantined_rows")))
+    """Quarantine the failing rows of every check and read them back."""
+    fact = fixtures.fact_dirty(spark, sf)
+    paths = quality.quarantine(fact, scratch_path(spark, "quarantine"))
+    return quality.read_quarantine(spark, paths, fact.select(*quality.output_columns(fact)).schema)
 
 
 # ----------------------------------------------------- tests, freshness
@@ -211,12 +209,14 @@ def q_kpi_yearly_cost(spark, sf):
 
 
 def q_row_counts(spark, sf):
-    """Rows of every step of both runs, as each run reports them."""
-    bronze = _fixture_bronze(spark, sf)
-    models = _fixture_models(spark, sf, bronze)
-    stars = build_star_tables(spark, bronze, fixtures.icd_codes_raw(spark, sf),
-                              seeds.state_codes(spark), scratch_path(spark, "star"))
-    return models.row_counts.unionByName(stars.row_counts)
+    """Rows of every step of both runs, in one plan of pruned counts."""
+    fact, patients, providers, diagnoses = _star(spark, sf)
+    return questions.row_counts({
+        "claims_raw": fixtures.claims_raw(spark, sf), "stg_claims": _stg(spark, sf),
+        "int_claims_deduplicated": _int_claims(spark, sf), "stg_icd_codes": _icd(spark, sf),
+        "mart_claims_summary": _summary(spark, sf), "mart_provider_performance": _providers(spark, sf),
+        "mart_diagnosis_cost_analysis": _diagnoses(spark, sf),
+        "fact_claims": fact, "dim_patient": patients, "dim_provider": providers, "dim_diagnosis": diagnoses})
 
 
 def q_top_state_paid(spark, sf):
@@ -257,18 +257,27 @@ def q_adhoc_state_totals(spark, sf):
 
 
 def q_mart_preview(spark, sf):
-    """Five rows of the summary mart (which ones is unspecified)."""
-    return questions.preview(_norm_summary(_summary(spark, sf)), 5)
+    """Five rows of the summary mart; which ones is unspecified, so the
+    result is how many came and how many of them are rows of the mart."""
+    mart = _norm_summary(_summary(spark, sf))
+    keys = mart.columns[:5]
+    shown = questions.preview(mart, 5).select(*[F.col(c).alias(f"p_{c}") for c in keys])
+    same = None
+    for c in keys:
+        one = F.col(f"p_{c}").eqNullSafe(mart[c])
+        same = one if same is None else same & one
+    found = shown.join(mart.select(*keys).distinct(), same, "left_semi")
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    return count(shown, "rows_shown").withColumn("k", F.lit(1)).join(count(found, "rows_found").withColumn("k", F.lit(1)), "k").drop("k")
 
 
 # --------------------------------------------------------- sources, sinks
 
 def _write_claims_csv(spark, sf) -> str:
-    """The wide raw claims text file: every claim's lines in one part file,
-    in the synthetic file order."""
+    """The wide raw claims text, in several part files that follow each other
+    in the synthetic file order; a claim's lines may be in two of them."""
     wide = fixtures.claims_raw_wide(spark, sf, ingest_order=True)
-    # All lines of a claim go to one file, in file order inside it.
-    ordered = (wide.repartition("CLM_ID").sortWithinPartitions(claims_csv.INGEST_ORDER)
+    ordered = (wide.repartitionByRange(claims_csv.INGEST_ORDER).sortWithinPartitions(claims_csv.INGEST_ORDER)
                    .drop(claims_csv.INGEST_ORDER))
     return sinks.write_claims_csv(ordered, scratch_path(spark, "claims_csv"))
 
@@ -282,10 +291,31 @@ def _write_icd_csv(spark, sf) -> str:
 def q_csv_roundtrip_claims(spark, sf):
     """Write the raw claims as '|' text with extra columns before and
     between the used ones, read back by header name."""
-    back = claims_csv.read_claims_csv(spark, _write_claims_csv(spark, sf), ingest_order=False)
+    back = claims_csv.read_claims_csv(spark, _write_claims_csv(spark, sf), columns=RAW_CLAIM_COLUMNS, ingest_order=False)
     return back.withColumns({c: F.col(c).cast("double") for c in ("CLM_PMT_AMT", "CLM_TOT_CHRG_AMT")})
 
 
+def q_bronze_claims(spark, sf):
+    """Every column of the text file lands in bronze as it is."""
+    raw = claims_csv.read_claims_csv(spark, _write_claims_csv(spark, sf), ingest_order=False)
+    bronze = spark.read.parquet(sinks.write_table(raw, scratch_path(spark, "bronze")))
+    # Numbers as text differ in form between engines; compare their values.
+    return bronze.withColumns({c: F.col(c).cast("double") for c in (
+        "CLM_PMT_AMT", "CLM_TOT_CHRG_AMT", "NCH_NEAR_LINE_REC_IDENT_CD", "NCH_PRMRY_PYR_CLM_PD_AMT", "CLM_UTLZTN_DAY_CNT")})
+
+
+def q_star_from_files(spark, sf):
+    """W2-W5 from text files: the first row by file order, dimensions in one list."""
+    raw = claims_csv.read_claims_csv(spark, _write_claims_csv(spark, sf), columns=list(star.V1_RENAMES))
+    icd = icd_csv.read_icd_csv(spark, _write_icd_csv(spark, sf), ingest_order=True)
+    raw = spark.read.parquet(sinks.write_table(raw, scratch_path(spark, "star_raw")))
+    icd = spark.read.parquet(sinks.write_table(icd, scratch_path(spark, "star_icd")))
+    fact, patients, providers, diagnoses = star.build_star(raw, icd, seeds.state_codes(spark))
+    rows = lambda df, name: df.select(F.lit(name).alias("dimension"), F.col(df.columns[0]).alias("key"),
+                                      F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in df.columns[1:]]).alias("value"))
+    return rows(patients, "patient").union(rows(providers, "provider")).union(rows(diagnoses, "diagnosis"))
+
+
 def q_csv_roundtrip_icd(spark, sf):
     """Six-column headerless file -> (code, description, category)
     -> canonical headered file -> read back."""
@@ -349,6 +379,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "adhoc_state_totals": q_adhoc_state_totals,
     "csv_roundtrip_claims": q_csv_roundtrip_claims,
     "csv_roundtrip_icd": q_csv_roundtrip_icd,
+    "bronze_claims": q_bronze_claims,
+    "star_from_files": q_star_from_files,
     "sql_audit": q_sql_audit,
     "medallion_marts": q_medallion_marts,
     "legacy_star_run": q_legacy_star_run,

@@ -34,13 +34,14 @@ def integral_key(c) -> Column:
     return F.when(d % 1 == 0, d.try_cast("bigint"))
 
 
-WHITESPACE = r"[ \t\n\x0B\f\r]"
+# Unicode white space, for Java's and RE2's regular expressions alike.
+WHITESPACE = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+              r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
 
 def strip_ws(c) -> Column:
-    """Remove leading and trailing whitespace of any kind (spaces, tabs,
-    newlines) -- what a warehouse TRIM() or Python's str.strip() removes,
-    where Spark's ``trim`` only removes spaces."""
+    """Remove leading and trailing Unicode white space, as a warehouse TRIM()
+    or Python's str.strip() does; Spark's ``trim`` only removes spaces."""
     return F.regexp_replace(col_(c), rf"^{WHITESPACE}+|{WHITESPACE}+\z", "")
 
 

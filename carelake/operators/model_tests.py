@@ -70,11 +70,6 @@ def failed_tests(report: DataFrame) -> list[tuple[str, str, str, int]]:
             for r in report.where(F.col("status") == "fail").collect()]
 
 
-# Optional test: the code list should list each code once (a repeated code
-# multiplies claim rows in the joins that use it).
-OPTIONAL_TESTS = {"stg_icd_codes": [("diagnosis_code", "unique")]}
-
-
 def duplicate_values(df: DataFrame, column: str) -> DataFrame:
     """The values of ``column`` that occur more than once, with their number
     of copies (NULLs ignored): the detail behind a failed unique test."""

@@ -53,35 +53,20 @@ def _row_predicates() -> dict[str, Column]:
     }
 
 
-# Largest number of repeated keys whose (key, first row) pairs are broadcast
-# (~100 bytes each, about 10 MB); above it the check shuffles instead.
-DUPLICATE_KEYS_BROADCAST_LIMIT = 100_000
-
-
-def duplicate_rows(fact: DataFrame, key: str = "claim_id", seq: str = INGEST_ORDER,
-                   broadcast_limit: int = DUPLICATE_KEYS_BROADCAST_LIMIT) -> DataFrame:
+def duplicate_rows(fact: DataFrame, key: str = "claim_id", seq: str = INGEST_ORDER) -> DataFrame:
     """Q3: rows whose ``key`` already occurred earlier in file order (NULL
     keys count as equal). Needs the file-order column ``seq``.
 
     The first row of every key comes from an aggregation (partial before the
-    shuffle, so a hot key costs one row per map partition). Then:
-
-    * if few keys repeat (counted first, so the size is known), those keys
-      with their first row are broadcast and the fact table is filtered
-      map-side -- no shuffle of the fact at all;
-    * otherwise an anti join against all first rows, hashed on (key, file
-      order), so the rows of a hot key spread over every partition.
+    shuffle, so a hot key costs one row per map partition); the rest is an anti
+    join on (key, file order), so the rows of a hot key spread over every
+    partition, and a small side is broadcast by AQE. Nothing runs while the plan
+    is built. A row without file order comes after all rows with one; of a key
+    whose rows all lack it, none can be told to be later, and none is returned.
     """
-    firsts = (fact.groupBy(key)
-                  .agg(F.min(seq).alias("__first"), F.count(F.lit(1)).alias("__n"))
-                  .withColumnRenamed(key, "__key"))
-    repeated = firsts.where(F.col("__n") > 1).select("__key", "__first")
-    if repeated.count() <= broadcast_limit:
-        small = F.broadcast(repeated)
-        cond = fact[key].eqNullSafe(small["__key"]) & ~fact[seq].eqNullSafe(small["__first"])
-        return fact.join(small, cond, "left_semi")
-    cond = fact[key].eqNullSafe(firsts["__key"]) & (fact[seq] == firsts["__first"])
-    return fact.join(firsts.select("__key", "__first"), cond, "left_anti")
+    firsts = fact.groupBy(F.col(key).alias("__key")).agg(F.min(seq).alias("__first"))
+    cond = fact[key].eqNullSafe(F.col("__key")) & fact[seq].eqNullSafe(F.col("__first"))
+    return fact.join(firsts, cond, "left_anti")
 
 
 def failed_rows(fact: DataFrame, check: str) -> DataFrame:
@@ -148,27 +133,28 @@ def all_passed(report: DataFrame) -> bool:
     return all(r["status"] == "PASSED" for r in report.select("status").collect())
 
 
-def quarantine(fact: DataFrame, root: str) -> str:
-    """Write every failing row under ``root/failed=<check>/``.
+def quarantine(fact: DataFrame, root: str, report: DataFrame | None = None) -> dict[str, str]:
+    """The failing rows of every check that the report says has any,
+    each as ``root/failed_<check>``, written at the same time. Returns check ->
+    path; a clean table writes nothing."""
+    from carelake.sources.sinks import run_concurrently, write_quarantine
 
-    The five row-local checks share ONE scan: each row is tagged with the
-    checks it fails (a row failing two checks is written under both), and a
-    single partitioned write lays out the folders. The duplicate check needs
-    its join, so it appends its rows to the same layout."""
-    from carelake.sources.sinks import write_quarantine_partitioned
-
-    preds = _row_predicates()
+    report = quality_report(fact) if report is None else report
+    failed = {r["check_name"] for r in report.where("status = 'FAILED'").select("check_name").collect()}
     cols = output_columns(fact)
-    tags = F.filter(F.array(*[F.when(preds[c.name], F.lit(c.name)) for c in CHECKS if c.name in preds]),
-                    lambda t: t.isNotNull())
-    write_quarantine_partitioned(fact.select(*cols, F.explode(tags).alias("failed")), root)
-    dups = failed_rows(fact, "duplicate_claim_id").select(*cols, F.lit("duplicate_claim_id").alias("failed"))
-    return write_quarantine_partitioned(dups, root, mode="append")
+    return run_concurrently({c.name: (lambda n=c.name: write_quarantine(failed_rows(fact, n).select(*cols), root, n))
+                             for c in CHECKS if c.name in failed})
+
 
+def read_quarantine(spark, paths: dict[str, str], schema) -> DataFrame:
+    """All quarantined rows (``schema``) with the check they failed as
+    ``check_name``; no paths give an empty frame."""
+    from carelake.sources.sinks import quarantine_reader
 
-def read_quarantine(spark, root: str) -> DataFrame:
-    """All quarantined rows, with the check they failed as column ``failed``."""
-    return spark.read.option("header", True).csv(root)
+    out = spark.createDataFrame([], schema).withColumn("check_name", F.lit(""))
+    for name, path in paths.items():
+        out = out.unionByName(quarantine_reader(spark, schema).csv(path).withColumn("check_name", F.lit(name)))
+    return out
 
 
 def run_quality_checks(fact: DataFrame, dim_patient: DataFrame | None = None,
@@ -181,5 +167,5 @@ def run_quality_checks(fact: DataFrame, dim_patient: DataFrame | None = None,
     only the fact table."""
     report = quality_report(fact)
     if quarantine_root is not None:
-        quarantine(fact, quarantine_root)
+        quarantine(fact, quarantine_root, report)
     return report

@@ -24,9 +24,11 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.functions.columns import WHITESPACE
 from carelake.schemas import ALLOWED_TABLES
 
 # Blocked statement keywords, checked in this order.
@@ -34,9 +36,12 @@ BLOCKED_KEYWORDS = ["DROP", "DELETE", "UPDATE", "INSERT", "ALTER",
                     "TRUNCATE", "MERGE", "CREATE", "GRANT", "REVOKE"]
 DEFAULT_ROW_LIMIT = 100
 
-WS = r"[ \t\n\x0B\f\r]"
-TABLE_REF = r"(?i)(?:FROM|JOIN)\s+`?([a-zA-Z0-9_.]+)`?"
-HAS_LIMIT = r"(?i)\bLIMIT\s+\d+"
+# The patterns that define the rules. White space and digits are
+# Unicode's: Spark's parser takes a no-break space for a blank, too.
+WS = WHITESPACE
+TABLE_REF = rf"(?i)(?:FROM|JOIN){WS}+`?([a-zA-Z0-9_.]+)`?"
+HAS_LIMIT = rf"(?i)\bLIMIT{WS}+\p{{Nd}}+"
+QUALIFY_HEAD = rf"((?i:FROM|JOIN)){WS}+`?("
 
 
 def strip_text(c: Column) -> Column:
@@ -49,7 +54,7 @@ def clean_fences(sql: Column) -> Column:
     'sql' line, then strip again."""
     t = strip_text(sql)
     unticked = F.regexp_replace(t, r"^`+|`+\z", "")
-    untagged = F.when(unticked.startswith("sql\n"), F.substring(unticked, 5, 1 << 30)).otherwise(unticked)
+    untagged = F.when(unticked.startswith("sql\n"), F.substr(unticked, F.lit(5))).otherwise(unticked)
     return F.when(t.startswith("```"), strip_text(untagged)).otherwise(t)
 
 
@@ -93,7 +98,7 @@ def qualify_tables(sql: Column, project: str, dataset: str, allowed=ALLOWED_TABL
         if not re.fullmatch(r"[A-Za-z0-9_-]+", part):
             raise ValueError(f"bad project/dataset name: {part!r}")
     names = "|".join(re.escape(t) for t in allowed)
-    pattern = rf"((?i:FROM|JOIN))\s+`?({names})`?([^a-zA-Z0-9_]|\z)"
+    pattern = rf"{QUALIFY_HEAD}{names})`?([^a-zA-Z0-9_]|\z)"
     return F.regexp_replace(sql, pattern, f"$1 `{project}.{dataset}.$2`$3")
 
 
@@ -130,12 +135,58 @@ class GuardrailViolation(ValueError):
     """A statement failed the guardrails; it must not run (fail closed)."""
 
 
+class QueryExecutionError(RuntimeError):
+    """An accepted statement failed to run."""
+
+
+# Expressions that run code of the JVM.
+CODE_EXPRESSIONS = {"CallMethodViaReflection", "TryReflect", "StaticInvoke", "Invoke"}
+
+
+def _children(node) -> list:
+    seq = node.children()
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def plan_violation(plan, allowed=ALLOWED_TABLES) -> str | None:
+    """What an analysed plan reads or runs besides the allowed views, or None:
+    every leaf must lie under a view of an allowed name, subqueries included,
+    and no expression may call code by reflection."""
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "View" and node.desc().identifier().table() in allowed:
+            continue
+        expressions = [node.expressions().apply(i) for i in range(node.expressions().size())]
+        while expressions:
+            e = expressions.pop()
+            if e.getClass().getSimpleName() in CODE_EXPRESSIONS:
+                return f"expression {e.prettyName()}"
+            expressions += _children(e)
+        todo += [node.subqueries().apply(i) for i in range(node.subqueries().size())]
+        below = _children(node)
+        if not below and kind not in ("CTERelationRef", "OneRowRelation"):
+            return f"{kind} {node.simpleString(5)[:80]}"
+        todo += below
+    return None
+
+
 def run_query(spark, sql_text: str, limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
     """Check one statement with the same rules as the log audit (a
-    one-row DataFrame), then run the prepared text with ``spark.sql`` over
-    the registered mart views. Returns the lazy result."""
+    one-row DataFrame), prepare it, and accept its analysed plan only if all it
+    reads are the mart views: the text rules alone let a comma join or a file
+    path through. Returns the lazy result; an accepted statement that Spark
+    refuses raises QueryExecutionError."""
     log = spark.createDataFrame([(0, sql_text)], "query_id long, sql_text string")
     verdict = audit_sql(log, limit=limit).first()
     if verdict["verdict"] != "pass":
         raise GuardrailViolation(f"blocked ({verdict['rule']}: {verdict['detail']}): {sql_text[:80]}")
-    return spark.sql(verdict["safe_sql"])
+    try:
+        result = spark.sql(verdict["safe_sql"])
+    except PySparkException as exc:
+        raise QueryExecutionError(f"statement failed: {exc}") from exc
+    bad = plan_violation(result._jdf.queryExecution().analyzed())
+    if bad:
+        raise GuardrailViolation(f"blocked (plan: {bad}): {sql_text[:80]}")
+    return result

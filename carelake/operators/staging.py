@@ -5,23 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.functions.columns import non_negative_amount, strip_ws
-from carelake.schemas import RAW_TO_STAGED
+from carelake.functions.columns import iso_date_text, non_negative_amount, strip_ws
+from carelake.schemas import DATE_COLUMNS, RAW_TO_STAGED
 
 
-def stg_claims(claims_raw: DataFrame) -> DataFrame:
+def stg_claims(claims_raw: DataFrame, iso_dates: bool = True) -> DataFrame:
     """Rename and strictly cast the 14 used columns; keep rows with a
     claim, patient and provider id and a non-negative payment.
 
     The filter tests the raw values, so a NULL payment is dropped. Casts are
-    ANSI: malformed numbers raise, as a warehouse CAST does. Hidden
+    ANSI: malformed numbers raise, as a warehouse CAST does. With ``iso_dates``
+    a date given as yyyy-MM-dd, yyyyMMdd or dd-MMM-yyyy becomes ISO text, so a
+    month is ``SUBSTR(date, 1, 7)`` and date order is text order. Hidden
     ``_``-prefixed columns (the file-order key) are carried along.
     """
     keep = (F.col("CLM_ID").isNotNull() & F.col("BENE_ID").isNotNull()
             & F.col("PRVDR_NUM").isNotNull() & non_negative_amount("CLM_PMT_AMT"))
     hidden = [c for c in claims_raw.columns if c.startswith("_")]
+    value = lambda raw: iso_date_text(raw) if iso_dates and raw in DATE_COLUMNS else F.col(raw)
     return claims_raw.where(keep).select(
-        *[F.col(raw).cast(typ).alias(staged) for raw, staged, typ in RAW_TO_STAGED], *hidden)
+        *[value(raw).cast(typ).alias(staged) for raw, staged, typ in RAW_TO_STAGED], *hidden)
 
 
 def stg_icd_codes(icd_raw: DataFrame) -> DataFrame:

@@ -86,27 +86,35 @@ def _order_cols(df: DataFrame) -> list[str]:
     return [c for c in (INGEST_ORDER, ICD_INGEST_ORDER) if c in df.columns]
 
 
-def transform_claims(claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame) -> DataFrame:
-    """Steps 1-6: the cleaned, de-duplicated, described claim rows (still
-    carrying the file-order keys used to split them)."""
+def clean_claims(claims_raw: DataFrame, states: DataFrame) -> DataFrame:
+    """Steps 1-5: the cleaned, de-duplicated claim rows."""
     df = select_and_rename(claims_raw)
     df = map_state_names(df, states)
     df = clean_values(df)
-    df = keep_first(df, ["claim_id"], _order_cols(df))
-    return join_descriptions(df, icd_raw)
+    return keep_first(df, ["claim_id"], _order_cols(df))
+
+
+def transform_claims(claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame) -> DataFrame:
+    """Steps 1-6: the cleaned, de-duplicated, described claim rows (still
+    carrying the file-order keys used to split them)."""
+    return join_descriptions(clean_claims(claims_raw, states), icd_raw)
 
 
-def split_star(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def split_star(df: DataFrame, claims: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """fact_claims and the three dims (first row per key in
-    file order: claim order, then code-list order)."""
+    file order: claim order, then code-list order). Patients and providers come
+    from ``claims``, the rows before the code join, where given: the join's
+    copies of a row do not change them."""
     order = _order_cols(df)
     fact = df.select(*FACT_CLAIMS.fieldNames())
-    dim_patient = (keep_first(df.select("patient_id", "provider_state", "discharge_status",
-                                        "admission_type", *order), ["patient_id"], order)
+    claims = df if claims is None else claims
+    own = _order_cols(claims)
+    dim_patient = (keep_first(claims.select("patient_id", "provider_state", "discharge_status",
+                                            "admission_type", *own), ["patient_id"], own)
                    .withColumnRenamed("provider_state", "state")
                    .select(*DIM_PATIENT.fieldNames()))
-    dim_provider = keep_first(df.select("provider_id", "provider_state", "npi_number", *order),
-                              ["provider_id"], order).select(*DIM_PROVIDER.fieldNames())
+    dim_provider = keep_first(claims.select("provider_id", "provider_state", "npi_number", *own),
+                              ["provider_id"], own).select(*DIM_PROVIDER.fieldNames())
     dim_diagnosis = keep_first(df.select("diagnosis_code", "description", *order),
                                ["diagnosis_code"], order).select(*DIM_DIAGNOSIS.fieldNames())
     return fact, dim_patient, dim_provider, dim_diagnosis
@@ -121,4 +129,5 @@ def fact_with_order(rows: DataFrame) -> DataFrame:
 
 def build_star(claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame):
     """The whole legacy ETL: returns (fact_claims, dim_patient, dim_provider, dim_diagnosis)."""
-    return split_star(transform_claims(claims_raw, icd_raw, states))
+    claims = clean_claims(claims_raw, states)
+    return split_star(join_descriptions(claims, icd_raw), claims)

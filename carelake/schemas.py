@@ -38,12 +38,6 @@ ICD_SOURCE_COLUMNS = [
 ]
 ICD_SOURCE_SCHEMA = T.StructType([T.StructField(c, S) for c in ICD_SOURCE_COLUMNS])
 
-STATE_CODES_SCHEMA = T.StructType([
-    T.StructField("state_code", L, False),
-    T.StructField("state_name", S, False),
-])
-
-
 def _struct(fields, comments=None, not_null=()):
     comments = comments or {}
     return T.StructType([
@@ -53,8 +47,6 @@ def _struct(fields, comments=None, not_null=()):
     ])
 
 
-STG_CLAIMS = _struct([(staged, typ) for _, staged, typ in RAW_TO_STAGED])
-STG_ICD = _struct([("diagnosis_code", S), ("diagnosis_description", S), ("diagnosis_category", S)])
 
 MART_CLAIMS_SUMMARY = _struct(
     [("claim_month", S), ("state", S), ("diagnosis_code", S),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,54 +57,19 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
-
-    Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir). Only when neither is set -- as in local tests -- a folder of our
-    own is created and registered.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no context access (e.g. Spark Connect): use the setting
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return (configured or tempfile.mkdtemp(prefix="carelake-ckpt-")).rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="carelake-ckpt-")
-    sc.setCheckpointDir(configured)
-    got = sc.getCheckpointDir()
-    return (got or configured).rstrip("/")
+    """The shared folder for checkpoints and intermediate tables: the
+    cluster's ``spark.checkpoint.dir``, or the folder set on the context. Only
+    a local master without either gets a temporary folder of our own."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="carelake-ckpt-"))
+        current = sc.getCheckpointDir()
+    return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/carelake/{name}-{uuid.uuid4().hex}"
-
-
-# Shuffle sizing: bytes of input per shuffle partition, and a ceiling.
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def fit_shuffle_partitions(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES,
-                           max_partitions: int = MAX_SHUFFLE_PARTITIONS) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``df``'s input
-    gives about ``target_bytes`` per partition (never lowers the setting).
-
-    AQE coalesces partitions that turn out small but does not split big
-    ones, so the setting is the upper bound that keeps tasks in memory at
-    scale. The size is the optimizer's estimate (file sizes for a scan), so
-    nothing is read. Returns the setting in effect."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM plan access (e.g. Spark Connect): keep the setting
-        return current
-    needed = min(max_partitions, -(-size // target_bytes))
-    if needed > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
-        return needed
-    return current

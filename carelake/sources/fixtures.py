@@ -20,24 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when its scan yields fewer splits than
-    the cluster has cores.
-
-    The test tables are single files with one row group, which Spark reads
-    in one task; everything up to the first shuffle would then run on one
-    core. Large inputs (many files or row groups) are left as they are, so
-    this adds no shuffle at scale. A hash partitioning (not round robin)
-    keeps a recomputed partition identical after an executor loss.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    return df if splits >= cores else df.repartition(cores, key)
-
-
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -59,10 +41,11 @@ def _ingest_seq() -> Column:
 
 
 def _claims_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    # The join on the order key needs this partitioning anyway; made explicit,
+    # it also spreads a table that is one file.
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
-        "l_orderkey")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate").repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # Both joins are left to the planner: orders grows with lineitem and
@@ -80,8 +63,10 @@ def _raw_columns() -> list[Column]:
         _s(F.col("o_custkey")).alias("BENE_ID"),
         F.when(q != 50, _s(F.col("l_suppkey"))).alias("PRVDR_NUM"),
         _s(F.col("l_linenumber")).alias("CLM_LINE_NUM"),
+        # One part key in eleven has a code that no list holds.
         F.when(F.col("l_tax") < 0.08,
-               F.concat(F.lit("D"), F.lpad(_s(F.col("l_partkey") % 97), 3, "0"))).alias("PRNCPAL_DGNS_CD"),
+               F.concat(F.when(F.col("l_partkey") % 11 == 0, F.lit("X")).otherwise(F.lit("D")),
+                        F.lpad(_s(F.col("l_partkey")), 9, "0"))).alias("PRNCPAL_DGNS_CD"),
         _s(F.col("l_partkey") % 50).alias("CLM_DRG_CD"),
         _s(F.when(q == 49, F.lit(None).cast("double")).when(q == 48, -paid).otherwise(paid)).alias("CLM_PMT_AMT"),
         _s(F.when(q == 47, F.lit(None).cast("double")).when(q == 46, F.lit(0.0))
@@ -110,7 +95,7 @@ def claims_raw_wide(spark: SparkSession, sf_dir: str, ingest_order: bool = False
     used = _raw_columns()
     fillers = {
         0: _s(F.col("l_quantity")).alias("NCH_NEAR_LINE_REC_IDENT_CD"),
-        3: F.col("l_returnflag").alias("CLM_SRVC_CLSFCTN_TYPE_CD"),
+        3: F.concat(F.lit('a|"b" \\'), F.col("l_returnflag"), F.lit(' "c"')).alias("CLM_SRVC_CLSFCTN_TYPE_CD"),
         7: _s(F.col("l_tax")).alias("NCH_PRMRY_PYR_CLM_PD_AMT"),
         11: _s(F.col("l_discount")).alias("CLM_UTLZTN_DAY_CNT"),
     }
@@ -147,23 +132,31 @@ def fact_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _icd_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    return (table(spark, sf_dir, "part")
-            .where((k < 90) | k.between(100, 104) | (k == 110))
-            .select("p_partkey", "p_name", "p_brand", "p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
 
 
 def _icd_code() -> Column:
+    """One code per part, but every 20th part repeats the code before it and
+    every 37th has none; every third is in lower case."""
     k = F.col("p_partkey")
     prefix = F.when(k % 3 == 0, F.lit(" d")).otherwise(F.lit(" D"))
-    return F.when(k != 110, F.concat(prefix, F.lpad(_s(k % 100), 3, "0"), F.lit(" ")))
+    number = F.when(k % 20 == 0, k - 1).otherwise(k)
+    return F.when(k % 37 != 0, F.concat(prefix, F.lpad(_s(number), 9, "0"),
+                                        F.when(k % 13 == 0, F.lit("\u2003")).otherwise(F.lit(" "))))
+
+
+def _icd_description() -> Column:
+    """Padded, with a no-break space at times; some hold commas, quotes and a backslash."""
+    k = F.col("p_partkey")
+    return F.concat(F.lit(" "), F.col("p_name"), F.when(k % 5 == 0, F.lit(', "so called", \\')).otherwise(F.lit("")),
+                    F.when(k % 7 == 0, F.lit("\u00a0")).otherwise(F.lit(" ")))
 
 
 def icd_codes_raw(spark: SparkSession, sf_dir: str, ingest_order: bool = True) -> DataFrame:
     """The ICD code list as loaded (code, description, category): padded,
-    partly lower-case codes, one NULL code and doubled codes."""
+    partly lower-case codes, NULL codes and doubled codes."""
     cols = [_icd_code().alias("code"),
-            F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("description"),
+            _icd_description().alias("description"),
             F.col("p_type").alias("category")]
     if ingest_order:
         cols.append(F.col("p_partkey").alias(ICD_INGEST_ORDER))
@@ -178,7 +171,7 @@ def icd_source_six(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("C"), F.lpad(_s(k % 10), 2, "0")).alias("category_code"),
         _s(k).alias("sub_code"),
         _icd_code().alias("icd10_code"),
-        F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("short_description"),
+        _icd_description().alias("short_description"),
         F.concat(F.col("p_name"), F.lit(", "), F.col("p_brand")).alias("long_description"),
         F.col("p_type").alias("category"),
     )
@@ -210,14 +203,16 @@ SQL_LOG_TEMPLATES = [
     "```\nselect * from mart_provider_performance where updated_flag = '{s}'\n```",
     "SELECT * FROM mart_claims_summary s LEFT JOIN stg_icd_codes i ON s.diagnosis_code = i.diagnosis_code",
     "SELECT selected_state FROM mart_claims_summary WHERE note = 'created by {s}' LIMIT {k}",
+    "SELECT state FROM mart_claims_summary UNION ALL SELECT state FROM\u00a0stg_claims LIMIT {k}",
+    "\u2003SELECT state FROM\u2003mart_claims_summary WHERE total_claims > {n}\u00a0",
+    "SELECT state FROM mart_claims_summary WHERE total_claims > {n} LIMIT\u00a0{k}",
 ]
 
 
 def sql_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query log (query_id, sql_text): one statement per order, shape
     chosen by the order key, parameters taken from the order."""
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"),
-                    "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     shape = (F.col("o_orderkey") % len(SQL_LOG_TEMPLATES)).cast("int")
     k = _s(F.col("o_custkey") % 20 + 1)
     n = _s(F.col("o_custkey") % 1000)

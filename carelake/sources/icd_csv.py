@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.schemas import ICD_SOURCE_SCHEMA
+from carelake.sources.sinks import KEEP_BLANKS, QUOTING
 
 ICD_INGEST_ORDER = "_icd_seq"
 
@@ -21,7 +22,7 @@ def read_icd_source(spark: SparkSession, path: str) -> DataFrame:
     contain commas."""
     return (spark.read.schema(ICD_SOURCE_SCHEMA)
             .option("header", False).option("sep", ",")
-            .option("quote", '"').option("escape", '"')
+            .options(**QUOTING).option("mode", "FAILFAST")
             .csv(path))
 
 
@@ -32,7 +33,7 @@ def icd_projection(source: DataFrame, ingest_order: bool = False) -> DataFrame:
             F.col("category")]
     if ingest_order:
         cols.append(F.struct(
-            F.xxhash64(F.col("_metadata.file_path")).alias("file"),
+            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("row"),
         ).alias(ICD_INGEST_ORDER))
@@ -50,13 +51,11 @@ def write_icd_csv(icd: DataFrame, path: str) -> None:
     Leading and trailing spaces are written as they are (Spark's CSV writer
     would trim them by default)."""
     (icd.select("code", "description", "category").write.mode("overwrite")
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path))
+        .option("header", True).options(**QUOTING, **KEEP_BLANKS).csv(path))
 
 
 def read_icd_canonical(spark: SparkSession, path: str) -> DataFrame:
     """Read back the canonical file written by :func:`write_icd_csv`."""
-    return (spark.read.option("header", True)
+    return (spark.read.option("header", True).option("enforceSchema", False).options(**QUOTING)
             .schema("code string, description string, category string")
             .csv(path))

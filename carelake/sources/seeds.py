@@ -5,60 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.schemas import STATE_CODES_SCHEMA
-
-# Numeric provider state code -> state name, as seeded.
-STATE_NAMES = [
-    "Alabama", "Alaska", "Arizona", "Arkansas", "California", "Colorado",
-    "Connecticut", "Delaware", "District of Columbia", "Florida", "Georgia",
-    "Hawaii", "Idaho", "Illinois", "Indiana", "Iowa", "Kansas", "Kentucky",
-    "Louisiana", "Maine", "Maryland", "Massachusetts", "Michigan", "Minnesota",
-    "Mississippi", "Missouri", "Montana", "Nebraska", "Nevada", "New Hampshire",
-    "New Jersey", "New Mexico", "New York", "North Carolina", "North Dakota",
-    "Ohio", "Oklahoma", "Oregon", "Pennsylvania", "Puerto Rico", "Rhode Island",
-    "South Carolina", "South Dakota", "Tennessee", "Texas", "Utah", "Vermont",
-    "Virginia", "Washington", "West Virginia", "Wisconsin", "Wyoming",
-    "Virgin Islands",
+# Numeric provider state code and state name, as seeded.
+STATE_CODES = [
+    (1, "Alabama"), (2, "Alaska"), (3, "Arizona"), (4, "Arkansas"), (5, "California"),
+    (6, "Colorado"), (7, "Connecticut"), (8, "Delaware"), (9, "District of Columbia"),
+    (10, "Florida"), (11, "Georgia"), (12, "Hawaii"), (13, "Idaho"), (14, "Illinois"),
+    (15, "Indiana"), (16, "Iowa"), (17, "Kansas"), (18, "Kentucky"), (19, "Louisiana"),
+    (20, "Maine"), (21, "Maryland"), (22, "Massachusetts"), (23, "Michigan"), (24, "Minnesota"),
+    (25, "Mississippi"), (26, "Missouri"), (27, "Montana"), (28, "Nebraska"), (29, "Nevada"),
+    (30, "New Hampshire"), (31, "New Jersey"), (32, "New Mexico"), (33, "New York"),
+    (34, "North Carolina"), (35, "North Dakota"), (36, "Ohio"), (37, "Oklahoma"), (38, "Oregon"),
+    (39, "Pennsylvania"), (40, "Puerto Rico"), (41, "Rhode Island"), (42, "South Carolina"),
+    (43, "South Dakota"), (44, "Tennessee"), (45, "Texas"), (46, "Utah"), (47, "Vermont"),
+    (48, "Virginia"), (49, "Washington"), (50, "West Virginia"), (51, "Wisconsin"), (52, "Wyoming"),
+    (53, "Virgin Islands"),
 ]
-# Codes are 1..53 in list order.
-STATE_CODES = [(i + 1, name) for i, name in enumerate(STATE_NAMES)]
 
 
 def state_codes(spark: SparkSession) -> DataFrame:
     """The seed as a DataFrame(state_code bigint, state_name string).
 
-    53 rows by definition, so it is always safe to broadcast.
+    53 rows by definition.
     """
-    return spark.createDataFrame(STATE_CODES, STATE_CODES_SCHEMA)
-
-
-# A seed file may hold at most this many rows: the lookup is broadcast.
-SEED_MAX_ROWS = 1000
-
+    values = ", ".join(f"({code}L, '{name}')" for code, name in STATE_CODES)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(state_code, state_name)")
 
-def read_state_codes_csv(spark: SparkSession, path: str, max_rows: int = SEED_MAX_ROWS) -> DataFrame:
-    """Load the seed from its headered CSV file (state_code,state_name).
 
-    The lookup is broadcast, so the file's size is checked here (a count
-    of a seed file) and an oversized one is refused."""
+def read_state_codes_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Load the seed from its headered CSV file (state_code,state_name)."""
     raw = spark.read.option("header", True).schema("state_code string, state_name string").csv(path)
-    seed = raw.select(F.col("state_code").cast("bigint").alias("state_code"), "state_name")
-    n = seed.count()
-    if n > max_rows:
-        raise ValueError(f"state seed {path} has {n} rows; a broadcast seed may have at most {max_rows}")
-    return seed
+    return raw.select(F.col("state_code").cast("bigint").alias("state_code"), "state_name")
 
 
 def with_state_name(df: DataFrame, key, states: DataFrame, out: str, default: str = "Unknown") -> DataFrame:
     """LEFT join ``df`` to the seed on a numeric key expression and add
     ``out`` = state name, or ``default`` when the key does not map.
 
-    The seed is broadcast explicitly: it is the built-in 53 rows, or a seed
-    file whose row count :func:`read_state_codes_csv` has checked, so this is
-    a map-side hash join that never shuffles ``df``.
+    The planner sees the seed's size (53 built-in rows, or the size of a seed
+    file) and broadcasts it, so ``df`` is not shuffled; a file of any size works.
     """
-    seed = F.broadcast(states.select(F.col("state_code").alias("__state_code"),
-                                     F.col("state_name").alias("__state_name")))
+    seed = states.select(F.col("state_code").alias("__state_code"),
+                         F.col("state_name").alias("__state_name"))
     joined = df.withColumn("__state_key", key).join(
         seed, F.col("__state_key") == F.col("__state_code"), "left")
     return (joined.withColumn(out, F.coalesce(F.col("__state_name"), F.lit(default)))

@@ -16,6 +16,11 @@ from carelake.schemas import STAR_TABLES
 STAR_LOAD_ORDER = ["dim_patient", "dim_provider", "dim_diagnosis", "fact_claims"]
 
 
+# Fields are quoted, and quotes in them doubled, as CSV readers expect.
+QUOTING = {"quote": '"', "escape": '"'}
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """Overwrite a table at ``path`` (parquet by default)."""
     w = df.write.mode("overwrite").format(fmt)
@@ -43,18 +48,13 @@ def write_tables(jobs: dict[str, tuple[DataFrame, str]], max_parallel: int = 4)
 
 def write_claims_csv(df: DataFrame, path: str) -> str:
     """The raw claims layout: '|'-separated text with a header line."""
-    (df.write.mode("overwrite").option("header", True).option("sep", "|")
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-       .csv(path))
+    df.write.mode("overwrite").option("header", True).option("sep", "|").options(**QUOTING, **KEEP_BLANKS).csv(path)
     return path
 
 
 def write_icd_source_csv(df: DataFrame, path: str) -> str:
     """The six-column headerless code list (quoted where needed)."""
-    (df.write.mode("overwrite").option("header", False).option("sep", ",")
-       .option("quote", '"').option("escape", '"')
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-       .csv(path))
+    df.write.mode("overwrite").option("header", False).option("sep", ",").options(**QUOTING, **KEEP_BLANKS).csv(path)
     return path
 
 
@@ -102,21 +102,17 @@ def load_star(tables: dict[str, DataFrame], root: str, check_keys: bool = True)
     return out
 
 
-def write_quarantine_partitioned(tagged: DataFrame, root: str, mode: str = "overwrite") -> str:
-    """Quarantined rows tagged with a ``failed`` column (the check
-    name), written as headered CSV partitioned by it:
-    ``root/failed=<check>/``. A check without failing rows gets no folder."""
-    (tagged.write.mode(mode).partitionBy("failed").option("header", True)
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(root))
-    return root
+# NULL and the empty string are different findings; keep them apart in text.
+_QUARANTINE = {"header": "true", "nullValue": "\\N", **QUOTING}
 
 
 def write_quarantine(failed: DataFrame, root: str, check_name: str) -> str:
     """The failing rows of one check as a headered CSV folder
     ``root/failed_<check>`` (call only when the check found rows)."""
     path = f"{root}/failed_{check_name}"
-    (failed.write.mode("overwrite").option("header", True)
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-       .csv(path))
+    failed.write.mode("overwrite").options(**_QUARANTINE, **KEEP_BLANKS).csv(path)
     return path
+
+
+def quarantine_reader(spark: SparkSession, schema):
+    return spark.read.schema(schema).options(**_QUARANTINE)

@@ -44,10 +44,11 @@ def test_report_summary_and_quarantine(spark, tmp_path):
     rows = {r.check_name: r for r in report.collect()}
     assert rows["duplicate_claim_id"].failed_rows == 1 and rows["duplicate_claim_id"].status == "FAILED"
     assert rows["null_claim_id"].status == "PASSED"
-    assert (tmp_path / "failed=duplicate_claim_id").exists()
-    assert not (tmp_path / "failed=null_claim_id").exists()
-    back = quality.read_quarantine(spark, str(tmp_path))
-    assert back.where("failed = 'duplicate_claim_id'").count() == 1
+    assert (tmp_path / "failed_duplicate_claim_id").exists()
+    assert not (tmp_path / "failed_null_claim_id").exists()
+    back = quality.read_quarantine(spark, {"duplicate_claim_id": str(tmp_path / "failed_duplicate_claim_id")},
+                                   f.select(*quality.output_columns(f)).schema)
+    assert [r.check_name for r in back.collect()] == ["duplicate_claim_id"]
     s = quality.quality_summary(report).collect()[0]
     assert (s.checks_passed, s.checks_total, s.pass_rate_pct, s.verdict) == (5, 6, 83, "review quarantine")
     assert not quality.all_passed(report)
@@ -125,3 +126,49 @@ def test_run_query_gates_and_limits(spark):
     assert df.count() == 100
     with pytest.raises(sql_audit.GuardrailViolation):
         sql_audit.run_query(spark, "DROP TABLE mart_claims_summary")
+
+
+def test_quarantine_of_a_clean_table_is_empty_and_readable(spark, tmp_path):
+    f = fact(spark, [{}])
+    paths = quality.quarantine(f, str(tmp_path))
+    assert paths == {}
+    assert quality.read_quarantine(spark, paths, f.select(*quality.output_columns(f)).schema).count() == 0
+
+
+def test_quarantine_tells_null_from_empty(spark, tmp_path):
+    f = fact(spark, [{"claim_id": "A", "claim_from_date": None}, {"claim_id": "B", "claim_from_date": ""}])
+    paths = quality.quarantine(f, str(tmp_path))
+    back = quality.read_quarantine(spark, paths, f.select(*quality.output_columns(f)).schema)
+    got = {r.claim_id: r.claim_from_date for r in back.where("check_name = 'empty_claim_date'").collect()}
+    assert got == {"A": None, "B": ""}
+
+
+def test_run_query_accepts_only_mart_plans(spark, tmp_path):
+    spark.range(3).selectExpr("cast(id as string) as state").createOrReplaceTempView("mart_claims_summary")
+    spark.range(3).selectExpr("cast(id as string) as state").createOrReplaceTempView("stg_claims")
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    m = "SELECT a.state FROM mart_claims_summary a"
+    for bad in ("SELECT state FROM mart_claims_summary UNION ALL SELECT state FROM\u00a0stg_claims",
+                f"{m}, stg_claims b", f"{m}, parquet.`{tmp_path}/t` b", f"{m}, range(5) b",
+                "SELECT reflect('java.lang.System', 'lineSeparator') FROM mart_claims_summary",
+                f"{m} WHERE EXISTS (SELECT 1 FROM mart_claims_summary c, stg_claims d)"):
+        with pytest.raises(sql_audit.GuardrailViolation):
+            sql_audit.run_query(spark, bad)
+    with pytest.raises(sql_audit.QueryExecutionError):
+        sql_audit.run_query(spark, "SELECT no_such_column FROM mart_claims_summary")
+    good = "SELECT state FROM mart_claims_summary WHERE state IN (SELECT max(state) FROM mart_claims_summary)"
+    assert [r.state for r in sql_audit.run_query(spark, good).collect()] == ["2"]
+
+
+def test_duplicates_build_without_a_job_and_define_missing_order(spark):
+    f = fact(spark, [{"claim_id": "A"}, {"claim_id": "A"}])
+    seen = []
+    count = type(f).count
+    type(f).count = lambda self: seen.append(1) or count(self)
+    try:
+        plan = quality.duplicate_rows(f)
+    finally:
+        type(f).count = count
+    assert not seen and plan.count() == 1
+    lost = f.withColumn("_ingest_seq", F.lit(None).cast(f.schema["_ingest_seq"].dataType))
+    assert quality.duplicate_rows(lost).count() == 0

@@ -2,6 +2,8 @@
 third of all rows. Results must be whole and exact, and the plans must cut
 the hot group down before the shuffle (partial limit / partial aggregate)."""
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from carelake.operators import dedup, marts, quality, staging
@@ -68,12 +70,39 @@ def test_hot_diagnosis_and_provider_marts(spark):
     assert "partial_count" in plan
 
 
-def test_duplicate_rows_both_strategies(spark):
+def test_duplicate_rows_broadcast_and_shuffle(spark):
     stg = staging.stg_claims(skewed_raw(spark))
     fact = stg.select("claim_id", "patient_id", "provider_id", "diagnosis_code", "claim_amount",
                       "total_charges", "claim_from_date", "claim_thru_date", "drg_code", "_ingest_seq")
-    small = quality.duplicate_rows(fact)                      # one repeated key: broadcast
-    big = quality.duplicate_rows(fact, broadcast_limit=0)     # forced shuffle anti join
-    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
-    assert sorted(r._ingest_seq for r in small.collect()) == sorted(r._ingest_seq for r in big.collect())
-    assert small.count() == N // 3 - 1
+    small = sorted(r._ingest_seq for r in quality.duplicate_rows(fact).collect())
+    with forced_shuffle(spark):
+        big = quality.duplicate_rows(fact)
+        assert "BroadcastExchange" not in big._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r._ingest_seq for r in big.collect()) == small
+    assert len(small) == N // 3 - 1
+
+
+@contextlib.contextmanager
+def forced_shuffle(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_code_joins_by_shuffle_give_the_same_rows(spark, sf_small):
+    """J1 and J4 with a code list that is too big to broadcast."""
+    from carelake.contracts import queries as Q
+    build = lambda: {n: Q.QUERIES[n](spark, sf_small) for n in (
+        "mart_claims_summary", "mart_diagnosis_cost_analysis", "star_fact_claims", "star_dim_diagnosis")}
+    rows = lambda frames: {n: sorted(map(str, df.collect())) for n, df in frames.items()}
+    usual = rows(build())
+    with forced_shuffle(spark):
+        frames = build()
+        assert all("SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString() for df in frames.values())
+        assert rows(frames) == usual

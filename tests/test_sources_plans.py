@@ -13,7 +13,8 @@ def test_claims_csv_selects_by_name(spark, tmp_path):
     vals = ["x", "C1", "B1", "P1", "01", "D001", "y", "470", "5.5", "10", "20150102", "02-Mar-2015",
             "10", "N", "01", "1"]
     path.write_text("|".join(cols) + "\n" + "|".join(vals) + "\n")
-    df = claims_csv.read_claims_csv(spark, str(path))
+    assert set(claims_csv.read_claims_csv(spark, str(path), ingest_order=False).columns) == set(cols)
+    df = claims_csv.read_claims_csv(spark, str(path), columns=claims_csv.RAW_CLAIM_COLUMNS, normalize_dates=True)
     r = df.collect()[0]
     assert r.CLM_ID == "C1" and r.CLM_LINE_NUM == "01" and r.CLM_DRG_CD == "470"
     assert r.CLM_FROM_DT == "2015-01-02" and r.CLM_THRU_DT == "2015-03-02"
@@ -135,21 +136,58 @@ def test_medallion_strict_raises_on_failed_tests(spark, sf_small, tmp_path):
     assert spark.read.parquet(str(tmp_path / "m/gold/mart_provider_performance")).count() > 0
 
 
-def test_oversized_seed_refused(spark, tmp_path):
+def test_seed_file_of_any_size(spark, tmp_path):
     p = tmp_path / "big_seed.csv"
-    p.write_text("state_code,state_name\n" + "\n".join(f"{i},S{i}" for i in range(20)) + "\n")
-    assert seeds.read_state_codes_csv(spark, str(p)).count() == 20
-    with pytest.raises(ValueError):
-        seeds.read_state_codes_csv(spark, str(p), max_rows=10)
-
-
-def test_fit_shuffle_partitions(spark):
-    from carelake.session import fit_shuffle_partitions
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    df = spark.range(100_000)
-    try:
-        assert fit_shuffle_partitions(spark, df) == int(before)          # small input: unchanged
-        raised = fit_shuffle_partitions(spark, df, target_bytes=1024)     # ~800 KB / 1 KB
-        assert raised > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(raised)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    p.write_text("state_code,state_name\n" + "\n".join(f"{i},S{i}" for i in range(3000)) + "\n")
+    assert seeds.read_state_codes_csv(spark, str(p)).count() == 3000
+
+
+HEAD = "|".join(claims_csv.RAW_CLAIM_COLUMNS)
+
+
+def test_claims_csv_quotes_and_backslashes(spark, tmp_path):
+    rows = [['a "q" b', "back\\", "x|y", *"12345678901"], ["plain", "", "z", *"12345678901"]]
+    df = spark.createDataFrame([tuple(r) for r in rows], [c for c in claims_csv.RAW_CLAIM_COLUMNS])
+    back = claims_csv.read_claims_csv(spark, sinks.write_claims_csv(df, str(tmp_path / "c")), ingest_order=False)
+    assert sorted(back.collect())[0][:3] == ('a "q" b', "back\\", "x|y")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "c").glob("*.csv")))
+    assert '"a ""q"" b"' in text
+
+
+@pytest.mark.parametrize("line", ["|".join("1" * 15), "|".join("1" * 13)])
+def test_claims_csv_refuses_malformed_lines(spark, tmp_path, line):
+    (tmp_path / "c.csv").write_text(f"{HEAD}\n{'|'.join('1' * 14)}\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE|FAILFAST"):
+        claims_csv.read_claims_csv(spark, str(tmp_path / "c.csv")).collect()
+
+
+def test_claims_csv_refuses_another_header(spark, tmp_path):
+    names = claims_csv.RAW_CLAIM_COLUMNS
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/1.csv").write_text(f"{HEAD}\n{'|'.join('1' * 14)}\n")
+    (tmp_path / "d/2.csv").write_text("|".join([names[1], names[0], *names[2:]]) + f"\n{'|'.join('2' * 14)}\n")
+    with pytest.raises(Exception, match="header"):
+        claims_csv.read_claims_csv(spark, str(tmp_path / "d")).collect()
+
+
+def test_file_order_is_path_order(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for i in range(6):
+        (tmp_path / f"d/part-{i}.csv").write_text(HEAD + "\n" + "|".join([str(i)] + ["1"] * 13) + "\n")
+    df = claims_csv.read_claims_csv(spark, str(tmp_path / "d"))
+    assert [r.CLM_ID for r in df.orderBy("_ingest_seq").collect()] == list("012345")
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode(monkeypatch):
+    from carelake import session
+
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: Conf)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(type("S", (), {"sparkContext": Context}))
