@@ -7,12 +7,14 @@ checkpoint directory and return the lazily read-back result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.contracts import normalize as N
+from carelake.functions.columns import strip_ws
 from carelake.operators import (dedup, freshness, marts, quality, questions, sql_audit, staging,
                                 star)
 from carelake.plans.legacy_star import build_star_tables, run_star
@@ -347,6 +349,28 @@ def q_legacy_star_run(spark, sf):
                              F.lit("loaded" if res.loaded else "not loaded").alias("load_status"))
 
 
+def q_legacy_star_loaded(spark, sf):
+    """The legacy run on claims that pass the gate (no negative
+    payment, one list entry per code): the four declared tables read back."""
+    amount = F.col("CLM_PMT_AMT").cast("double")
+    raw = fixtures.claims_raw(spark, sf).where(amount.isNull() | (amount >= 0))
+    icd = fixtures.icd_codes_raw(spark, sf)
+    icd = dedup.keep_first(icd.where("code is not null").withColumn("listed", strip_ws("code")), ["listed"],
+                           [icd_csv.ICD_INGEST_ORDER]).drop("listed")
+    out, database = scratch_path(spark, "star_loaded"), f"star_{uuid.uuid4().hex}"
+    res = build_star_tables(spark, raw, icd, seeds.state_codes(spark), out, database)
+    if not res.loaded:
+        raise RuntimeError("the gate did not pass")
+    parts = None
+    for name in sinks.STAR_LOAD_ORDER:
+        t = spark.table(f"{database}.{name}")
+        part = t.select(F.lit(name).alias("table_name"), F.col(t.columns[0]).alias("key"), F.concat_ws("|", *[
+            F.coalesce(F.round(F.col(c) * 100).cast("bigint").cast("string") if kind == "double" else F.col(c), F.lit("-"))
+            for c, kind in t.dtypes[1:]]).alias("value"))
+        parts = part if parts is None else parts.union(part)
+    return parts
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_claims": q_stg_claims,
     "stg_icd_codes": q_stg_icd_codes,
@@ -384,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_audit": q_sql_audit,
     "medallion_marts": q_medallion_marts,
     "legacy_star_run": q_legacy_star_run,
+    "legacy_star_loaded": q_legacy_star_loaded,
 }
 
 

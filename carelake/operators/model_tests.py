@@ -1,9 +1,6 @@
 """Declarative column tests over the models, reported as a table.
 
-Each model is scanned once for all of its not-null columns (conditional
-counts in one aggregation); a uniqueness test is one more aggregation
-(number of values that occur more than once, NULLs ignored). The results
-are assembled with ``unionByName`` into (model, column_name, test,
+Each model is scanned once for all of its tests. The results are assembled with ``unionByName`` into (model, column_name, test,
 failures, status).
 """
 
@@ -24,40 +21,32 @@ MODEL_TESTS = {
 }
 
 
-def _rows(model: str, column: str, test: str, failures) -> DataFrame:
-    return failures.select(
-        F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-        F.lit(test).alias("test"), F.col("failures").cast("bigint").alias("failures"))
-
-
-def not_null_failures(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """Rows with NULL in each column, all columns from one scan."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"f{i}") for i, c in enumerate(columns)])
-    stack = ", ".join(f"'{c}', f{i}" for i, c in enumerate(columns))
-    long = counts.selectExpr(f"stack({len(columns)}, {stack}) as (column_name, failures)")
-    return long.select(F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
-                       F.col("failures").cast("bigint").alias("failures"))
-
-
-def unique_failures(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Distinct non-NULL values that occur more than once."""
-    dupes = (df.where(F.col(column).isNotNull()).groupBy(column).count()
-               .agg(F.count_if(F.col("count") > 1).alias("failures")))
-    return _rows(model, column, "unique", dupes)
+def model_failures(df: DataFrame, model: str, specs: list[tuple[str, str]]) -> DataFrame:
+    """All tests of one model from one scan. Not-null tests are conditional
+    counts. A unique test groups by its column first (partially aggregated, so a
+    hot value is cheap) and carries the other tests' counts along; a model has
+    at most one unique column."""
+    unique = [c for c, t in specs if t == "unique"]
+    if len(unique) > 1:
+        raise ValueError(f"{model}: more than one unique test")
+    nulls = {f"n{i}": F.count_if(F.col(c).isNull()) for i, (c, t) in enumerate(specs) if t == "not_null"}
+    if unique:
+        per_value = df.groupBy(F.col(unique[0]).alias("__value")).agg(
+            F.count(F.lit(1)).alias("__n"), *[c.alias(k) for k, c in nulls.items()])
+        counts = per_value.agg(
+            F.count_if(F.col("__value").isNotNull() & (F.col("__n") > 1)).alias("u"),
+            *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in nulls])
+    else:
+        counts = df.agg(*[c.alias(k) for k, c in nulls.items()])
+    found = ", ".join(f"'{c}', '{t}', cast({'u' if t == 'unique' else f'n{i}'} as bigint)" for i, (c, t) in enumerate(specs))
+    return counts.selectExpr(f"stack({len(specs)}, {found}) as (column_name, test, failures)").select(
+        F.lit(model).alias("model"), "column_name", "test", "failures")
 
 
 def run_model_tests(models: dict[str, DataFrame], tests: dict | None = None) -> DataFrame:
     """The test report over ``models`` (name -> DataFrame)."""
     tests = tests or MODEL_TESTS
-    parts = []
-    for model, specs in tests.items():
-        if model not in models:
-            continue
-        df = models[model]
-        nn = [c for c, t in specs if t == "not_null"]
-        if nn:
-            parts.append(not_null_failures(df, model, nn))
-        parts += [unique_failures(df, model, c) for c, t in specs if t == "unique"]
+    parts = [model_failures(models[m], m, specs) for m, specs in tests.items() if m in models]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -26,8 +26,9 @@ class StarResult:
 
 
 def build_star_tables(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame,
-                      states: DataFrame, out_root: str) -> StarResult:
-    """The legacy ETL from raw DataFrames into ``out_root``."""
+                      states: DataFrame, out_root: str, database: str | None = None) -> StarResult:
+    """The legacy ETL from raw DataFrames into ``out_root``; with ``database``
+    the star's tables are declared there first (S9) and loaded in place."""
     apply_conf(spark)
     res = StarResult()
     read = spark.read.parquet
@@ -44,7 +45,10 @@ def build_star_tables(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataF
     res.report = read(res.tables["quality_report"])
     split = {"fact_claims": fact, "dim_patient": pat, "dim_provider": prov, "dim_diagnosis": diag}
     if quality.all_passed(res.report):
+        declared = sinks.create_star_tables(spark, f"{out_root}/star", database) if database else []
         res.tables.update(sinks.load_star(split, f"{out_root}/star"))
+        for name in declared:
+            spark.catalog.refreshTable(name)
         # (load_star writes the dimensions before the fact, one after another)
         res.loaded = True
         split = {name: read(res.tables[name]) for name in split}

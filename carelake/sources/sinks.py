@@ -68,6 +68,8 @@ def create_star_tables(spark: SparkSession, root: str, database: str | None = No
     tables at ``root/<name>``. Parquet does not enforce NOT NULL, so
     :func:`load_star` checks the keys before writing."""
     names = []
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
     for name, schema in STAR_TABLES.items():
         full = f"{database}.{name}" if database else name
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({_ddl(schema)}) USING parquet LOCATION '{root}/{name}'")
