@@ -18,7 +18,7 @@ from carelake.functions.columns import strip_ws
 from carelake.operators import (dedup, freshness, marts, quality, questions, sql_audit, staging,
                                 star)
 from carelake.plans.legacy_star import build_star_tables, run_star
-from carelake.plans.medallion import build_models, run_medallion
+from carelake.plans.medallion import MARTS, build_models, run_medallion
 from carelake.schemas import RAW_CLAIM_COLUMNS
 from carelake.session import apply_conf, scratch_path
 from carelake.sources import claims_csv, fixtures, icd_csv, seeds, sinks
@@ -371,6 +371,16 @@ def q_legacy_star_loaded(spark, sf):
     return parts
 
 
+def q_run_views(spark, sf):
+    """Rows of a run's views and of its marts' catalog tables."""
+    run = f"run_{uuid.uuid4().hex}"
+    build_models(spark, _fixture_bronze(spark, sf), fixtures.icd_codes_raw(spark, sf), seeds.state_codes(spark),
+                 scratch_path(spark, "views"), strict=False, database=run, view_prefix=f"{run}_")
+    views = ["stg_claims", "stg_icd_codes", "int_claims_deduplicated", *MARTS]
+    return questions.row_counts({f"view {n}": spark.table(f"{run}_{n}") for n in views}
+                                | {f"table {n}": spark.table(f"{run}.{n}") for n in MARTS})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_claims": q_stg_claims,
     "stg_icd_codes": q_stg_icd_codes,
@@ -409,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_marts": q_medallion_marts,
     "legacy_star_run": q_legacy_star_run,
     "legacy_star_loaded": q_legacy_star_loaded,
+    "run_views": q_run_views,
 }
 
 

@@ -38,11 +38,14 @@ class MedallionResult:
 
 
 def build_models(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame,
-                 out_root: str, strict: bool = True) -> MedallionResult:
+                 out_root: str, strict: bool = True, database: str | None = None,
+                 view_prefix: str = "") -> MedallionResult:
     """Silver and gold layers from bronze DataFrames, written under
     ``out_root``; then the model tests and row counts, read from the
     written tables. With ``strict`` a failing test raises after all tables
-    are written (like a failed test step after the model step)."""
+    are written (like a failed test step after the model step). ``database``
+    also lists the marts there as catalog tables. ``view_prefix`` keeps the views
+    of several runs in one session apart."""
     apply_conf(spark)
     res = MedallionResult()
     t = res.tables
@@ -50,24 +53,26 @@ def build_models(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame,
 
     stg = staging.stg_claims(claims_raw)
     icd = staging.stg_icd_codes(icd_raw)
-    stg.createOrReplaceTempView("stg_claims")
-    icd.createOrReplaceTempView("stg_icd_codes")
+    stg.createOrReplaceTempView(f"{view_prefix}stg_claims")
+    icd.createOrReplaceTempView(f"{view_prefix}stg_icd_codes")
 
     deduped = staging.drop_hidden(dedup.int_claims_deduplicated(stg))
     t["int_claims_deduplicated"] = sinks.write_table(deduped, f"{out_root}/silver/int_claims_deduplicated")
     claims = read(t["int_claims_deduplicated"])
-    claims.createOrReplaceTempView("int_claims_deduplicated")
+    claims.createOrReplaceTempView(f"{view_prefix}int_claims_deduplicated")
 
     built = {
         "mart_claims_summary": marts.claims_summary(claims, icd, states),
         "mart_provider_performance": marts.provider_performance(claims, states),
         "mart_diagnosis_cost_analysis": marts.diagnosis_cost_analysis(claims, icd),
     }
-    t.update(sinks.write_tables({name: (df, f"{out_root}/gold/{name}") for name, df in built.items()}))
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{out_root}/gold'")
+    t.update(sinks.write_tables({name: (df, f"{out_root}/gold/{name}") for name, df in built.items()}, database=database))
     models = {"stg_claims": staging.drop_hidden(stg), "int_claims_deduplicated": claims}
     for name in built:
         models[name] = read(t[name])
-        models[name].createOrReplaceTempView(name)
+        models[name].createOrReplaceTempView(f"{view_prefix}{name}")
 
     report = model_tests.run_model_tests(models)
     counts = questions.row_counts({

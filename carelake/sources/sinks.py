@@ -21,12 +21,17 @@ QUOTING = {"quote": '"', "escape": '"'}
 KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
-    """Overwrite a table at ``path`` (parquet by default)."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                table: str | None = None) -> str:
+    """Overwrite a table at ``path`` (parquet by default), under the
+    catalog name ``table`` where given."""
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    if table:
+        w.option("path", path).saveAsTable(table)
+    else:
+        w.save(path)
     return path
 
 
@@ -40,9 +45,11 @@ def run_concurrently(actions: dict[str, Callable[[], str]], max_parallel: int =
         return {name: f.result() for name, f in futures.items()}
 
 
-def write_tables(jobs: dict[str, tuple[DataFrame, str]], max_parallel: int = 4) -> dict[str, str]:
-    """Write independent tables concurrently: name -> (DataFrame, path)."""
-    return run_concurrently({name: (lambda d=df, p=path: write_table(d, p))
+def write_tables(jobs: dict[str, tuple[DataFrame, str]], max_parallel: int = 4,
+                 database: str | None = None) -> dict[str, str]:
+    """Write independent tables concurrently: name -> (DataFrame, path); with
+    ``database`` also as catalog tables of it."""
+    return run_concurrently({name: (lambda d=df, p=path, n=name: write_table(d, p, table=f"{database}.{n}" if database else None))
                              for name, (df, path) in jobs.items()}, max_parallel)
 
 
