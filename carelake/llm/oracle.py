@@ -118,5 +118,42 @@ FROM d LEFT JOIN best USING (rid) LEFT JOIN al USING (rid)
 """
 
 
+def _shards() -> str:
+    """CRC-32 byte by byte; rows numbered in order; the network's rounds as
+    nested tables, walked until a number lands below the row count."""
+    from carelake.llm import sharding as S
+    from carelake.llm.queries import SHARDS
+
+    rounds = "SELECT origin, step, half, mask, n, x >> half AS l, x & mask AS r FROM walk WHERE step = 0 OR x >= n"
+    for k in range(S.ROUNDS):
+        t = f"((r + {S.round_key(S.SEED, k)}) % {S.PRIME} * {S.MULTIPLIERS[0]} % {S.PRIME})"
+        t = f"(xor({t}, {t} >> 15) % {S.PRIME} * {S.MULTIPLIERS[1]} % {S.PRIME})"
+        rounds = f"SELECT origin, step, half, mask, n, r AS l, xor(l, xor({t}, {t} >> 13) & mask) AS r FROM ({rounds})"
+    return f"""
+WITH RECURSIVE
+tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))),
+d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes
+  FROM documents),
+c AS (
+  SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) AS crc
+  FROM d, tab),
+s AS (SELECT count(*) AS n, greatest(1, (CASE WHEN count(*) > 1 THEN length(bin(count(*) - 1)) ELSE 0 END + 1) // 2) AS half FROM c),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, crc) - 1 AS number FROM c),
+walk AS (
+  SELECT number AS origin, 0 AS step, CAST(half AS BIGINT) AS half, (1::BIGINT << half) - 1 AS mask, n, number AS x FROM numbered, s
+  UNION ALL
+  SELECT origin, step + 1, half, mask, n, (l << half) | r FROM ({rounds})),
+place AS (SELECT origin, arg_max(x, step) AS p FROM walk GROUP BY origin)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS shard,
+  CAST(p // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN place ON number = origin
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": _licenses(), "op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY}
+    return {"op3_license_scan": _licenses(), "op7_sharding": _shards(), "op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY}

@@ -8,7 +8,7 @@ import pytest
 
 from carelake.llm import sharding as S
 from carelake.llm.queries import SHARDS, queries
-from tests.llm.helpers import docs
+from tests.llm.helpers import compare, docs
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 1000, 4097])
@@ -43,6 +43,10 @@ def test_query(spark):
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
 
+def test_sql(spark):
+    compare(spark, "op7_sharding", "/root/testdata/sf0.001")
+
+
 def test_repeated_rows_and_edges(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(S, "COPIES_AT_ONCE", 7)
     rows = [(None, None)] * 3 + [(1, "copy")] * 100 + [(1, "other"), (2, "")]
