@@ -37,7 +37,7 @@ TRAIN_DOCS = 1500
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
 BITS = np.uint64(21)  # a code point
-CHUNK = 1 << 20
+BLANK = np.uint64(32)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -58,10 +58,12 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     c = _codes(text)
     if len(c) < 3:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
+    letter = c != 0
+    c = np.where(letter, c, BLANK)  # not 0, or " a" would have the number of "a"
     two = (c[:-1] << BITS) | c[1:]
     three = (two[:-1] << BITS) | c[2:]
     # A blank may begin or end an n-gram, not lie inside it.
-    grams = np.concatenate([c[c != 0], two, three[c[1:-1] != 0]])
+    grams = np.concatenate([c[letter], two, three[letter[1:-1]]])
     return np.unique(grams, return_counts=True)
 
 
