@@ -167,6 +167,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
               .select("t_lang", "t_source",
                       F.when(F.col("r1") >= min_group, F.col("l1")).when(F.col("r2") >= min_group, F.col("l2"))
                       .otherwise(f_all).alias("limits")))
+    # Written, its size is known to the planner: few groups are broadcast, and
+    # the rows with their texts stay where they are.
+    chosen = materialise(chosen, "quality-fences")
     joined = measured.join(chosen, F.col("g_lang").eqNullSafe(F.col("t_lang"))
                            & F.col("g_source").eqNullSafe(F.col("t_source")), "left")
     over = F.lit(False)
