@@ -140,7 +140,7 @@ class QueryExecutionError(RuntimeError):
 
 
 # Expressions that run code of the JVM.
-CODE_EXPRESSIONS = {"CallMethodViaReflection", "TryReflect", "StaticInvoke", "Invoke"}
+CODE_EXPRESSIONS = {"CallMethodViaReflection", "TryReflect"}
 
 
 def _children(node) -> list:

@@ -151,11 +151,15 @@ def test_run_query_accepts_only_mart_plans(spark, tmp_path):
     for bad in ("SELECT state FROM mart_claims_summary UNION ALL SELECT state FROM\u00a0stg_claims",
                 f"{m}, stg_claims b", f"{m}, parquet.`{tmp_path}/t` b", f"{m}, range(5) b",
                 "SELECT reflect('java.lang.System', 'lineSeparator') FROM mart_claims_summary",
+                "SELECT `java_method`('java.lang.System', 'lineSeparator') FROM mart_claims_summary",
+                "SELECT upper(try_reflect('java.lang.System', 'lineSeparator')) FROM mart_claims_summary",
                 f"{m} WHERE EXISTS (SELECT 1 FROM mart_claims_summary c, stg_claims d)"):
         with pytest.raises(sql_audit.GuardrailViolation):
             sql_audit.run_query(spark, bad)
     with pytest.raises(sql_audit.QueryExecutionError):
         sql_audit.run_query(spark, "SELECT no_such_column FROM mart_claims_summary")
+    plain = "SELECT url_encode(state) AS s FROM mart_claims_summary LIMIT 1"
+    assert sql_audit.run_query(spark, plain).count() == 1
     good = "SELECT state FROM mart_claims_summary WHERE state IN (SELECT max(state) FROM mart_claims_summary)"
     assert [r.state for r in sql_audit.run_query(spark, good).collect()] == ["2"]
 
