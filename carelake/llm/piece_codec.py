@@ -26,6 +26,7 @@ unknown id to its own mark; repeated rows, empty tables and extra columns pass.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import struct
@@ -42,7 +43,7 @@ from carelake.llm.common import ROW, map_arrow, slices, unpack
 
 BLANK = "▁"
 UNKNOWN_MARK = " ⁇ "
-KEPT_PARTS = 250_000
+KEPT_PARTS = 500_000
 KEPT_LENGTH = 48
 KEPT_PAIRS = 1_000_000
 # Letters that the part pattern may cut after: ASCII and Latin with marks.
@@ -97,6 +98,8 @@ class PieceModel:
             if len(p) > 1 and p.strip(BLANK) and self.merge(p, self.halves) == [p]:
                 self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
+        # The next shorter piece (or character) that a piece begins with, by length.
+        self._shorter = {p: next(k for k in range(len(p) - 1, 0, -1) if k == 1 or p[:k] in self.automaton) for p in self.automaton.keys()}
         # Parts come before wholes, so a pair's merges can be undone in order.
         self._in_order = all(self.score.get(h, 0) > self.score[p] for p, hs in self.halves.items() for h in hs if len(h) > 1)
         self._spines = _Kept(self._spine, KEPT_PAIRS, 1 << 20), _Kept(lambda p: self._spine(p, 1), KEPT_PAIRS, 1 << 20)
@@ -184,31 +187,29 @@ class PieceModel:
         n = len(text)
         if n > 1 and BLANK * 2 in text:
             return self.merge(text)
-        # By position, ascending (matches come by their end); one character is always a symbol.
-        lengths: list[list[int]] = [[1] for _ in range(n)]
+        # By position the longest match (matches come by their end); one character is always a symbol.
+        longest = [1] * n
         for last, length in self.automaton.iter(text):
-            lengths[last - length + 1].append(length)
-        failed = bytearray(n + 1)
+            longest[last - length + 1] = length
+        longest.append(0)
+        failed, fits, shorter = bytearray(n + 1), self._fits, self._shorter
         pieces: list[str] = []
-        tried: list[int] = []   # for each piece: its place in the lengths at its position
-        at, turn = 0, len(lengths[0]) - 1 if n else 0
+        at, length = 0, longest[0]
         while at < n:
-            before = pieces[-1] if pieces else None
-            while turn >= 0:
-                stop = at + lengths[at][turn]
-                piece = text[at:stop]
-                if not failed[stop] and (before is None or self._fits[before, piece]):
+            while length:
+                piece = text[at:at + length]
+                if not failed[at + length] and (not pieces or fits[pieces[-1], piece]):
                     break
-                turn -= 1
-            if turn >= 0:
+                length = shorter.get(piece, 0)
+            if length:
                 pieces.append(piece)
-                tried.append(turn)
-                at = stop
-                turn = len(lengths[at]) - 1 if at < n else 0
+                at += length
+                length = longest[at]
             else:
                 failed[at] = 1
-                at -= len(pieces.pop())
-                turn = tried.pop() - 1
+                piece = pieces.pop()
+                at -= len(piece)
+                length = shorter.get(piece, 0)
         return pieces
 
     def _part_ids(self, part: str) -> bytes:
@@ -284,11 +285,15 @@ def encode(docs: DataFrame, model: str, text: str = "text", carry: list[str] | N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_model(model)
         tail = np.array([pieces.end] * end, dtype="<i4").tobytes()
-        for batch in slices(batches):
-            parts = [pieces.encode(t) + tail for t in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column(ROW), ids], names=[ROW, "ids"])
+        gc.disable()  # very many short-lived tuples and no cycles
+        try:
+            for batch in slices(batches):
+                parts = [pieces.encode(t) + tail for t in batch.column("text").to_pylist()]
+                ends = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
+                yield pa.RecordBatch.from_arrays([batch.column(ROW), ids], names=[ROW, "ids"])
+        finally:
+            gc.enable()
 
     return unpack(map_arrow(rows, run, schema), ["ids"])
 
