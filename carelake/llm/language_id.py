@@ -170,10 +170,13 @@ def held_out(id_: str = "doc_id") -> Column:
 def filter_documents(docs: DataFrame, train_on: DataFrame | None = None, min_score: float = 0.05) -> DataFrame:
     """The rows whose text has a language: not ``und``, and a score of at least
     ``min_score`` (a text of known words scores 0.3 and more; one that shares
-    hardly any n-gram with any profile is in none of the languages)."""
+    hardly any n-gram with any profile is in none of the languages). If no row
+    can be trained on, every row that has a letter."""
     train = docs if train_on is None else train_on
     known = collect_profiles(train_profiles(train.where(~held_out())))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"))
     predicted = predict_language(row, known, carry=["doc"])
-    kept = predicted.where((F.col("lang_pred") != UNKNOWN) & ((F.col("score") >= min_score) | F.lit(not known.langs)))
+    # Without a profile no text can be told from another: those with a letter stay.
+    named = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
+    kept = predicted.where(named if known.langs else F.col("doc.text").rlike(r"\p{L}"))
     return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

@@ -67,3 +67,10 @@ def test_plain_profile_agrees(spark):
     profiles = {lang: plain_profile(ts) for lang, ts in texts.items()}
     for t in ("the mat", "katze auf", "cat der", "zzz"):
         assert known.predict(t)[0] == plain_language(profiles, t)
+
+
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    rows = [(1, "the cat sat on the mat"), (2, "katze"), (3, None), (4, ""), (5, "12 !?"), (6, "漢字")]
+    assert sorted(r.doc_id for r in L.filter_documents(docs(spark, rows)).collect()) == [1, 2, 6]
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    assert L.filter_documents(docs(spark, [(held, "the cat", "en")])).count() == 1
