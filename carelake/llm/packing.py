@@ -11,7 +11,9 @@ of one with the emptiest of the other, until one near-equal partition is left.
 If a window exceeds the capacity the block gets one window more and starts anew.
 
 Token ids are computed once, in the tasks that hold the texts; only the pieces
-(a few numbers each) are written and shuffled.
+(a few numbers each) are written and shuffled. They are those of the
+``tokenizers`` library in its default setting: an added token of the file that
+a text holds is one id.
 
 Defined results: a null text is empty (its one token is the end id); repeated
 rows are packed one by one; an empty table gives an empty result; the text's
@@ -66,9 +68,30 @@ def byte_bpe(path: str, pattern: str):
 _RUN = re.compile(r"\s\s")
 
 
-def token_ids(text: str, encoders) -> np.ndarray:
+@lru_cache(maxsize=2)
+def added_tokens(path: str) -> tuple[re.Pattern, dict[str, int]] | None:
+    """The file's added tokens, which the library takes out of a text before the
+    rest is encoded: a pattern with them as its one group (of those that begin at
+    one place the longest), and their ids."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens") or []
+    odd = [t["content"] for t in added if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+    if odd:
+        raise ValueError(f"added tokens with single_word, lstrip or rstrip: {odd}")
+    ids = {t["content"]: t["id"] for t in added if t["content"]}
+    longest = sorted(ids, key=len, reverse=True)
+    return (re.compile("(" + "|".join(map(re.escape, longest)) + ")"), ids) if ids else None
+
+
+def token_ids(text: str, encoders, added: tuple[re.Pattern, dict[str, int]] | None = None) -> np.ndarray:
     plain, full = encoders
-    ids = (full if _RUN.search(text) else plain).encode_ordinary(text)
+    ids = []
+    # With one group, every second part is an added token.
+    for i, part in enumerate(added[0].split(text) if added else [text]):
+        if i % 2:
+            ids.append(added[1][part])
+        elif part:
+            ids += (full if _RUN.search(part) else plain).encode_ordinary(part)
     return np.array(ids, dtype="<u4")
 
 
@@ -138,11 +161,11 @@ def pieces(docs: DataFrame, tokenizer: str, pattern: str, carry: list[str], text
     schema = T.StructType([rows.schema[ROW], *PIECE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = byte_bpe(tokenizer, pattern)
+        encoders, added = byte_bpe(tokenizer, pattern), added_tokens(tokenizer)
         for batch in slices(batches):
             at, out = [], []
             for i, t in enumerate(batch.column("text").to_pylist()):
-                ids = np.append(token_ids(t or "", encoders), np.uint32(END_ID)).astype("<u4")
+                ids = np.append(token_ids(t or "", encoders, added), np.uint32(END_ID)).astype("<u4")
                 raw = memoryview(ids.tobytes())
                 for start, length in cut(len(ids), window, max_piece):
                     at.append(i)

@@ -89,3 +89,17 @@ def test_edges(spark, library):
     assert P.pack(docs(spark, []), PATH, public_tokenizers.PATTERN).count() == 0
     again = P.pack(docs(spark, [(1, "a b"), (1, "a b"), (None, "a b")]), PATH, public_tokenizers.PATTERN).collect()
     assert len(again) == 3 and sorted(r.offset for r in again) == [0, 3, 6]
+
+
+def test_added_tokens_as_in_the_library(spark):
+    """The library in its default setting takes added tokens out of the text."""
+    default = Tokenizer.from_file(PATH)
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "a", "é", "'s", " word", "1"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|><|endoftext|>"] + ["".join(rng.choices(parts, k=rng.randint(1, 20))) for _ in range(500)]
+    encoders, added = P.byte_bpe(PATH, public_tokenizers.PATTERN), P.added_tokens(PATH)
+    for t in texts:
+        assert P.token_ids(t, encoders, added).tolist() == default.encode(t, add_special_tokens=False).ids
+    assert 50256 in P.token_ids(texts[0], encoders, added)
+    rows = list(enumerate(texts[:40]))
+    check(P.pack(docs(spark, rows), PATH, public_tokenizers.PATTERN, carry=["doc_id"]).collect(), rows, default)
