@@ -1,5 +1,7 @@
 """Language ID: held-out accuracy, a plain version, odd texts."""
 
+import base64
+import random
 import zlib
 
 import numpy as np
@@ -74,3 +76,21 @@ def test_without_labels_every_text_with_a_letter_stays(spark):
     assert sorted(r.doc_id for r in L.filter_documents(docs(spark, rows)).collect()) == [1, 2, 6]
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
     assert L.filter_documents(docs(spark, [(held, "the cat", "en")])).count() == 1
+
+
+def test_texts_in_no_language_go(spark):
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    clean = clean.where("length(text) > 0 and text rlike '[a-z]'")
+    rng = random.Random(6)
+    text = lambda word, n: " ".join(word() for _ in range(n))
+    words = {"letters": lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))),
+             "hex": lambda: f"{rng.getrandbits(32):08x}", "base64": lambda: base64.b64encode(rng.randbytes(9)).decode()}
+    junk = [text(w, n) for w in words.values() for n in (30, 100, 1000) for _ in range(5)]
+    junk.append("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+                "i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności")
+    short = [" ".join(r.text.split()[:n]) for r in clean.where("doc_id % 10 = 0").collect() for n in (3, 5, 10)]
+    rows = [(-1 - i, t) for i, t in enumerate(junk)] + [(10**6 + i, t) for i, t in enumerate(short)]
+    want = clean.count() + len(short)
+    kept = {r.doc_id for r in L.filter_documents(clean.union(docs(spark, rows)), train_on=clean).select("doc_id").collect()}
+    assert not [d for d in kept if d < 0]
+    assert len([d for d in kept if d >= 0]) == want
