@@ -4,14 +4,18 @@
 a few sorted passes (nodes next to each other by random hyperplane signs and a
 projection are compared in blocks), then by NN-descent: each round brings every
 node's neighbours and reverse neighbours together with their vectors, compares
-those of which at least one is new to it, and every node keeps its ``K`` best.
-Rounds end when few lists change. A node's group has at most ``K + REVERSE``
-rows (reverse neighbours beyond that are drawn anew by hash in each round), so
-no hub or dense region makes a group large; joins on hubs can be split.
-
-*Search.* All queries walk together: each keeps its ``BEAM`` best nodes, expands
+those of which at least one is new to it, and every node keeps its ``k`` best.
+Rounds end when few lists change. A node's group has at most ``2 k`` rows, so no
+hub or dense region makes a group large; joins on hubs can be split. Of a hub's
+reverse neighbours ``k`` are drawn in each round, those that wait first: a link
+waits at its far end until it was drawn there, and is new there until then. A
+group offers ``k`` neighbours to a node, as many as the node can keep, so none
+of its best is lost. ``k`` and the beam grow with the number of nodes (``sizes``).
+
+*Search.* All queries walk together: each keeps the best nodes in its beam, expands
 the best ones not yet expanded through one join with the graph and one with the
-vectors, and ends when all nodes in its beam are expanded. It begins at a bounded
+vectors, and ends when all nodes in its beam are expanded; no number of steps
+cuts it short (a node is expanded once for a query, so the walk ends). It begins at a bounded
 sample of ``SEEDS`` nodes and at its own node if its vector is in the index.
 Scores are computed from the original vectors in double precision.
 
@@ -24,6 +28,8 @@ once; an empty table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,20 +42,24 @@ from pyspark.sql import Window as W
 from carelake.llm.common import map_arrow, materialise, release_shuffles, ship_package
 
 K = 28
-REVERSE = 28
 BLOCK = 128
 PASSES = 2
-OFFERS = 12         # new neighbours a group offers to one node
-MAX_ROUNDS = 10
 STOP_SHARE = 0.01   # of all list entries changed
 SEEDS = 64
 BEAM = 128
-EXPAND = 32         # nodes a query expands in one round
-MAX_STEPS = 40
+SIZED_FOR = 10_000  # nodes that K and BEAM are for
 
 EDGES = "u long, v long, sim double"
 
 
+def sizes(count: int) -> tuple[int, int]:
+    """Neighbours of a node and nodes in a beam: ``K`` and ``BEAM`` up to
+    ``SIZED_FOR`` nodes; with each doubling beyond, 3 neighbours more and a beam
+    wider by the square root of 2."""
+    doublings = max(0.0, math.log2(max(1, count) / SIZED_FOR))
+    return K + round(3 * doublings), round(BEAM * 2 ** (doublings / 2))
+
+
 def _matrix(column) -> np.ndarray:
     """Vectors of equal length as rows, in double precision."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -167,6 +177,24 @@ def _local_join(offers: int):
     return run
 
 
+def _drawn(graph: DataFrame, k: int, step: int) -> DataFrame:
+    """(u, v, fresh): at most ``k`` reverse neighbours v of every node u, those that wait first."""
+    own = W.partitionBy("u").orderBy(F.desc("fresh"), F.xxhash64("v", F.lit(step)))
+    reverse = graph.select(F.col("v").alias("u"), F.col("u").alias("v"), F.col("waiting").alias("fresh"))
+    return reverse.withColumn("n", F.row_number().over(own)).where(F.col("n") <= k).drop("n")
+
+
+def _after_round(graph: DataFrame, drawn: DataFrame, offers: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of lists and offers. Offers are fresh and wait; a link of
+    the graph is fresh no more and waits on if it was not drawn."""
+    took_part = drawn.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(None).cast("double").alias("sim"),
+                             F.lit(False).alias("fresh"), F.lit(False).alias("waiting"))
+    merged = graph.select("u", "v", "sim", F.lit(False).alias("fresh"), "waiting").union(took_part).union(
+        offers.select("u", "v", "sim", F.lit(True).alias("fresh"), F.lit(True).alias("waiting"))).groupBy("u", "v").agg(
+        F.max("sim").alias("sim"), F.min("fresh").alias("fresh"), F.min("waiting").alias("waiting"))
+    return _keep_best(merged, k)
+
+
 def build_graph(vectors: DataFrame, count: int, k: int = K) -> DataFrame:
     """(u, v, sim): the ``k`` best neighbours found of every node of ``vectors`` (node, vec)."""
     spark = vectors.sparkSession
@@ -176,21 +204,16 @@ def build_graph(vectors: DataFrame, count: int, k: int = K) -> DataFrame:
         links = _sorted_pass(vectors, bits, 1000 + p, k)
         first = links if first is None else first.union(links)
     edges = first.groupBy("u", "v").agg(F.max("sim").alias("sim"))
-    graph = materialise(_keep_best(edges, k).withColumn("fresh", F.lit(True)), "ann-graph")
-    for step in range(MAX_ROUNDS):
-        reverse = graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "fresh")
-        drawn = W.partitionBy("u").orderBy(F.xxhash64("v", F.lit(step)))
-        reverse = reverse.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= REVERSE).drop("n")
-        near = graph.select("u", "v", "fresh").union(reverse).groupBy("u", "v").agg(F.max("fresh").alias("fresh"))
+    graph = materialise(_keep_best(edges, k).withColumns({"fresh": F.lit(True), "waiting": F.lit(True)}), "ann-graph")
+    for step in itertools.count():  # lists only get better, so changes end
+        drawn = materialise(_drawn(graph, k, step), "ann-drawn")
+        near = graph.select("u", "v", "fresh").union(drawn).groupBy("u", "v").agg(F.max("fresh").alias("fresh"))
         worst = graph.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(F.lit(-2.0)).alias("worst"))
         carried = vectors.join(worst, F.col("node") == F.col("u"), "left").select(
             F.col("node").alias("v"), "vec", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
         gathered = near.join(carried, "v").select("u", "v", "fresh", "worst", "vec")
-        offers = map_arrow(gathered.repartition("u").sortWithinPartitions("u", "v"), _local_join(OFFERS), EDGES)
-        merged = graph.select("u", "v", "sim", F.lit(False).alias("fresh")).union(
-            offers.select("u", "v", "sim", F.lit(True).alias("fresh"))).groupBy("u", "v").agg(
-            F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-        graph = materialise(_keep_best(merged, k), "ann-graph")
+        offers = map_arrow(gathered.repartition("u").sortWithinPartitions("u", "v"), _local_join(k), EDGES)
+        graph = materialise(_after_round(graph, drawn, offers, k), "ann-graph")
         changed = graph.where("fresh").count()
         release_shuffles(spark)
         if changed <= STOP_SHARE * count * k:
@@ -203,7 +226,8 @@ STATE = T.StructType([T.StructField("q", T.LongType()), T.StructField("seen", T.
                       T.StructField("open", T.ArrayType(T.BooleanType()))])
 
 
-def _merged(q: int, vec: np.ndarray, seen: list, nodes: list, sims: list, is_open: list, ids: np.ndarray, x: np.ndarray) -> dict:
+def _merged(q: int, vec: np.ndarray, seen: list, nodes: list, sims: list, is_open: list, ids: np.ndarray, x: np.ndarray,
+            beam: int) -> dict:
     """The state of a query after ``ids`` with vectors ``x`` are looked at."""
     ids, at = np.unique(ids, return_index=True)
     new = ~np.isin(ids, np.array(seen, dtype=np.int64))
@@ -212,7 +236,7 @@ def _merged(q: int, vec: np.ndarray, seen: list, nodes: list, sims: list, is_ope
         sims = np.concatenate([sims, _unit(x[at]) @ _unit(vec[None, :])[0]])
         nodes = np.concatenate([nodes, ids]).astype(np.int64)
         is_open = np.concatenate([is_open, np.ones(len(ids), dtype=bool)]).astype(bool)
-        order = np.lexsort((nodes, -sims))[:BEAM]
+        order = np.lexsort((nodes, -sims))[:beam]
         nodes, sims, is_open = nodes[order].tolist(), sims[order].tolist(), is_open[order].tolist()
         seen = [*seen, *ids.tolist()]
     return {"q": q, "seen": seen, "nodes": nodes, "sims": sims, "open": is_open}
@@ -223,14 +247,15 @@ def _state_table(rows: list[dict]) -> pa.Table:
     return pa.table([pa.array([r[c] for r in rows], kind) for c, kind in kinds.items()], names=list(kinds))
 
 
-def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame) -> DataFrame:
+def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = K, beam: int = BEAM) -> DataFrame:
     """State rows of all ``queries`` (q, vec, own: its node or null)."""
     spark = vectors.sparkSession
+    expand = beam // 4  # nodes a query expands in one step
     ship_package(spark)
     back = materialise(graph.select(F.col("v").alias("u"), F.col("u").alias("v")).join(graph.select("u", "v"), ["u", "v"], "left_anti"), "ann-back")
     drawn = W.partitionBy("u").orderBy(F.xxhash64("v"))
     # Out-links all, in-links as many again, drawn by hash.
-    extra = back.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= REVERSE).drop("n")
+    extra = back.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= k).drop("n")
     links = materialise(graph.select("u", "v").union(extra), "ann-links")
     sample = vectors.orderBy(F.xxhash64("node"), "node").limit(SEEDS).collect()
     seed_ids = np.array([r.node for r in sample], dtype=np.int64)
@@ -243,36 +268,35 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame) -> DataFram
                 ids, x = seed_ids, seeds
                 if own is not None:
                     ids, x = np.append(ids, own), np.concatenate([x, vec[None, :]])
-                rows.append(_merged(q, vec, [], [], [], [], ids, x))
+                rows.append(_merged(q, vec, [], [], [], [], ids, x, beam))
             yield from _state_table(rows).to_batches()
 
     def look(state: pa.Table, offers: pa.Table) -> pa.Table:
         rows = []
         if state.num_rows:
             r = state.to_pylist()[0]
-            todo = [i for i, o in enumerate(r["open"]) if o][:EXPAND]
+            todo = [i for i, o in enumerate(r["open"]) if o][:expand]
             for i in todo:
                 r["open"][i] = False
             vec = np.array(r["vec"], dtype=np.float64)
             x = _matrix(offers.column("vec")) if offers.num_rows else np.empty((0, len(vec)))
-            rows.append(_merged(r["q"], vec, r["seen"], r["nodes"], r["sims"], r["open"], offers.column("v").to_numpy(), x))
+            rows.append(_merged(r["q"], vec, r["seen"], r["nodes"], r["sims"], r["open"], offers.column("v").to_numpy(), x, beam))
         return _state_table(rows)
 
     done = None
     state = materialise(map_arrow(queries.select("q", "own", "vec"), begin, STATE), "ann-states")
     asked = queries.select("q", "vec")
-    for _ in range(MAX_STEPS):
+    while True:
         going = state.where(F.exists("open", lambda o: o))
         ended = state.where(~F.exists("open", lambda o: o))
         done = ended if done is None else done.union(ended)
         if going.isEmpty():
             return done
-        first = F.slice(F.filter("nodes", lambda n, i: F.get("open", i)), 1, EXPAND)
+        first = F.slice(F.filter("nodes", lambda n, i: F.get("open", i)), 1, expand)
         asks = going.select(F.col("q").alias("asker"), F.explode(first).alias("u"))
         offers = asks.join(links, "u").select("asker", "v").distinct().join(vectors.withColumnRenamed("node", "v"), "v").select("asker", "v", "vec")
         state = materialise(going.join(asked, "q").groupBy("q").cogroup(offers.groupBy("asker")).applyInArrow(look, STATE), "ann-states")
         release_shuffles(spark)
-    return done.union(state)
 
 
 def nearest(table: DataFrame, wanted: int = 5, id_: str = "vec_id", vector: str = "embedding", query: Column | None = None) -> DataFrame:
@@ -285,11 +309,12 @@ def nearest(table: DataFrame, wanted: int = 5, id_: str = "vec_id", vector: str
                           .withColumn("node", F.min("id").over(W.partitionBy("vec"))), "ann-members")
     vectors = materialise(members.where("n = 1").select("node", "vec"), "ann-vectors")
     count = vectors.count()
-    graph = build_graph(vectors, count)
+    k, beam = sizes(count)
+    graph = build_graph(vectors, count, k)
     is_query = F.col("id") % 50 == 0 if query is None else query
     asked = rows.where(is_query).distinct().join(vectors.select("node", F.col("vec").alias("same")), F.col("vec") == F.col("same"), "left").select(
         F.col("id").alias("q"), "vec", F.col("node").alias("own"))
-    found = search(materialise(asked, "ann-queries"), vectors, graph)
+    found = search(materialise(asked, "ann-queries"), vectors, graph, k, beam)
     near = found.select("q", F.explode(F.slice(F.arrays_zip("nodes", "sims"), 1, wanted + 1)).alias("x")).select("q", "x.nodes", "x.sims")
     named = near.join(members.select("node", F.col("id").alias("vec_id")), F.col("nodes") == F.col("node")).where("vec_id <> q")
     order = W.partitionBy("q").orderBy(F.desc("sims"), "vec_id")

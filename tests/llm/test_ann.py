@@ -71,3 +71,20 @@ def test_few_and_none(spark):
     for rows in ([], [(0, [1.0, 2.0], 1)], [(0, [1.0, 2.0], 1), (7, [2.0, 1.0], 1)], [(0, None, 1)]):
         got = A.nearest(spark.createDataFrame(rows, SCHEMA)).collect()
         assert [r.vec_id for r in got] == ([7] if len(rows) == 2 else [])
+
+
+def test_a_link_waits_until_its_hub_draws_it(spark):
+    """Four nodes name hub 9, two are drawn in a round: the others wait, and come next."""
+    graph = spark.createDataFrame([(u, 9, u / 10, True, True) for u in (1, 2, 3, 4)], "u long, v long, sim double, fresh boolean, waiting boolean")
+    none = spark.createDataFrame([], A.EDGES)
+    first = A._drawn(graph, 2, 0)
+    graph = A._after_round(graph, first, none, 2)
+    early = {r.v for r in first.collect()}
+    assert {r.u for r in graph.where("waiting").collect()} == {1, 2, 3, 4} - early and not graph.where("fresh").count()
+    second = A._drawn(graph, 2, 1).collect()
+    assert {r.v for r in second} == {1, 2, 3, 4} - early and all(r.fresh for r in second)
+
+
+def test_sizes_follow_the_count():
+    assert A.sizes(0) == A.sizes(10_000) == (28, 128)
+    assert [A.sizes(n) for n in (40_000, 160_000)] == [(34, 256), (40, 512)]
