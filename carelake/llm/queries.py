@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import ann_graph, chat_format, language_id, license_scan, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
-from carelake.llm.common import ROW, table
+from carelake.llm import ann_graph, chat_format, language_id, license_scan, merkle_manifest, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
+from carelake.llm.common import ROW, materialise, table
 
 
 SHARDS = 40
@@ -77,6 +77,19 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         carry=["doc_id", "held_out"])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head, text = ["doc_id", "source", "lang", "n_chars"], F.col("text")
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & text.contains("\n")
+    leaf = merkle_manifest.leaf([*head, text])
+    shown = F.when(tampered, merkle_manifest.leaf([*head, F.replace(text, F.lit("\n"), F.lit(""))])).otherwise(leaf)
+    rows = materialise(table(spark, sf_dir, "documents").select("doc_id", "source", leaf.alias("leaf"), shown.alias("shown")), "merkle-input")
+    made = merkle_manifest.build_manifest(rows, "source", ["doc_id"], "leaf")
+    root = F.lit(made.root.hex() if made.root else None).cast("string")
+    proved = merkle_manifest.prove(made, "shown", ["doc_id", "digest"])
+    return proved.select("doc_id", F.lower(F.hex("digest")).alias("leaf"), "subroot", root.alias("root"), "proof_sha256", "folded_root",
+                         (F.col("folded_root") == root).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ann_graph, op2_packing, op3_license_scan, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op7_sharding, op8_substring_dedup, op9_chat_format,
-                                       op10_quality_rules)}
+                                    op10_quality_rules, op11_merkle_manifest)}
