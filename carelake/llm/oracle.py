@@ -118,6 +118,92 @@ FROM d LEFT JOIN best USING (rid) LEFT JOIN al USING (rid)
 """
 
 
+# CRC-32 of a short text, byte by byte, with the table of its 256 steps.
+_CRC_TABLE = """tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i)))"""
+
+
+def _crc(text: str) -> str:
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295)"
+
+
+def _manifest() -> str:
+    """Levels of all trees, then of the tree over their roots; siblings are joined
+    level by level, and digests folded the same way."""
+    value = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*map(value, ("doc_id", "source", "lang", "n_chars")), value(text)]) + ")"
+    grow = """SELECT tree, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+  FROM {t} WHERE n > 1 GROUP BY tree, lvl, pos // 3, n"""
+    fold = """SELECT f.rid, f.tree, f.lvl + 1, f.pos // 3, any_value(f.n + 2) // 3,
+    sha256(string_agg(CASE WHEN s.pos = f.pos THEN f.h ELSE s.h END, '' ORDER BY s.pos))
+  FROM {f} f JOIN {t} s ON s.tree = f.tree AND s.lvl = f.lvl AND s.pos // 3 = f.pos // 3 WHERE f.n > 1
+  GROUP BY f.rid, f.tree, f.lvl, f.pos"""
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, {leaf("text")} AS leaf,
+    CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS shown
+  FROM documents, tab),
+src AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree FROM d GROUP BY source),
+l AS (SELECT d.*, src.tree, src.n, row_number() OVER (PARTITION BY src.tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source),
+up AS (SELECT tree, 0 AS lvl, pos, leaf AS h, n FROM l UNION ALL {grow.format(t="up")}),
+sub AS (SELECT tree, h FROM up WHERE n = 1),
+crown AS (SELECT 0::BIGINT AS tree, 0 AS lvl, tree AS pos, h, (SELECT count(*) FROM src) AS n FROM sub UNION ALL {grow.format(t="crown")}),
+top AS (SELECT h FROM crown WHERE n = 1),
+sib AS (
+  SELECT rid, 0 AS part, up.lvl, up.pos, up.h FROM l JOIN up ON up.tree = l.tree AND up.n > 1
+    AND up.pos // 3 = l.pos // CAST(3 ** (up.lvl + 1) AS BIGINT) AND up.pos <> l.pos // CAST(3 ** up.lvl AS BIGINT)
+  UNION ALL
+  SELECT rid, 1, c.lvl, c.pos, c.h FROM l JOIN crown c ON c.n > 1
+    AND c.pos // 3 = l.tree // CAST(3 ** (c.lvl + 1) AS BIGINT) AND c.pos <> l.tree // CAST(3 ** c.lvl AS BIGINT)),
+proof AS (SELECT rid, sha256(string_agg(h, '' ORDER BY part, lvl, pos)) AS p FROM sib GROUP BY rid),
+f1 AS (SELECT rid, tree, 0 AS lvl, pos, n, shown AS h FROM l UNION ALL {fold.format(f="f1", t="up")}),
+f2 AS (SELECT rid, 0::BIGINT AS tree, 0 AS lvl, tree AS pos, (SELECT count(*) FROM src) AS n, h FROM f1 WHERE n = 1
+  UNION ALL {fold.format(f="f2", t="crown")})
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, coalesce(proof.p, sha256('')) AS proof_sha256, f2.h AS folded_root, f2.h = top.h AS verified
+FROM l JOIN sub ON sub.tree = l.tree JOIN f2 ON f2.rid = l.rid AND f2.n = 1 CROSS JOIN top LEFT JOIN proof ON proof.rid = l.rid
+"""
+
+
+def _trie() -> str:
+    """Every prefix by the digests of its turns; a node's subtree by the names that
+    its members have at the node's depth."""
+    return f"""
+WITH {_CRC_TABLE},
+t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT DISTINCT c, c - c % 100 AS b, {_crc("CAST(c AS VARCHAR)")} % 6 AS h FROM t, tab),
+re AS (
+  SELECT conv.c, 0 AS part, t.i, r, x FROM conv JOIN t ON t.c = conv.b AND t.i <= h
+  UNION ALL SELECT conv.c, 1, t.i, r, x FROM conv JOIN t ON t.c = conv.c AND t.i > h),
+num AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d, r, x FROM re),
+pre AS (
+  SELECT c, d, length(x) AS chars, array_to_string(list(md5(strlen(r) || ':' || r || x)) OVER (PARTITION BY c ORDER BY d), ',') AS k FROM num
+  UNION ALL SELECT c, 0, 0, '' FROM conv),
+named AS (SELECT c, d, chars, min(c) OVER (PARTITION BY d, k) AS name FROM pre),
+node AS (SELECT d, name, count(*) AS n, any_value(chars) AS chars FROM named GROUP BY d, name),
+par AS (SELECT node.d, node.name, node.n, (node.n - 1) * node.chars AS own, up.name AS parent
+  FROM node LEFT JOIN named up ON up.c = node.name AND up.d = node.d - 1),
+kid AS (SELECT d - 1 AS d, parent AS name, count(*) AS kids FROM par WHERE d > 0 GROUP BY ALL),
+tot AS (
+  SELECT up.d, up.name, count(*) FILTER (kids IS NULL) AS leaves, sum(own) AS saved
+  FROM par JOIN named up ON up.c = par.name AND up.d <= par.d LEFT JOIN kid ON kid.d = par.d AND kid.name = par.name
+  GROUP BY up.d, up.name),
+fin AS (
+  SELECT d, name, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT * FROM named QUALIFY d = max(d) OVER (PARTITION BY c)) GROUP BY d, name)
+SELECT par.name AS conv_id, CAST(par.d AS BIGINT) AS depth, par.parent AS parent_conv_id, par.n AS n_convs, coalesce(kids, 0) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM par JOIN tot USING (d, name) LEFT JOIN kid USING (d, name) LEFT JOIN fin USING (d, name)
+"""
+
+
 def _shards() -> str:
     """CRC-32 byte by byte; rows numbered in order; the network's rounds as
     nested tables, walked until a number lands below the row count."""
@@ -156,4 +242,5 @@ FROM numbered JOIN place ON number = origin
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": _licenses(), "op7_sharding": _shards(), "op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY}
+    return {"op3_license_scan": _licenses(), "op7_sharding": _shards(), "op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY,
+            "op11_merkle_manifest": _manifest(), "op13_conversation_trie": _trie()}

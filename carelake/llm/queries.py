@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import ann_graph, chat_format, language_id, license_scan, merkle_manifest, packing, piece_codec, quality_rules, sharding, simhash_dedup, substring_dedup
+from carelake.llm import ann_graph, chat_format, conversation_trie, language_id, license_scan, merkle_manifest, packing, piece_codec, quality_classifier, quality_rules, sharding, simhash_dedup, substring_dedup
 from carelake.llm.common import ROW, materialise, table
 
 
@@ -90,6 +90,20 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("folded_root") == root).alias("verified"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = quality_classifier.held_out()
+    measured = quality_classifier.measure_documents(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id"), "held_out": held})
+    scored = quality_classifier.score_documents(measured, quality_classifier.train(measured, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, sizes = conversation_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    rebuilt = conversation_trie.share_heads(turns, sizes, conv - conv % 100, F.crc32(conv.cast("string")) % 6, most=5)
+    return conversation_trie.build_trie(*rebuilt)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ann_graph, op2_packing, op3_license_scan, op4_simhash_dedup, op5_sentencepiece, op6_language_id, op7_sharding, op8_substring_dedup, op9_chat_format,
-                                    op10_quality_rules, op11_merkle_manifest)}
+                                    op10_quality_rules, op11_merkle_manifest, op12_quality_classifier, op13_conversation_trie)}

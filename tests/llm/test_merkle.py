@@ -8,7 +8,7 @@ import pytest
 
 from carelake.llm import merkle_manifest as M
 from carelake.llm.queries import queries
-from tests.llm.helpers import docs, write_tables
+from tests.llm.helpers import compare, docs, write_tables
 
 H = lambda parts: sha256("".join(parts).encode()).hexdigest()
 
@@ -98,6 +98,10 @@ def test_query(spark):
     assert any(r.verified for r in got) and not all(r.verified for r in got)
 
 
+def test_sql(spark):
+    compare(spark, "op11_merkle_manifest", "/root/testdata/sf0.001")
+
+
 def run(spark, rows, folder):
     frame = docs(spark, rows).selectExpr("*", "1 as tree", "2 as at", "'x' as digest", "3 as block", "4 as n", "5 as height").repartition(5)
     sf = write_tables(spark, folder, documents=frame)
