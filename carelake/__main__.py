@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--claims", required=True, help="raw '|' claims file(s)")
         s.add_argument("--icd", required=True, help="six-column ICD-10 code list")
         s.add_argument("--out", required=True, help="output root folder")
+        s.add_argument("--database", help="schema whose tables switch to this run when it is done")
         if job == "medallion":
             s.add_argument("--states", help="state_codes.csv seed (default: built in)")
     a = sub.add_parser("audit")
@@ -39,12 +40,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = apply_conf(SparkSession.builder.appName(f"carelake-{args.job}").getOrCreate())
     if args.job == "medallion":
         from carelake.plans.medallion import run_medallion
-        res = run_medallion(spark, args.claims, args.icd, args.out, args.states, strict=False)
+        res = run_medallion(spark, args.claims, args.icd, args.out, args.states, strict=False, database=args.database)
         res.test_report.show(truncate=False)
         return 1 if res.failed_tests else 0
     if args.job == "star":
         from carelake.plans.legacy_star import run_star
-        res = run_star(spark, args.claims, args.icd, args.out)
+        res = run_star(spark, args.claims, args.icd, args.out, database=args.database)
         res.report.show(truncate=False)
         return 0 if res.loaded else 1
     from carelake.operators.sql_audit import audit_sql

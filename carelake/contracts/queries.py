@@ -18,10 +18,10 @@ from carelake.functions.columns import strip_ws
 from carelake.operators import (dedup, freshness, marts, quality, questions, sql_audit, staging,
                                 star)
 from carelake.plans.legacy_star import build_star_tables, run_star
-from carelake.plans.medallion import MARTS, build_models, run_medallion
+from carelake.plans.medallion import MARTS, build_models, land, run_medallion
 from carelake.schemas import RAW_CLAIM_COLUMNS
 from carelake.session import apply_conf, scratch_path
-from carelake.sources import claims_csv, fixtures, icd_csv, seeds, sinks
+from carelake.sources import claims_csv, fixtures, icd_csv, publish, seeds, sinks
 
 FRESHNESS_NOW = "2001-11-05 12:00:00"
 
@@ -105,9 +105,9 @@ def q_mart_diagnosis_cost_analysis(spark, sf):
 
 
 def q_mart_diagnosis_ranked(spark, sf):
-    """The diagnosis mart in presentation order (highest total cost first)."""
-    ranked = marts.order_by_cost(_norm_diagnoses(_diagnoses(spark, sf)))
-    return ranked.select("diagnosis_code", "diagnosis_description", "total_cost")
+    """The diagnosis mart in presentation order (highest total cost first), as ranks."""
+    ranked = marts.ranked_by_cost(_norm_diagnoses(_diagnoses(spark, sf)))
+    return ranked.select("rank", "diagnosis_code", "diagnosis_description", "total_cost")
 
 
 # ------------------------------------------------------------ star schema
@@ -161,18 +161,10 @@ def q_qc_quarantine(spark, sf):
 
 # ----------------------------------------------------- tests, freshness
 
-def _fixture_bronze(spark, sf) -> DataFrame:
-    """The fixture's raw claims written once as a bronze table (as R1 does
-    with the raw file), so later steps read it instead of re-joining."""
-    path = sinks.write_table(fixtures.claims_raw(spark, sf), scratch_path(spark, "bronze"))
-    return spark.read.parquet(path)
-
-
-def _fixture_models(spark, sf, bronze: DataFrame | None = None):
-    """R1's model layers built from the fixture's bronze table into a scratch folder."""
-    bronze = bronze if bronze is not None else _fixture_bronze(spark, sf)
-    return build_models(spark, bronze, fixtures.icd_codes_raw(spark, sf),
-                        seeds.state_codes(spark), scratch_path(spark, "models"), strict=False)
+def _fixture_models(spark, sf, database: str | None = None):
+    """R1 over the fixture's raw claims, in a run below a scratch folder."""
+    return build_models(spark, fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf),
+                        seeds.state_codes(spark), scratch_path(spark, "models"), strict=False, database=database)
 
 
 def q_model_tests(spark, sf):
@@ -189,7 +181,13 @@ def q_icd_duplicate_codes(spark, sf):
 def q_source_freshness(spark, sf):
     """S12 with a fixed 'now'."""
     return freshness.source_freshness(fixtures.claims_raw(spark, sf, ingest_order=False),
-                                      "claims_raw", "CLM_FROM_DT", FRESHNESS_NOW)
+                                      "claims_raw", "CLM_FROM_DT", FRESHNESS_NOW).drop("unparsed_rows")
+
+
+def q_source_freshness_forms(spark, sf):
+    """S12 over raw claims whose dates come in all three forms, some in none."""
+    raw = fixtures.claims_raw(spark, sf, ingest_order=False).select("CLM_ID", "CLM_LINE_NUM", "CLM_FROM_DT")
+    return freshness.source_freshness(raw.select(fixtures.mixed_dates().alias("loaded_at")), "claims_raw", "loaded_at", FRESHNESS_NOW)
 
 
 # ------------------------------------------------------ KPIs, questions
@@ -211,14 +209,12 @@ def q_kpi_yearly_cost(spark, sf):
 
 
 def q_row_counts(spark, sf):
-    """Rows of every step of both runs, in one plan of pruned counts."""
-    fact, patients, providers, diagnoses = _star(spark, sf)
-    return questions.row_counts({
-        "claims_raw": fixtures.claims_raw(spark, sf), "stg_claims": _stg(spark, sf),
-        "int_claims_deduplicated": _int_claims(spark, sf), "stg_icd_codes": _icd(spark, sf),
-        "mart_claims_summary": _summary(spark, sf), "mart_provider_performance": _providers(spark, sf),
-        "mart_diagnosis_cost_analysis": _diagnoses(spark, sf),
-        "fact_claims": fact, "dim_patient": patients, "dim_provider": providers, "dim_diagnosis": diagnoses})
+    """Rows of every step of both runs, as the runs' own writes counted them."""
+    raw, codes, states = fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf), seeds.state_codes(spark)
+    models = build_models(spark, raw, codes, states, scratch_path(spark, "models"), strict=False)
+    landed = [spark.table(models.run.table(n)) for n in ("claims_raw", "icd_codes_raw")]
+    loaded = build_star_tables(spark, *landed, states, scratch_path(spark, "star"))
+    return models.row_counts.unionByName(loaded.row_counts)
 
 
 def q_top_state_paid(spark, sf):
@@ -251,11 +247,12 @@ ADHOC_SQL = ("SELECT state, ROUND(SUM(total_paid), 4) AS total_paid, SUM(total_c
 
 
 def q_adhoc_state_totals(spark, sf):
-    """S14 with G1-G5: an ad-hoc SQL text over the summary mart's view,
-    checked by the guardrails (which add LIMIT 100) and run by spark.sql.
+    """S14 with G1-G5: an ad-hoc SQL text over the summary mart of a run, checked by
+    the guardrails (which add LIMIT 100) and run by spark.sql in the run's schema.
     At most 54 state rows, so the limit cuts nothing."""
-    _summary(spark, sf).createOrReplaceTempView("mart_claims_summary")
-    return sql_audit.run_query(spark, ADHOC_SQL)
+    run = publish.start_run(spark, scratch_path(spark, "adhoc"))
+    publish.save(_summary(spark, sf), run, "mart_claims_summary")
+    return sql_audit.run_query(spark, ADHOC_SQL, database=run.schema)
 
 
 def q_mart_preview(spark, sf):
@@ -275,10 +272,11 @@ def q_mart_preview(spark, sf):
 
 # --------------------------------------------------------- sources, sinks
 
-def _write_claims_csv(spark, sf) -> str:
+def _write_claims_csv(spark, sf, kept=None) -> str:
     """The wide raw claims text, in several part files that follow each other
     in the synthetic file order; a claim's lines may be in two of them."""
     wide = fixtures.claims_raw_wide(spark, sf, ingest_order=True)
+    wide = wide if kept is None else wide.where(kept)
     ordered = (wide.repartitionByRange(claims_csv.INGEST_ORDER).sortWithinPartitions(claims_csv.INGEST_ORDER)
                    .drop(claims_csv.INGEST_ORDER))
     return sinks.write_claims_csv(ordered, scratch_path(spark, "claims_csv"))
@@ -310,8 +308,9 @@ def q_star_from_files(spark, sf):
     """W2-W5 from text files: the first row by file order, dimensions in one list."""
     raw = claims_csv.read_claims_csv(spark, _write_claims_csv(spark, sf), columns=list(star.V1_RENAMES))
     icd = icd_csv.read_icd_csv(spark, _write_icd_csv(spark, sf), ingest_order=True)
-    raw = spark.read.parquet(sinks.write_table(raw, scratch_path(spark, "star_raw")))
-    icd = spark.read.parquet(sinks.write_table(icd, scratch_path(spark, "star_icd")))
+    run = publish.start_run(spark, scratch_path(spark, "star_files"))
+    raw, _ = land(spark, run, "claims_text", raw, claims_csv.INGEST_ORDER, {})
+    icd, _ = land(spark, run, "codes_text", icd, icd_csv.ICD_INGEST_ORDER, {})
     fact, patients, providers, diagnoses = star.build_star(raw, icd, seeds.state_codes(spark))
     rows = lambda df, name: df.select(F.lit(name).alias("dimension"), F.col(df.columns[0]).alias("key"),
                                       F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in df.columns[1:]]).alias("value"))
@@ -336,8 +335,8 @@ def q_medallion_marts(spark, sf):
     """R1 (S1-S8, S13, W1, A1-A3, D1-D6): the full run from text files,
     summary mart read back from its written table."""
     out = scratch_path(spark, "medallion")
-    res = run_medallion(spark, _write_claims_csv(spark, sf), _write_icd_csv(spark, sf), out, strict=False)
-    return _norm_summary(spark.read.parquet(res.tables["mart_claims_summary"]))
+    run_medallion(spark, _write_claims_csv(spark, sf), _write_icd_csv(spark, sf), out, strict=False)
+    return _norm_summary(publish.read_published(spark, out, "mart_claims_summary"))
 
 
 def q_legacy_star_run(spark, sf):
@@ -350,16 +349,16 @@ def q_legacy_star_run(spark, sf):
 
 
 def q_legacy_star_loaded(spark, sf):
-    """The legacy run on claims that pass the gate (no negative
-    payment, one list entry per code): the four declared tables read back."""
+    """The legacy run from text files whose claims pass the gate (no
+    negative payment, one list entry per code): the four declared tables read back."""
     amount = F.col("CLM_PMT_AMT").cast("double")
-    raw = fixtures.claims_raw(spark, sf).where(amount.isNull() | (amount >= 0))
-    icd = fixtures.icd_codes_raw(spark, sf)
-    icd = dedup.keep_first(icd.where("code is not null").withColumn("listed", strip_ws("code")), ["listed"],
-                           [icd_csv.ICD_INGEST_ORDER]).drop("listed")
-    out, database = scratch_path(spark, "star_loaded"), f"star_{uuid.uuid4().hex}"
-    res = build_star_tables(spark, raw, icd, seeds.state_codes(spark), out, database)
-    if not res.loaded:
+    order = fixtures.icd_codes_raw(spark, sf).where("code is not null").withColumn("listed", strip_ws("code"))
+    first = dedup.keep_first(order, ["listed"], [icd_csv.ICD_INGEST_ORDER]).select(F.col(icd_csv.ICD_INGEST_ORDER).alias("__k"))
+    six = fixtures.icd_source_six(spark, sf).withColumn("__k", F.col("sub_code").cast("bigint")).join(first, "__k", "left_semi")
+    codes = sinks.write_icd_source_csv(six.orderBy("__k").drop("__k"), scratch_path(spark, "icd_csv"))
+    claims = _write_claims_csv(spark, sf, amount.isNull() | (amount >= 0))
+    database = f"star_{uuid.uuid4().hex}"
+    if not run_star(spark, claims, codes, scratch_path(spark, "star_loaded"), database).loaded:
         raise RuntimeError("the gate did not pass")
     parts = None
     for name in sinks.STAR_LOAD_ORDER:
@@ -372,13 +371,13 @@ def q_legacy_star_loaded(spark, sf):
 
 
 def q_run_views(spark, sf):
-    """Rows of a run's views and of its marts' catalog tables."""
-    run = f"run_{uuid.uuid4().hex}"
-    build_models(spark, _fixture_bronze(spark, sf), fixtures.icd_codes_raw(spark, sf), seeds.state_codes(spark),
-                 scratch_path(spark, "views"), strict=False, database=run, view_prefix=f"{run}_")
+    """Rows of what a run from text files holds in its schema, its views among
+    them, and of the marts' published tables."""
+    database = f"marts_{uuid.uuid4().hex}"
+    res = run_medallion(spark, _write_claims_csv(spark, sf), _write_icd_csv(spark, sf), scratch_path(spark, "views"), strict=False, database=database)
     views = ["stg_claims", "stg_icd_codes", "int_claims_deduplicated", *MARTS]
-    return questions.row_counts({f"view {n}": spark.table(f"{run}_{n}") for n in views}
-                                | {f"table {n}": spark.table(f"{run}.{n}") for n in MARTS})
+    return questions.row_counts({f"view {n}": spark.table(res.run.table(n)) for n in views}
+                                | {f"table {n}": spark.table(f"{database}.{n}") for n in MARTS})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -400,6 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_tests": q_model_tests,
     "icd_duplicate_codes": q_icd_duplicate_codes,
     "source_freshness": q_source_freshness,
+    "source_freshness_forms": q_source_freshness_forms,
     "kpi_totals": q_kpi_totals,
     "kpi_top_state": q_kpi_top_state,
     "kpi_yearly_cost": q_kpi_yearly_cost,

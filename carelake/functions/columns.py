@@ -1,5 +1,5 @@
-"""Column expressions shared by the operators. All are built-in Spark
-expressions, so they stay inside whole-stage codegen."""
+"""Column expressions shared by the operators, of built-in Spark functions only.
+Those that a catalog view needs, too, are written as SQL text."""
 
 from __future__ import annotations
 
@@ -39,22 +39,45 @@ WHITESPACE = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
               r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
 
-def strip_ws(c) -> Column:
+def strip_ws_sql(c: str) -> str:
     """Remove leading and trailing Unicode white space, as a warehouse TRIM()
     or Python's str.strip() does; Spark's ``trim`` only removes spaces."""
+    return rf"regexp_replace({c}, r'^{WHITESPACE}+|{WHITESPACE}+\z', '')"
+
+
+def strip_ws(c) -> Column:
+    """:func:`strip_ws_sql` of a column or its name."""
     return F.regexp_replace(col_(c), rf"^{WHITESPACE}+|{WHITESPACE}+\z", "")
 
 
-def iso_date_text(c) -> Column:
-    """Render a date given as yyyy-MM-dd, yyyyMMdd or dd-MMM-yyyy as ISO text;
-    text that parses as none of them is kept as it is."""
-    c = col_(c)
-    parsed = F.coalesce(
-        F.try_to_date(c, "yyyy-MM-dd"),
-        F.try_to_date(c, "yyyyMMdd"),
-        F.try_to_date(c, "dd-MMM-yyyy"),
-    )
-    return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), c)
+# The months of the dd-MMM-yyyy form.
+MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()
+
+
+def date_forms(c: str) -> dict[str, tuple[str, str]]:
+    """The date forms of the raw files: name -> (SQL test of the shape, SQL of the
+    same date in ISO form, which may still be no date)."""
+    months = ", ".join(f"'{m}', '{i:02d}'" for i, m in enumerate(MONTHS, 1))
+    return {
+        "iso": (rf"{c} RLIKE r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z'", c),
+        "compact": (rf"{c} RLIKE r'^[0-9]{{8}}\z'", f"concat(substr({c}, 1, 4), '-', substr({c}, 5, 2), '-', substr({c}, 7, 2))"),
+        "named": (rf"{c} RLIKE r'^[0-9]{{2}}-[A-Za-z]{{3}}-[0-9]{{4}}\z'",
+                  f"concat(substr({c}, 8, 4), '-', try_element_at(map({months}), upper(substr({c}, 4, 3))), '-', substr({c}, 1, 2))"),
+    }
+
+
+def iso_date_sql(c: str) -> str:
+    """Render a date given as yyyy-MM-dd, yyyyMMdd or dd-MMM-yyyy as ISO text; text
+    that is none of them is kept as it is. ISO text passes without being parsed."""
+    forms = date_forms(c)
+    others = " ".join(f"WHEN {test} THEN coalesce(CAST(TRY_CAST({iso} AS DATE) AS STRING), {c})"
+                      for name, (test, iso) in forms.items() if name != "iso")
+    return f"CASE WHEN {forms['iso'][0]} THEN {c} {others} ELSE {c} END"
+
+
+def iso_date_text(c: str) -> Column:
+    """:func:`iso_date_sql` of a column's name."""
+    return F.expr(iso_date_sql(c))
 
 
 def month_of(c) -> Column:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions.columns import month_of, safe_bigint
+from carelake.operators.ranking import global_rank
 from carelake.schemas import (MART_CLAIMS_SUMMARY, MART_DIAGNOSIS_COST, MART_PROVIDER_PERFORMANCE,
                               with_comments)
 from carelake.sources.seeds import with_state_name
@@ -107,7 +108,18 @@ def diagnosis_cost_analysis(claims: DataFrame, icd: DataFrame) -> DataFrame:
         MART_DIAGNOSIS_COST)
 
 
+def cost_order() -> list:
+    """Highest total cost first; the group key breaks ties."""
+    return [F.col("total_cost").desc_nulls_last(), F.col("diagnosis_code").asc_nulls_first(),
+            F.col("diagnosis_description").asc_nulls_first(), F.col("diagnosis_category").asc_nulls_first()]
+
+
 def order_by_cost(mart: DataFrame) -> DataFrame:
     """The diagnosis mart as presented, highest total cost first (only
     on read; the stored mart is unordered)."""
-    return mart.orderBy(F.col("total_cost").desc_nulls_last(), F.col("diagnosis_code").asc_nulls_first())
+    return mart.orderBy(*cost_order())
+
+
+def ranked_by_cost(mart: DataFrame) -> DataFrame:
+    """T1 as a column: every row of the diagnosis mart with its ``rank`` in that order."""
+    return global_rank(mart, cost_order())

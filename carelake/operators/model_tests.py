@@ -6,7 +6,7 @@ failures, status).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The declared tests, model -> [(column, test), ...].
@@ -53,6 +53,19 @@ def run_model_tests(models: dict[str, DataFrame], tests: dict | None = None) ->
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
+def repeated_values(df: DataFrame, column: str) -> DataFrame:
+    """The number of non-null values that occur more than once (one row). A table
+    bucketed by the column is not shuffled for it."""
+    per_value = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    return per_value.agg(F.count_if(F.col("__n") > 1).alias("failures"))
+
+
+def report_of(spark: SparkSession, failures: dict[tuple[str, str, str], int]) -> DataFrame:
+    """The report from failing rows that were counted on the way, by (model, column, test)."""
+    rows = [(*test, n, "pass" if n == 0 else "fail") for test, n in failures.items()]
+    return spark.createDataFrame(rows, "model string, column_name string, test string, failures long, status string").coalesce(1)
+
+
 def failed_tests(report: DataFrame) -> list[tuple[str, str, str, int]]:
     """The failing tests (a small report read back on the driver)."""
     return [(r["model"], r["column_name"], r["test"], r["failures"])

@@ -9,6 +9,8 @@
   shuffle, so a claim_id with a third of all rows costs one row per map
   partition), and the failing rows are an anti join against those firsts.
   No claim's rows are ever gathered into one task.
+* The quarantine tags each row with the checks it fails and writes them by check,
+  in one job over one scan (``failed_checks``).
 """
 
 from __future__ import annotations
@@ -133,17 +135,39 @@ def all_passed(report: DataFrame) -> bool:
     return all(r["status"] == "PASSED" for r in report.select("status").collect())
 
 
+def failed_checks(fact: DataFrame, seq: str = INGEST_ORDER) -> DataFrame:
+    """Every row that fails a check, once for each it fails (``check_name``).
+
+    ``fact`` is scanned once. Its rows are dealt out by (claim id, file order), so a
+    hot claim spreads, and that one shuffle feeds both sides: the first row of each
+    claim (partially aggregated where the rows lie) and the rows that are compared
+    with it. Of rows with the same place in the file the one with the least hash
+    is first; both sides so need the same columns, and Spark reuses the shuffle.
+    Rows without a place are as in :func:`duplicate_rows`. Structs stand for the
+    keys, as they are equal where both hold NULL."""
+    columns = output_columns(fact)
+    rows = fact.select(*columns, F.struct("claim_id").alias("__claim"),
+                       F.struct(F.col(seq).isNull().alias("lost"), F.col(seq).alias("at")).alias("__place"))
+    dealt = rows.repartition("__claim", "__place").withColumn("__hash", F.xxhash64(*columns))
+    firsts = dealt.groupBy(F.col("__claim").alias("__k")).agg(F.min(F.struct("__place", "__hash")).alias("__first")).select(
+        "__k", F.col("__first.__place").alias("__first"), F.col("__first.__hash").alias("__first_hash"))
+    same = (F.col("__claim") == F.col("__k")) & (F.col("__place") == F.col("__first")) & (
+        F.col("__place.lost") | (F.col("__hash") == F.col("__first_hash")))
+    told = dealt.join(firsts, same, "left")
+    tests = _row_predicates() | {"duplicate_claim_id": F.col("__k").isNull()}
+    names = F.array_compact(F.array(*[F.when(tests[c.name], F.lit(c.name)) for c in CHECKS]))
+    return told.select(*columns, F.explode(names).alias("check_name"))
+
+
 def quarantine(fact: DataFrame, root: str, report: DataFrame | None = None) -> dict[str, str]:
     """The failing rows of every check that the report says has any,
-    each as ``root/failed_<check>``, written at the same time. Returns check ->
-    path; a clean table writes nothing."""
-    from carelake.sources.sinks import run_concurrently, write_quarantine
+    each as ``root/failed_<check>``, by one write over one scan of ``fact``.
+    Returns check -> path; a clean table writes nothing."""
+    from carelake.sources.sinks import write_quarantine
 
     report = quality_report(fact) if report is None else report
     failed = {r["check_name"] for r in report.where("status = 'FAILED'").select("check_name").collect()}
-    cols = output_columns(fact)
-    return run_concurrently({c.name: (lambda n=c.name: write_quarantine(failed_rows(fact, n).select(*cols), root, n))
-                             for c in CHECKS if c.name in failed})
+    return write_quarantine(failed_checks(fact), root, [c.name for c in CHECKS if c.name in failed]) if failed else {}
 
 
 def read_quarantine(spark, paths: dict[str, str], schema) -> DataFrame:

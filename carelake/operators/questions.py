@@ -8,7 +8,7 @@ reach the final merge -- no global sort of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.columns import month_of, safe_bigint
@@ -57,6 +57,11 @@ def row_counts(steps: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def counted_rows(spark: SparkSession, steps: dict[str, int]) -> DataFrame:
+    """A15 from counts that the writes of a run made themselves."""
+    return spark.createDataFrame(list(steps.items()), "step string, row_count long").coalesce(1)
+
+
 # ---------------------------------------------------------- questions
 
 def top_state_paid(summary: DataFrame) -> DataFrame:

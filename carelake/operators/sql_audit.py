@@ -2,8 +2,9 @@
 
 Input: a DataFrame with an id and a SQL text column (a query log). Every
 rule is a column expression (regex functions, higher-order array
-functions), so the audit runs as one narrow, codegen'd projection -- no
-UDF, no shuffle, any number of statements.
+functions), so the audit is narrow: no UDF, no shuffle, any number of
+statements. Each pass over the text is a named column that later steps use,
+and a cheap test of the raw text decides whether a costly one is needed.
 
 Rules run in order and the first failure is reported (fail closed):
 
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.columns import WHITESPACE
 from carelake.schemas import ALLOWED_TABLES
+from carelake.session import apply_conf
 
 # Blocked statement keywords, checked in this order.
 BLOCKED_KEYWORDS = ["DROP", "DELETE", "UPDATE", "INSERT", "ALTER",
@@ -45,14 +47,19 @@ QUALIFY_HEAD = rf"((?i:FROM|JOIN)){WS}+`?("
 
 
 def strip_text(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+\z", "")
+    """Without Unicode white space at both ends; most texts have none there."""
+    return F.when(c.rlike(rf"\A{WS}|{WS}\z"), F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")).otherwise(c)
 
 
 def clean_fences(sql: Column) -> Column:
     """Drop a Markdown code fence around generated SQL: strip the text;
     if it starts with ```, strip backticks at both ends and a leading
     'sql' line, then strip again."""
-    t = strip_text(sql)
+    return unfenced(strip_text(sql))
+
+
+def unfenced(t: Column) -> Column:
+    """The second half of :func:`clean_fences`, on a stripped text."""
     unticked = F.regexp_replace(t, r"^`+|`+\z", "")
     untagged = F.when(unticked.startswith("sql\n"), F.substr(unticked, F.lit(5))).otherwise(unticked)
     return F.when(t.startswith("```"), strip_text(untagged)).otherwise(t)
@@ -63,15 +70,15 @@ def blocked_keyword(sql: Column) -> Column:
     present as whole words (upper-cased text), else NULL. One regex scan
     finds them all; the list position then picks the one to report."""
     keywords = F.array(*[F.lit(k) for k in BLOCKED_KEYWORDS])
-    found = F.regexp_extract_all(F.upper(sql), F.lit(r"\b(" + "|".join(BLOCKED_KEYWORDS) + r")\b"), 1)
+    any_of = r"\b(" + "|".join(BLOCKED_KEYWORDS) + r")\b"
+    found = F.regexp_extract_all(F.upper(sql), F.lit(any_of), 1)
     first = F.array_min(F.transform(found, lambda k: F.array_position(keywords, k)))
-    return F.try_element_at(keywords, first.cast("int"))
+    return F.when(F.upper(sql).rlike(any_of), F.try_element_at(keywords, first.cast("int")))
 
 
 def starts_with_select(sql: Column) -> Column:
     """Prefix test after removing leading whitespace."""
-    head = F.upper(F.regexp_replace(sql, rf"^{WS}+", ""))
-    return head.startswith("SELECT") | head.startswith("WITH")
+    return F.upper(sql).rlike(rf"\A{WS}*(?:SELECT|WITH)")
 
 
 def referenced_tables(sql: Column) -> Column:
@@ -87,7 +94,7 @@ def first_disallowed(tables: Column, allowed=ALLOWED_TABLES) -> Column:
 
 def enforce_row_limit(sql: Column, limit: int = DEFAULT_ROW_LIMIT) -> Column:
     """Append a LIMIT when none is present anywhere in the text."""
-    trimmed = F.regexp_replace(F.regexp_replace(sql, rf"{WS}+\z", ""), r";+\z", "")
+    trimmed = F.when(sql.rlike(rf"(?:{WS}|;)\z"), F.regexp_replace(F.regexp_replace(sql, rf"{WS}+\z", ""), r";+\z", "")).otherwise(sql)
     return F.when(sql.rlike(HAS_LIMIT), sql).otherwise(F.concat(trimmed, F.lit(f"\nLIMIT {limit}")))
 
 
@@ -107,28 +114,20 @@ def audit_sql(log: DataFrame, id_col: str = "query_id", sql_col: str = "sql_text
               limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
     """G1-G7 over a query log. Output: id, cleaned sql, verdict
     ('pass' / 'blocked'), rule, detail, safe_sql, qualified_sql."""
-    df = log.select(F.col(id_col), clean_fences(F.col(sql_col)).alias("sql"))
+    keep = [F.col(id_col), "sql"]
+    df = log.select(F.col(id_col), strip_text(F.col(sql_col)).alias("stripped")).select(F.col(id_col), unfenced(F.col("stripped")).alias("sql"))
     sql = F.col("sql")
-    kw = blocked_keyword(sql)
-    tables = referenced_tables(sql)
-    bad_table = first_disallowed(tables)
-    rule = (F.when(kw.isNotNull(), F.lit("keyword"))
-             .when(~starts_with_select(sql), F.lit("not_select"))
-             .when(F.size(tables) == 0, F.lit("no_table"))
-             .when(bad_table.isNotNull(), F.lit("table")))
-    detail = (F.when(kw.isNotNull(), kw)
-               .when(~starts_with_select(sql), F.lit(None).cast("string"))
-               .when(F.size(tables) == 0, F.lit(None).cast("string"))
-               .otherwise(bad_table))
-    out = df.select(F.col(id_col), sql, rule.alias("rule"), detail.alias("detail"))
-    safe = enforce_row_limit(sql, limit)
-    return out.select(
-        F.col(id_col), "sql",
-        F.when(F.col("rule").isNull(), F.lit("pass")).otherwise(F.lit("blocked")).alias("verdict"),
-        "rule", "detail",
-        F.when(F.col("rule").isNull(), safe).alias("safe_sql"),
-        F.when(F.col("rule").isNull(), qualify_tables(safe, project, dataset)).alias("qualified_sql"),
-    )
+    df = df.select(*keep, blocked_keyword(sql).alias("kw"), starts_with_select(sql).alias("selects"), referenced_tables(sql).alias("tables"))
+    df = df.select(*keep, "kw", "selects", F.size("tables").alias("n_tables"), first_disallowed(F.col("tables")).alias("bad_table"))
+    df = df.select(*keep, "kw", "bad_table", F.when(F.col("kw").isNotNull(), F.lit("keyword"))
+                   .when(~F.col("selects"), F.lit("not_select"))
+                   .when(F.col("n_tables") == 0, F.lit("no_table"))
+                   .when(F.col("bad_table").isNotNull(), F.lit("table")).alias("rule"))
+    passes = F.col("rule").isNull()
+    df = df.select(*keep, "rule", F.when(F.col("rule") == "keyword", F.col("kw")).when(F.col("rule") == "table", F.col("bad_table")).alias("detail"),
+                   F.when(passes, enforce_row_limit(sql, limit)).alias("safe_sql"))
+    return df.select(*keep, F.when(passes, F.lit("pass")).otherwise(F.lit("blocked")).alias("verdict"), "rule", "detail", "safe_sql",
+                     F.when(passes, qualify_tables(F.col("safe_sql"), project, dataset)).alias("qualified_sql"))
 
 
 class GuardrailViolation(ValueError):
@@ -148,16 +147,20 @@ def _children(node) -> list:
     return [seq.apply(i) for i in range(seq.size())]
 
 
-def plan_violation(plan, allowed=ALLOWED_TABLES) -> str | None:
-    """What an analysed plan reads or runs besides the allowed views, or None:
-    every leaf must lie under a view of an allowed name, subqueries included,
-    and no expression may call code by reflection."""
+def plan_violation(plan, database: str | None = None, allowed=ALLOWED_TABLES) -> str | None:
+    """What an analysed plan reads or runs besides the allowed names, or None: every
+    leaf must be a table of ``database`` (without one: lie under a view) of an allowed
+    name, subqueries included, and no expression may call code by reflection."""
     todo = [plan]
     while todo:
         node = todo.pop()
         kind = node.getClass().getSimpleName()
-        if kind == "View" and node.desc().identifier().table() in allowed:
+        if kind == "View" and database is None and node.desc().identifier().table() in allowed:
             continue
+        if kind == "LogicalRelation" and database is not None and node.catalogTable().isDefined():
+            name = node.catalogTable().get().identifier()
+            if name.table() in allowed and name.database().isDefined() and name.database().get() == database:
+                continue
         expressions = [node.expressions().apply(i) for i in range(node.expressions().size())]
         while expressions:
             e = expressions.pop()
@@ -172,21 +175,30 @@ def plan_violation(plan, allowed=ALLOWED_TABLES) -> str | None:
     return None
 
 
-def run_query(spark, sql_text: str, limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
+def run_query(spark, sql_text: str, limit: int = DEFAULT_ROW_LIMIT, database: str | None = None) -> DataFrame:
     """Check one statement with the same rules as the log audit (a
     one-row DataFrame), prepare it, and accept its analysed plan only if all it
-    reads are the mart views: the text rules alone let a comma join or a file
-    path through. Returns the lazy result; an accepted statement that Spark
-    refuses raises QueryExecutionError."""
+    reads are the marts: the text rules alone let a comma join or a file
+    path through.
+
+    With ``database`` (a run's schema, or the published one) the names mean its
+    tables: the statement is resolved in a session of its own whose current database it
+    is, so views of the caller's session and other runs do not matter. Without
+    one they are views of the session. Returns the lazy result; an accepted
+    statement that Spark refuses raises QueryExecutionError."""
     log = spark.createDataFrame([(0, sql_text)], "query_id long, sql_text string")
     verdict = audit_sql(log, limit=limit).first()
     if verdict["verdict"] != "pass":
         raise GuardrailViolation(f"blocked ({verdict['rule']}: {verdict['detail']}): {sql_text[:80]}")
+    session = spark
+    if database is not None:
+        session = apply_conf(spark.newSession())
+        session.catalog.setCurrentDatabase(database)
     try:
-        result = spark.sql(verdict["safe_sql"])
+        result = session.sql(verdict["safe_sql"])
     except PySparkException as exc:
         raise QueryExecutionError(f"statement failed: {exc}") from exc
-    bad = plan_violation(result._jdf.queryExecution().analyzed())
+    bad = plan_violation(result._jdf.queryExecution().analyzed(), database)
     if bad:
         raise GuardrailViolation(f"blocked (plan: {bad}): {sql_text[:80]}")
     return result

@@ -13,10 +13,10 @@ distributed scan does not preserve row order by itself.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.functions.columns import integral_key, number_or_zero, strip_ws
+from carelake.functions.columns import integral_key, number_or_zero, strip_ws, strip_ws_sql
 from carelake.operators.dedup import keep_first
 from carelake.schemas import (DIM_DIAGNOSIS, DIM_PATIENT, DIM_PROVIDER, FACT_CLAIMS,
                               V1_RENAMES)
@@ -28,6 +28,11 @@ UNKNOWN_DIAGNOSIS_CODE = "UNKNOWN"
 UNKNOWN_DIAGNOSIS_TEXT = "Unknown diagnosis"
 
 
+def used_columns(claims_raw: DataFrame) -> list[str]:
+    """The raw columns that the ETL reads, and the file order."""
+    return [*V1_RENAMES, *[c for c in (INGEST_ORDER,) if c in claims_raw.columns]]
+
+
 def select_and_rename(claims_raw: DataFrame) -> DataFrame:
     """The 13 columns (no line number), renamed; file order kept."""
     cols = [F.col(raw).alias(new) for raw, new in V1_RENAMES.items()]
@@ -70,28 +75,53 @@ def icd_descriptions(icd_raw: DataFrame) -> DataFrame:
     return icd_raw.select(*cols)
 
 
-def join_descriptions(claims: DataFrame, icd_raw: DataFrame) -> DataFrame:
+# Codes that hold more than a HOT_SHARE-th of the rows are spread by broadcast.
+HOT_SHARE = 100
+HOT_CODES = 200          # found by the sketch at most; those over HOT_SHARE are fewer
+HOT_ENTRIES = 100_000    # list entries broadcast at most
+
+
+def frequent_codes() -> Column:
+    """A sketch of the most frequent stripped codes, for the write of the claims:
+    a mergeable aggregate of bounded size, exact where codes are few."""
+    return F.expr(f"approx_top_k({strip_ws_sql('diagnosis_code')}, {HOT_CODES}, {50 * HOT_CODES})")
+
+
+def hot_codes(frequent, rows: int) -> list[str]:
+    """The codes of the sketch with over a ``HOT_SHARE``-th of all rows."""
+    return [item["item"] for item in frequent or [] if item["item"] is not None and item["count"] * HOT_SHARE > rows]
+
+
+def join_descriptions(claims: DataFrame, icd_raw: DataFrame, hot: list[str] | None = None) -> DataFrame:
     """Strip both keys, LEFT join, fill the description.
 
-    A row-level join (the fact keeps every row), so nothing can be
-    aggregated first; the planner picks broadcast or shuffle from the code
-    list's runtime size, and AQE splits a hot diagnosis code on the claims
-    side if it has to shuffle."""
+    A row-level join (the fact keeps every row), so nothing can be aggregated
+    first, and every missing code is one key ('UNKNOWN'). The rows of ``hot``
+    codes meet the few list entries of those codes, which are broadcast, and stay
+    where they are; all others are joined as the planner sees fit. ``claims`` is then
+    read twice and should be a written table. Entries of hot codes beyond
+    ``HOT_ENTRIES`` (a list that repeats a code) go the other way, too, and AQE splits them."""
     left = claims.withColumn("diagnosis_code", strip_ws("diagnosis_code"))
-    joined = left.join(icd_descriptions(icd_raw), "diagnosis_code", "left")
+    codes = icd_descriptions(icd_raw)
+    if hot:
+        is_hot = F.coalesce(F.col("diagnosis_code").isin(hot), F.lit(False))
+        few = codes.where(F.col("diagnosis_code").isin(hot))
+        if few.limit(HOT_ENTRIES + 1).count() <= HOT_ENTRIES:
+            spread = left.where(is_hot).join(F.broadcast(few), "diagnosis_code", "left")
+            joined = left.where(~is_hot).join(codes, "diagnosis_code", "left").unionByName(spread)
+        else:
+            joined = left.join(codes, "diagnosis_code", "left")
+    else:
+        joined = left.join(codes, "diagnosis_code", "left")
     return joined.withColumn("description", F.coalesce(F.col("description"), F.lit(UNKNOWN_DIAGNOSIS_TEXT)))
 
 
-def _order_cols(df: DataFrame) -> list[str]:
-    return [c for c in (INGEST_ORDER, ICD_INGEST_ORDER) if c in df.columns]
-
-
 def clean_claims(claims_raw: DataFrame, states: DataFrame) -> DataFrame:
     """Steps 1-5: the cleaned, de-duplicated claim rows."""
     df = select_and_rename(claims_raw)
     df = map_state_names(df, states)
     df = clean_values(df)
-    return keep_first(df, ["claim_id"], _order_cols(df))
+    return keep_first(df, ["claim_id"], [c for c in (INGEST_ORDER,) if c in df.columns])
 
 
 def transform_claims(claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame) -> DataFrame:
@@ -100,34 +130,34 @@ def transform_claims(claims_raw: DataFrame, icd_raw: DataFrame, states: DataFram
     return join_descriptions(clean_claims(claims_raw, states), icd_raw)
 
 
-def split_star(df: DataFrame, claims: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """fact_claims and the three dims (first row per key in
-    file order: claim order, then code-list order). Patients and providers come
-    from ``claims``, the rows before the code join, where given: the join's
-    copies of a row do not change them."""
-    order = _order_cols(df)
-    fact = df.select(*FACT_CLAIMS.fieldNames())
-    claims = df if claims is None else claims
-    own = _order_cols(claims)
+def split_dims(claims: DataFrame, icd_raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three dims from the claims before the code join, whose copies
+    of a row change none of them (first row per key in file order). A code's
+    description is that of its first entry in the list."""
+    own = [c for c in (INGEST_ORDER,) if c in claims.columns]
     dim_patient = (keep_first(claims.select("patient_id", "provider_state", "discharge_status",
                                             "admission_type", *own), ["patient_id"], own)
                    .withColumnRenamed("provider_state", "state")
                    .select(*DIM_PATIENT.fieldNames()))
     dim_provider = keep_first(claims.select("provider_id", "provider_state", "npi_number", *own),
                               ["provider_id"], own).select(*DIM_PROVIDER.fieldNames())
-    dim_diagnosis = keep_first(df.select("diagnosis_code", "description", *order),
-                               ["diagnosis_code"], order).select(*DIM_DIAGNOSIS.fieldNames())
-    return fact, dim_patient, dim_provider, dim_diagnosis
+    codes = icd_descriptions(icd_raw)
+    listed = keep_first(codes, ["diagnosis_code"], [c for c in (ICD_INGEST_ORDER,) if c in codes.columns] or ["description"])
+    used = claims.select(strip_ws("diagnosis_code").alias("diagnosis_code")).distinct()
+    dim_diagnosis = used.join(listed, "diagnosis_code", "left").withColumn(
+        "description", F.coalesce(F.col("description"), F.lit(UNKNOWN_DIAGNOSIS_TEXT))).select(*DIM_DIAGNOSIS.fieldNames())
+    return dim_patient, dim_provider, dim_diagnosis
 
 
 def fact_with_order(rows: DataFrame) -> DataFrame:
     """The fact columns plus one file-order key (claim order, then code-list
     order), so the duplicate check can tell which fan-out copy is first."""
-    order = _order_cols(rows)
+    order = [c for c in (INGEST_ORDER, ICD_INGEST_ORDER) if c in rows.columns]
     return rows.select(*FACT_CLAIMS.fieldNames(), F.struct(*order).alias(INGEST_ORDER))
 
 
 def build_star(claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame):
     """The whole legacy ETL: returns (fact_claims, dim_patient, dim_provider, dim_diagnosis)."""
     claims = clean_claims(claims_raw, states)
-    return split_star(join_descriptions(claims, icd_raw), claims)
+    fact = join_descriptions(claims, icd_raw).select(*FACT_CLAIMS.fieldNames())
+    return fact, *split_dims(claims, icd_raw)

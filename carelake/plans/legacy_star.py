@@ -1,9 +1,14 @@
 """R2: the legacy star run -- extract, transform, quality gate, load.
 
-    read claims + code list -> v1 transform (P8-P16, J3, J4, W2)
-    -> written once -> split (W3-W5) -> quality report + quarantine (Q1-Q8)
-    -> load dims then fact (S10) only when every check passed (Q9)
-    -> row counts of every step (A15)
+    read claims + code list -> landed as text (file order as one number)
+    -> cleaned, one row a claim (P8-P13, J3, W2) -> described (P14, P15, J4)
+    -> dimensions (P16, W3-W5) and quality report + quarantine (Q1-Q8)
+    -> the fact, and publication of the star (S9, S10), only when every check passed (Q9)
+    -> row counts of every step (A15), as the writes counted them
+
+A run writes into a schema of its own; the tables that are read change over at the
+end, dimensions before the fact. A run that fails, in a check or in a write, leaves
+the star before it whole.
 """
 
 from __future__ import annotations
@@ -13,53 +18,59 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.operators import quality, questions, star
+from carelake.plans.medallion import land
+from carelake.schemas import STAR_TABLES
 from carelake.session import apply_conf
-from carelake.sources import claims_csv, icd_csv, seeds, sinks
+from carelake.sources import claims_csv, icd_csv, publish, seeds, sinks
 
 
 @dataclass
 class StarResult:
+    run: publish.Run | None = None
     loaded: bool = False
-    tables: dict[str, str] = field(default_factory=dict)
+    tables: dict[str, str] = field(default_factory=dict)   # name -> path
     report: DataFrame | None = None
     row_counts: DataFrame | None = None
 
 
 def build_star_tables(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame,
                       states: DataFrame, out_root: str, database: str | None = None) -> StarResult:
-    """The legacy ETL from raw DataFrames into ``out_root``; with ``database``
-    the star's tables are declared there first (S9) and loaded in place."""
+    """The legacy ETL from raw DataFrames, as a run below ``out_root``; with
+    ``database`` the star's tables are declared there (S9) and switched to the run."""
     apply_conf(spark)
-    res = StarResult()
-    read = spark.read.parquet
-    rows = star.transform_claims(claims_raw, icd_raw, states)
-    # One write of the transformed rows feeds the four splits, the checks and
-    # the load, and cuts their lineage back to the raw input.
-    res.tables["claims_v1"] = sinks.write_table(rows, f"{out_root}/staging/claims_v1")
-    staged = read(res.tables["claims_v1"])
-    fact, pat, prov, diag = star.split_star(staged)
+    run = publish.start_run(spark, out_root)
+    res = StarResult(run)
+    read = lambda name: spark.table(run.table(name))
+    claims_raw, _ = land(spark, run, "claims_text", claims_raw.select(*star.used_columns(claims_raw)), claims_csv.INGEST_ORDER, {})
+    icd_raw, _ = land(spark, run, "codes_text", icd_raw, icd_csv.ICD_INGEST_ORDER, {})
+
+    # The cleaned claims are read by the code join and two dimensions; the write
+    # finds the codes that many of them share, too.
+    cleaned = publish.save(star.clean_claims(claims_raw, states), run, "claims_clean", {"codes": star.frequent_codes()})
+    claims = read("claims_clean")
+    described = star.join_descriptions(claims, icd_raw, star.hot_codes(cleaned["codes"], cleaned["rows"]))
+    counts = {"fact_claims": publish.save(star.fact_with_order(described), run, "claims_v1")["rows"]}
+    dims = dict(zip(("dim_patient", "dim_provider", "dim_diagnosis"), star.split_dims(claims, icd_raw)))
+    counts |= sinks.run_concurrently({n: (lambda n=n, d=d: publish.save(sinks.required(d, n), run, n)["rows"]) for n, d in dims.items()})
 
-    report = quality.run_quality_checks(star.fact_with_order(staged), pat, prov, diag,
-                                        quarantine_root=f"{out_root}/quarantine")
-    res.tables["quality_report"] = sinks.write_table(report, f"{out_root}/reports/quality")
-    res.report = read(res.tables["quality_report"])
-    split = {"fact_claims": fact, "dim_patient": pat, "dim_provider": prov, "dim_diagnosis": diag}
+    staged = read("claims_v1")
+    report = quality.run_quality_checks(staged, *(read(n) for n in dims), quarantine_root=f"{run.folder}/quarantine")
+    publish.save(report, run, "quality_report")
+    res.report = read("quality_report")
+    res.tables = {n: run.path(n) for n in ("claims_v1", *dims, "quality_report", "row_counts")}
     if quality.all_passed(res.report):
-        declared = sinks.create_star_tables(spark, f"{out_root}/star", database) if database else []
-        res.tables.update(sinks.load_star(split, f"{out_root}/star"))
-        for name in declared:
-            spark.catalog.refreshTable(name)
-        # (load_star writes the dimensions before the fact, one after another)
+        fact = staged.select(*STAR_TABLES["fact_claims"].fieldNames())
+        counts["fact_claims"] = publish.save(sinks.required(fact, "fact_claims"), run, "fact_claims")["rows"]
+        res.tables["fact_claims"] = run.path("fact_claims")
+        publish.publish(spark, run, sinks.STAR_LOAD_ORDER, database, declared=STAR_TABLES)
         res.loaded = True
-        split = {name: read(res.tables[name]) for name in split}
-    counts = questions.row_counts(split)
-    res.tables["row_counts"] = sinks.write_table(counts, f"{out_root}/reports/row_counts")
-    res.row_counts = read(res.tables["row_counts"])
+    publish.save(questions.counted_rows(spark, counts), run, "row_counts")
+    res.row_counts = read("row_counts")
     return res
 
 
-def run_star(spark: SparkSession, claims_path: str, icd_path: str, out_root: str) -> StarResult:
+def run_star(spark: SparkSession, claims_path: str, icd_path: str, out_root: str, database: str | None = None) -> StarResult:
     """Run the legacy ETL from the raw text files."""
     raw = claims_csv.read_claims_csv(spark, claims_path, columns=list(star.V1_RENAMES))
     icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
-    return build_star_tables(spark, raw, icd_raw, seeds.state_codes(spark), out_root)
+    return build_star_tables(spark, raw, icd_raw, seeds.state_codes(spark), out_root, database)

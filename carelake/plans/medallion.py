@@ -3,26 +3,33 @@ then the model tests.
 
     gate (S13) -> bronze (S1, S2, S5, S6) -> staging views (P1-P5, S7)
     -> de-duplicated claims (W1), written once -> marts (A1-A3, S8)
-    -> model tests (D1-D6) and row counts (A15)
-
-The de-duplicated claims are written to a table and all three marts read
-that table: the dedup shuffle runs once, and the written table cuts the
-lineage, so a lost executor during the mart stage recomputes from the
-silver table rather than from the raw text. Tests and row counts read the
-written tables too.
+    -> model tests (D1-D6) and row counts (A15) -> publication
+
+Every run has a catalog schema of its own (``publish.Run``) with its tables and its
+staging views, so runs do not meet. Nothing is read only to be counted: each
+write counts its own rows, and the columns its tests are about, as it goes by
+(``publish.save``); what staging keeps is counted by the write of the bronze table it
+reads. The de-duplicated claims are bucketed by claim id, as their shuffle left
+them: the unique test and distinct counts read them without another. The written
+tables cut the lineage: a lost executor during the mart stage recomputes from the
+silver table rather than from the raw text.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelake.operators import dedup, marts, model_tests, questions, staging
 from carelake.session import apply_conf
-from carelake.sources import claims_csv, icd_csv, seeds, sinks
+from carelake.sources import claims_csv, icd_csv, ingest, publish, seeds
 
 MARTS = ("mart_claims_summary", "mart_provider_performance", "mart_diagnosis_cost_analysis")
+VIEWS = ("stg_claims", "stg_icd_codes")
+SILVER = "int_claims_deduplicated"
 
 
 class ModelTestFailure(RuntimeError):
@@ -31,81 +38,94 @@ class ModelTestFailure(RuntimeError):
 
 @dataclass
 class MedallionResult:
-    tables: dict[str, str] = field(default_factory=dict)
+    run: publish.Run | None = None
+    tables: dict[str, str] = field(default_factory=dict)   # name -> path
     test_report: DataFrame | None = None
     row_counts: DataFrame | None = None
     failed_tests: list = field(default_factory=list)
 
 
+def land(spark: SparkSession, run: publish.Run, name: str, raw: DataFrame, order: str, metrics: dict) -> tuple[DataFrame, dict]:
+    """Write raw rows as they are; returns the table, with its file order as one
+    number, and what the write counted."""
+    counted = publish.save(raw, run, name, metrics)
+    table = spark.table(run.table(name))
+    if ingest.is_marked(table, order):
+        publish.save(ingest.split_starts(table, order), run, f"{name}_splits")
+        table = ingest.dense_order(table, order, spark.table(run.table(f"{name}_splits")))
+    return table, counted
+
+
+def _null_metrics(model: str, kept: str = "true") -> dict:
+    """Failing rows of a model's not-null tests, for the write that the model goes through."""
+    return {f"null_{c}": F.count_if(F.expr(kept) & F.expr(f"{_raw_value(model, c)} IS NULL"))
+            for c, test in model_tests.MODEL_TESTS[model] if test == "not_null"}
+
+
+def _raw_value(model: str, column: str) -> str:
+    if model != "stg_claims":
+        return column
+    raw, kind = next((raw, kind) for raw, staged, kind in staging.RAW_TO_STAGED if staged == column)
+    return f"TRY_CAST({raw} AS {kind.simpleString().upper()})"
+
+
 def build_models(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame,
-                 out_root: str, strict: bool = True, database: str | None = None,
-                 view_prefix: str = "") -> MedallionResult:
-    """Silver and gold layers from bronze DataFrames, written under
-    ``out_root``; then the model tests and row counts, read from the
-    written tables. With ``strict`` a failing test raises after all tables
-    are written (like a failed test step after the model step). ``database``
-    also lists the marts there as catalog tables. ``view_prefix`` keeps the views
-    of several runs in one session apart."""
+                 out_root: str, strict: bool = True, database: str | None = None) -> MedallionResult:
+    """All layers from raw DataFrames, as a run below ``out_root``; then the model
+    tests and row counts. With ``strict`` a failing test raises after all
+    tables are written (like a failed test step after the model step) and nothing
+    is published; otherwise the run is published, with ``database`` as its tables."""
     apply_conf(spark)
-    res = MedallionResult()
-    t = res.tables
-    read = spark.read.parquet
-
-    stg = staging.stg_claims(claims_raw)
-    icd = staging.stg_icd_codes(icd_raw)
-    stg.createOrReplaceTempView(f"{view_prefix}stg_claims")
-    icd.createOrReplaceTempView(f"{view_prefix}stg_icd_codes")
-
-    deduped = staging.drop_hidden(dedup.int_claims_deduplicated(stg))
-    t["int_claims_deduplicated"] = sinks.write_table(deduped, f"{out_root}/silver/int_claims_deduplicated")
-    claims = read(t["int_claims_deduplicated"])
-    claims.createOrReplaceTempView(f"{view_prefix}int_claims_deduplicated")
-
-    built = {
-        "mart_claims_summary": marts.claims_summary(claims, icd, states),
-        "mart_provider_performance": marts.provider_performance(claims, states),
-        "mart_diagnosis_cost_analysis": marts.diagnosis_cost_analysis(claims, icd),
+    run = publish.start_run(spark, out_root)
+    res = MedallionResult(run)
+    buckets = (int(spark.conf.get("spark.sql.shuffle.partitions")), "claim_id")
+    counts = {}
+
+    # Bronze, and on the way what staging will keep of it.
+    stg_metrics = {"stg_claims": F.count_if(F.expr(staging.CLAIMS_COUNTED))} | _null_metrics("stg_claims", staging.CLAIMS_COUNTED)
+    claims, counts["claims_raw"] = land(spark, run, "claims_raw", claims_raw, claims_csv.INGEST_ORDER, stg_metrics)
+    codes, counts["icd_codes_raw"] = land(spark, run, "icd_codes_raw", icd_raw, icd_csv.ICD_INGEST_ORDER,
+                                          {"stg_icd_codes": F.count_if(F.expr(staging.CODES_KEPT))})
+    publish.save(states, run, "state_codes")
+    spark.sql(f"CREATE VIEW {run.table('stg_claims')} AS {staging.claims_view(run.table('claims_raw'))}")
+    spark.sql(f"CREATE VIEW {run.table('stg_icd_codes')} AS {staging.codes_view(run.table('icd_codes_raw'))}")
+
+    silver = staging.drop_hidden(dedup.int_claims_deduplicated(staging.stg_claims(claims)))
+    counts[SILVER] = publish.save(silver, run, SILVER, _null_metrics(SILVER), buckets)
+    claims, icd, states = spark.table(run.table(SILVER)), staging.stg_icd_codes(codes), spark.table(run.table("state_codes"))
+    jobs = {
+        "mart_claims_summary": lambda: publish.save(marts.claims_summary(claims, icd, states), run, "mart_claims_summary", _null_metrics("mart_claims_summary")),
+        "mart_provider_performance": lambda: publish.save(marts.provider_performance(claims, states), run, "mart_provider_performance", _null_metrics("mart_provider_performance")),
+        "mart_diagnosis_cost_analysis": lambda: publish.save(marts.diagnosis_cost_analysis(claims, icd), run, "mart_diagnosis_cost_analysis", _null_metrics("mart_diagnosis_cost_analysis")),
+        "unique": lambda: {"rows": model_tests.repeated_values(claims, "claim_id").first()[0]},
     }
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{out_root}/gold'")
-    t.update(sinks.write_tables({name: (df, f"{out_root}/gold/{name}") for name, df in built.items()}, database=database))
-    models = {"stg_claims": staging.drop_hidden(stg), "int_claims_deduplicated": claims}
-    for name in built:
-        models[name] = read(t[name])
-        models[name].createOrReplaceTempView(f"{view_prefix}{name}")
-
-    report = model_tests.run_model_tests(models)
-    counts = questions.row_counts({
-        "claims_raw": claims_raw, "stg_claims": stg, "stg_icd_codes": icd,
-        **{name: models[name] for name in ("int_claims_deduplicated", *MARTS)},
-    })
-    t.update(sinks.write_tables({"model_tests": (report, f"{out_root}/reports/model_tests"),
-                                 "row_counts": (counts, f"{out_root}/reports/row_counts")}))
-    res.test_report = read(t["model_tests"])
-    res.row_counts = read(t["row_counts"])
-
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:  # independent jobs share the cluster
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        counts |= {name: f.result() for name, f in futures.items()}
+
+    failures = {("stg_claims", c, "not_null"): counts["claims_raw"][f"null_{c}"] for c, _ in model_tests.MODEL_TESTS["stg_claims"]}
+    failures |= {(m, c, t): counts["unique"]["rows"] if t == "unique" else counts[m][f"null_{c}"]
+                 for m in (SILVER, *MARTS) for c, t in model_tests.MODEL_TESTS[m]}
+    steps = {"claims_raw": counts["claims_raw"]["rows"], "stg_claims": counts["claims_raw"]["stg_claims"],
+             "stg_icd_codes": counts["icd_codes_raw"]["stg_icd_codes"], **{m: counts[m]["rows"] for m in (SILVER, *MARTS)}}
+    publish.save(model_tests.report_of(spark, failures), run, "model_tests")
+    publish.save(questions.counted_rows(spark, steps), run, "row_counts")
+
+    written = ["claims_raw", "icd_codes_raw", "state_codes", SILVER, *MARTS, "model_tests", "row_counts"]
+    res.tables = {n: run.path(n) for n in written}
+    res.test_report, res.row_counts = spark.table(run.table("model_tests")), spark.table(run.table("row_counts"))
     res.failed_tests = model_tests.failed_tests(res.test_report)
     if strict and res.failed_tests:
         raise ModelTestFailure(f"model tests failed: {res.failed_tests}")
+    publish.publish(spark, run, written, database)
     return res
 
 
 def run_medallion(spark: SparkSession, claims_path: str, icd_path: str, out_root: str,
-                  states_path: str | None = None, strict: bool = True) -> MedallionResult:
-    """The full run from the raw text files: gate, bronze tables, then
-    :func:`build_models` on the bronze tables."""
+                  states_path: str | None = None, strict: bool = True, database: str | None = None) -> MedallionResult:
+    """The full run from the raw text files: gate, then :func:`build_models`."""
     apply_conf(spark)
     claims_csv.require_source(spark, claims_path)
-    tables = {}
-    raw = claims_csv.read_claims_csv(spark, claims_path)
-    tables["claims_raw"] = sinks.write_table(raw, f"{out_root}/bronze/claims_raw")
-    icd_raw = icd_csv.read_icd_csv(spark, icd_path, ingest_order=True)
-    tables["icd_codes_raw"] = sinks.write_table(icd_raw, f"{out_root}/bronze/icd_codes_raw")
     states = seeds.read_state_codes_csv(spark, states_path) if states_path else seeds.state_codes(spark)
-    tables["state_codes"] = sinks.write_table(states, f"{out_root}/seeds/state_codes")
-
-    read = spark.read.parquet
-    res = build_models(spark, read(tables["claims_raw"]), read(tables["icd_codes_raw"]),
-                       read(tables["state_codes"]), out_root, strict)
-    res.tables.update(tables)
-    return res
+    return build_models(spark, claims_csv.read_claims_csv(spark, claims_path), icd_csv.read_icd_csv(spark, icd_path, ingest_order=True),
+                        states, out_root, strict, database)

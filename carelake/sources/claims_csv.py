@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.columns import iso_date_text
 from carelake.schemas import DATE_COLUMNS, RAW_CLAIM_COLUMNS
+from carelake.sources.ingest import file_mark
 from carelake.sources.sinks import QUOTING
 
 INGEST_ORDER = "_ingest_seq"
@@ -46,7 +47,8 @@ def read_claims_csv(
     ``ingest_order`` adds ``_ingest_seq``: (path, split start, position inside
     the split), which sorts rows in file order: files by path, rows of a file as
     they are written. "Keep the first row" operators order by it, because a
-    distributed scan does not keep file order by itself.
+    distributed scan does not keep file order by itself; the runs turn it into one
+    number first (``ingest.dense_order``).
     """
     raw = _reader(spark).option("mode", "FAILFAST").option("columnPruning", columns is not None).csv(path)
     missing = [c for c in (columns or RAW_CLAIM_COLUMNS) if c not in raw.columns]
@@ -54,14 +56,9 @@ def read_claims_csv(
         raise SourceMissing(f"claims file lacks columns {missing}")
     exprs = []
     for c in columns or raw.columns:
-        col = F.col(f"`{c}`")
-        exprs.append((iso_date_text(col) if normalize_dates and c in DATE_COLUMNS else col).alias(c))
+        exprs.append((iso_date_text(f"`{c}`") if normalize_dates and c in DATE_COLUMNS else F.col(f"`{c}`")).alias(c))
     if ingest_order:
-        exprs.append(F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("offset"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(INGEST_ORDER))
+        exprs.append(file_mark().alias(INGEST_ORDER))
     return raw.select(*exprs)
 
 

@@ -109,6 +109,15 @@ def claims_raw_wide(spark: SparkSession, sf_dir: str, ingest_order: bool = False
     return base.select(*cols)
 
 
+def mixed_dates() -> Column:
+    """The from-date of a raw claim in one of the three forms of the raw files by its
+    line number; one claim in 41 has a date that is none. The newest date of each form differs."""
+    day, line = F.col("CLM_FROM_DT").cast("date"), F.col("CLM_LINE_NUM").cast("int")
+    return (F.when(F.col("CLM_ID").cast("bigint") % 41 == 0, F.concat(F.col("CLM_FROM_DT"), F.lit("?")))
+             .when(line % 3 == 0, F.date_format(day, "yyyyMMdd")).when(line % 3 == 1, F.date_format(day, "dd-MMM-yyyy"))
+             .otherwise(F.col("CLM_FROM_DT")))
+
+
 def fact_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input of the quality checks: the nine fact columns from the raw
     relation, unfiltered, with nulls and empty dates injected, plus the

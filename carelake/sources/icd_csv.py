@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.schemas import ICD_SOURCE_SCHEMA
+from carelake.sources.ingest import file_mark
 from carelake.sources.sinks import KEEP_BLANKS, QUOTING
 
 ICD_INGEST_ORDER = "_icd_seq"
@@ -32,11 +33,7 @@ def icd_projection(source: DataFrame, ingest_order: bool = False) -> DataFrame:
             F.col("short_description").alias("description"),
             F.col("category")]
     if ingest_order:
-        cols.append(F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("offset"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(ICD_INGEST_ORDER))
+        cols.append(file_mark().alias(ICD_INGEST_ORDER))
     return source.select(*cols)
 
 

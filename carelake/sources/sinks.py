@@ -3,6 +3,7 @@ refresh); written tables also cut the lineage of what reads them next."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.schemas import STAR_TABLES
+from carelake.sources.publish import Run, _ddl, publish, save
 
 # Load order of the star: dimensions before the fact.
 STAR_LOAD_ORDER = ["dim_patient", "dim_provider", "dim_diagnosis", "fact_claims"]
@@ -35,7 +37,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return path
 
 
-def run_concurrently(actions: dict[str, Callable[[], str]], max_parallel: int = 4) -> dict[str, str]:
+def run_concurrently(actions: dict[str, Callable], max_parallel: int = 4) -> dict:
     """Run independent write actions as concurrent Spark jobs (one driver
     thread each), so small jobs share the cluster instead of queueing."""
     if len(actions) <= 1:
@@ -65,15 +67,10 @@ def write_icd_source_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
-                     + ("" if f.nullable else " NOT NULL") for f in schema.fields)
-
-
 def create_star_tables(spark: SparkSession, root: str, database: str | None = None) -> list[str]:
     """``CREATE TABLE IF NOT EXISTS`` for the four star tables as parquet
-    tables at ``root/<name>``. Parquet does not enforce NOT NULL, so
-    :func:`load_star` checks the keys before writing."""
+    tables at ``root/<name>``. Parquet does not enforce NOT NULL; :func:`required`
+    does, in the write."""
     names = []
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
@@ -100,27 +97,45 @@ def check_not_null(tables: dict[str, DataFrame]) -> None:
             raise NullKeyError(f"{name}: NULL in NOT NULL columns {bad}")
 
 
-def load_star(tables: dict[str, DataFrame], root: str, check_keys: bool = True) -> dict[str, str]:
-    """Truncate-and-load, dimensions before the fact."""
-    if check_keys:
-        check_not_null(tables)
-    out = {}
-    for name in STAR_LOAD_ORDER:
-        df = tables[name].select(*STAR_TABLES[name].fieldNames())
-        out[name] = write_table(df, f"{root}/{name}")
-    return out
+def required(df: DataFrame, name: str) -> DataFrame:
+    """The columns of star table ``name``; a NULL in a NOT NULL column fails whatever
+    job writes the rows (parquet does not enforce it), without a pass of its own."""
+    fields = STAR_TABLES[name].fields
+    refuse = lambda f: F.raise_error(F.lit(f"{name}: NULL in NOT NULL column {f.name}")).cast(f.dataType)
+    return df.select(*[F.col(f.name) if f.nullable else F.coalesce(F.col(f.name), refuse(f)).alias(f.name) for f in fields])
+
+
+def load_star(tables: dict[str, DataFrame], run: Run, database: str | None = None) -> dict[str, int]:
+    """Write the dimensions, then the fact, as tables of ``run``, and only then
+    switch what is read to them. Returns the rows of each; any failure before the
+    end, a NULL key included, leaves the star before it as it was."""
+    spark = tables[STAR_LOAD_ORDER[0]].sparkSession
+    rows = {name: save(required(tables[name], name), run, name)["rows"] for name in STAR_LOAD_ORDER}
+    publish(spark, run, STAR_LOAD_ORDER, database, declared=STAR_TABLES)
+    return rows
 
 
 # NULL and the empty string are different findings; keep them apart in text.
 _QUARANTINE = {"header": "true", "nullValue": "\\N", **QUOTING}
 
 
-def write_quarantine(failed: DataFrame, root: str, check_name: str) -> str:
-    """The failing rows of one check as a headered CSV folder
-    ``root/failed_<check>`` (call only when the check found rows)."""
-    path = f"{root}/failed_{check_name}"
-    failed.write.mode("overwrite").options(**_QUARANTINE, **KEEP_BLANKS).csv(path)
-    return path
+def write_quarantine(failed: DataFrame, root: str, checks: list[str]) -> dict[str, str]:
+    """Rows of ``failed`` by their ``check_name`` as headered CSV folders
+    ``root/failed_<check>``, for the ``checks`` that have rows. One write deals the
+    rows out by check in a folder of its own; its parts are then renamed, so a
+    write that fails leaves what was there."""
+    spark = failed.sparkSession
+    work = f"{root.rstrip('/')}/_writing_{uuid.uuid4().hex}"
+    failed.write.partitionBy("check_name").options(**_QUARANTINE, **KEEP_BLANKS).csv(work)
+    paths = {name: f"{root.rstrip('/')}/failed_{name}" for name in checks}
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(work).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, path in paths.items():
+        fs.delete(hadoop(path), True)
+        if not fs.rename(hadoop(f"{work}/check_name={name}"), hadoop(path)):
+            raise OSError(f"no rows of {name} in {work}")
+    fs.delete(hadoop(work), True)
+    return paths
 
 
 def quarantine_reader(spark: SparkSession, schema):

@@ -76,6 +76,17 @@ def test_freshness(spark):
     assert r.status == "error"
 
 
+def test_freshness_reads_every_date_form(spark):
+    now = "2015-03-10 12:00:00"
+    cases = [(["07-Mar-2015"], "2015-03-07 00:00:00", 0), (["20150309"], "2015-03-09 00:00:00", 0), (["2015-03-09 11:30:00"], "2015-03-09 11:30:00", 0),
+             (["2015-03-01", "08-mar-2015", "20150302", None], "2015-03-08 00:00:00", 0),
+             (["2015-03-01", "2015-13-45", "99999999", "31-Xyz-2015", "", "soon"], "2015-03-01 00:00:00", 5), (["soon", None], None, 1), ([], None, 0)]
+    for values, newest, unparsed in cases:
+        r = freshness.source_freshness(spark.createDataFrame([(v,) for v in values], "d string"), "x", "d", now).first()
+        assert (r.max_loaded_at, r.unparsed_rows) == (newest, unparsed), values
+        assert r.status == ("error" if newest is None else "warn")
+
+
 AUDIT_CASES = [
     ("SELECT state, total_paid FROM mart_claims_summary ORDER BY total_paid DESC LIMIT 5", "pass", None, None),
     ("DELETE FROM mart_claims_summary WHERE state = 'FL'", "blocked", "keyword", "DELETE"),

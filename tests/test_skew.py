@@ -83,12 +83,13 @@ def test_duplicate_rows_broadcast_and_shuffle(spark):
 
 
 @contextlib.contextmanager
-def forced_shuffle(spark):
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+def forced_shuffle(spark, *off):
+    """No broadcast by size; the switches ``off`` are off."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"} | {k: "false" for k in off}
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
-        for k in keys:
-            spark.conf.set(k, "-1")
+        for k, v in keys.items():
+            spark.conf.set(k, v)
         yield
     finally:
         for k, v in old.items():

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.operators import questions
-from carelake.sources import claims_csv, icd_csv, seeds, sinks
+from carelake.sources import claims_csv, icd_csv, publish, seeds, sinks
 
 
 def test_claims_csv_selects_by_name(spark, tmp_path):
@@ -90,7 +90,9 @@ def test_command_line_jobs(spark, sf_small, tmp_path):
     claims, codes = Q._write_claims_csv(spark, sf_small), Q._write_icd_csv(spark, sf_small)
     # the fixture has NULL diagnosis codes (a D5 failure) and v1 duplicates: both exit 1
     assert main(["medallion", "--claims", claims, "--icd", codes, "--out", str(tmp_path / "m")]) == 1
-    assert spark.read.parquet(str(tmp_path / "m/gold/mart_claims_summary")).count() > 0
+    assert publish.read_published(spark, str(tmp_path / "m"), "mart_claims_summary").count() > 0
+    assert main(["medallion", "--claims", claims, "--icd", codes, "--out", str(tmp_path / "m"), "--database", "cli_marts"]) == 1
+    assert spark.table("cli_marts.mart_claims_summary").count() > 0
     assert main(["star", "--claims", claims, "--icd", codes, "--out", str(tmp_path / "s")]) == 1
     fixtures.sql_log(spark, sf_small).write.parquet(str(tmp_path / "log"))
     assert main(["audit", "--log", str(tmp_path / "log"), "--out", str(tmp_path / "a")]) == 0
@@ -132,8 +134,10 @@ def test_medallion_strict_raises_on_failed_tests(spark, sf_small, tmp_path):
     claims, codes = Q._write_claims_csv(spark, sf_small), Q._write_icd_csv(spark, sf_small)
     with pytest.raises(ModelTestFailure, match="mart_diagnosis_cost_analysis"):
         run_medallion(spark, claims, codes, str(tmp_path / "m"))
-    # every layer was written before the test step failed
-    assert spark.read.parquet(str(tmp_path / "m/gold/mart_provider_performance")).count() > 0
+    # every layer was written before the test step failed, and none of it published
+    assert not (tmp_path / "m/published").exists()
+    (made,) = (tmp_path / "m/runs").iterdir()
+    assert spark.read.parquet(str(made / "mart_provider_performance")).count() > 0
 
 
 def test_seed_file_of_any_size(spark, tmp_path):
