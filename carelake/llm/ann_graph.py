@@ -10,13 +10,17 @@ hub or dense region makes a group large; joins on hubs can be split. Of a hub's
 reverse neighbours ``k`` are drawn in each round, those that wait first: a link
 waits at its far end until it was drawn there, and is new there until then. A
 group offers ``k`` neighbours to a node, as many as the node can keep, so none
-of its best is lost. ``k`` and the beam grow with the number of nodes (``sizes``).
+of its best is lost.
 
 *Search.* All queries walk together: each keeps the best nodes in its beam, expands
 the best ones not yet expanded through one join with the graph and one with the
 vectors, and ends when all nodes in its beam are expanded; no number of steps
-cuts it short (a node is expanded once for a query, so the walk ends). It begins at a bounded
-sample of ``SEEDS`` nodes and at its own node if its vector is in the index.
+cuts it short (a node is expanded once for a query, so the walk ends). A node leads to
+its neighbours and to as many that have it as theirs, the nearest. A query whose
+vector is in the index begins at its node, any other at a bounded sample of
+``SEEDS`` nodes; equal queries walk as one. ``BEAM`` is the same at every size and the
+neighbours grow with the logarithm of the nodes (``degree``), so a query looks at
+little more vectors in a large index than in a small one.
 Scores are computed from the original vectors in double precision.
 
 Defined results: vectors that are null, zero, of another length than most (of
@@ -47,17 +51,17 @@ PASSES = 2
 STOP_SHARE = 0.01   # of all list entries changed
 SEEDS = 64
 BEAM = 128
-SIZED_FOR = 10_000  # nodes that K and BEAM are for
+
+SIZED_FOR = 10_000  # nodes that K is for
+MORE = 3            # neighbours more for each doubling beyond
 
 EDGES = "u long, v long, sim double"
 
 
-def sizes(count: int) -> tuple[int, int]:
-    """Neighbours of a node and nodes in a beam: ``K`` and ``BEAM`` up to
-    ``SIZED_FOR`` nodes; with each doubling beyond, 3 neighbours more and a beam
-    wider by the square root of 2."""
-    doublings = max(0.0, math.log2(max(1, count) / SIZED_FOR))
-    return K + round(3 * doublings), round(BEAM * 2 ** (doublings / 2))
+def degree(count: int) -> int:
+    """Neighbours of a node in a graph of ``count``: grows with the logarithm, as a
+    list of fixed length finds fewer of the nearest the more nodes there are."""
+    return K + round(MORE * math.log2(max(1.0, count / SIZED_FOR)))
 
 
 def _matrix(column) -> np.ndarray:
@@ -233,7 +237,7 @@ def _merged(q: int, vec: np.ndarray, seen: list, nodes: list, sims: list, is_ope
     new = ~np.isin(ids, np.array(seen, dtype=np.int64))
     ids, at = ids[new], at[new]
     if len(ids):
-        sims = np.concatenate([sims, _unit(x[at]) @ _unit(vec[None, :])[0]])
+        sims = np.concatenate([sims, np.clip(_unit(x[at]) @ _unit(vec[None, :])[0], -1, 1)])
         nodes = np.concatenate([nodes, ids]).astype(np.int64)
         is_open = np.concatenate([is_open, np.ones(len(ids), dtype=bool)]).astype(bool)
         order = np.lexsort((nodes, -sims))[:beam]
@@ -252,23 +256,21 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = K,
     spark = vectors.sparkSession
     expand = beam // 4  # nodes a query expands in one step
     ship_package(spark)
-    back = materialise(graph.select(F.col("v").alias("u"), F.col("u").alias("v")).join(graph.select("u", "v"), ["u", "v"], "left_anti"), "ann-back")
-    drawn = W.partitionBy("u").orderBy(F.xxhash64("v"))
-    # Out-links all, in-links as many again, drawn by hash.
-    extra = back.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= k).drop("n")
+    back = materialise(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim").join(graph.select("u", "v"), ["u", "v"], "left_anti"), "ann-back")
+    drawn = W.partitionBy("u").orderBy(F.desc("sim"), "v")
+    # Out-links all, in-links as many again, the nearest.
+    extra = back.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= k).drop("n", "sim")
     links = materialise(graph.select("u", "v").union(extra), "ann-links")
-    sample = vectors.orderBy(F.xxhash64("node"), "node").limit(SEEDS).collect()
+    sample = vectors.orderBy(F.xxhash64("node"), "node").limit(SEEDS).collect() if queries.where("own is null").limit(1).count() else []
     seed_ids = np.array([r.node for r in sample], dtype=np.int64)
-    seeds = np.array([r.vec for r in sample], dtype=np.float64)
+    seeds = [np.array(r.vec, dtype=np.float64) for r in sample]
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for q, own, vec in zip(batch.column("q").to_pylist(), batch.column("own").to_pylist(), _matrix(batch.column("vec")) if batch.num_rows else []):
-                ids, x = seed_ids, seeds
-                if own is not None:
-                    ids, x = np.append(ids, own), np.concatenate([x, vec[None, :]])
-                rows.append(_merged(q, vec, [], [], [], [], ids, x, beam))
+                ids, x = (seed_ids, seeds) if own is None else (np.array([own]), [vec])
+                rows.append(_merged(q, vec, [], [], [], [], ids, np.array(x).reshape(len(ids), -1), beam))
             yield from _state_table(rows).to_batches()
 
     def look(state: pa.Table, offers: pa.Table) -> pa.Table:
@@ -309,14 +311,19 @@ def nearest(table: DataFrame, wanted: int = 5, id_: str = "vec_id", vector: str
                           .withColumn("node", F.min("id").over(W.partitionBy("vec"))), "ann-members")
     vectors = materialise(members.where("n = 1").select("node", "vec"), "ann-vectors")
     count = vectors.count()
-    k, beam = sizes(count)
+    k = degree(count)
     graph = build_graph(vectors, count, k)
     is_query = F.col("id") % 50 == 0 if query is None else query
-    asked = rows.where(is_query).distinct().join(vectors.select("node", F.col("vec").alias("same")), F.col("vec") == F.col("same"), "left").select(
-        F.col("id").alias("q"), "vec", F.col("node").alias("own"))
-    found = search(materialise(asked, "ann-queries"), vectors, graph, k, beam)
+    asked = materialise(rows.where(is_query).distinct().join(vectors.select("node", F.col("vec").alias("same")), F.col("vec") == F.col("same")).select(
+        F.col("id").alias("query_id"), F.col("node").alias("q")), "ann-queries")
+    walkers = materialise(asked.select("q").distinct().join(vectors, F.col("q") == F.col("node")).select("q", "vec", F.col("node").alias("own")), "ann-walkers")
+    found = search(walkers, vectors, graph, k)
     near = found.select("q", F.explode(F.slice(F.arrays_zip("nodes", "sims"), 1, wanted + 1)).alias("x")).select("q", "x.nodes", "x.sims")
-    named = near.join(members.select("node", F.col("id").alias("vec_id")), F.col("nodes") == F.col("node")).where("vec_id <> q")
+    named = near.join(members.select("node", F.col("id").alias("vec_id")), F.col("nodes") == F.col("node"))
+    # One more than wanted for every vector, so that each of its ids can leave itself out.
     order = W.partitionBy("q").orderBy(F.desc("sims"), "vec_id")
-    return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= wanted).select(
-        F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", F.col("sims").alias("score"))
+    lists = named.withColumn("n", F.row_number().over(order)).where(F.col("n") <= wanted + 1).groupBy("q").agg(
+        F.sort_array(F.collect_list(F.struct("n", "vec_id", "sims"))).alias("best"))
+    others = F.filter("best", lambda x: x["vec_id"] != F.col("query_id"))
+    return asked.join(lists, "q").select("query_id", F.posexplode(F.slice(others, 1, wanted)).alias("rank", "x")).select(
+        "query_id", (F.col("rank") + 1).alias("rank"), "x.vec_id", F.col("x.sims").alias("score"))

@@ -85,6 +85,33 @@ def test_a_link_waits_until_its_hub_draws_it(spark):
     assert {r.v for r in second} == {1, 2, 3, 4} - early and all(r.fresh for r in second)
 
 
-def test_sizes_follow_the_count():
-    assert A.sizes(0) == A.sizes(10_000) == (28, 128)
-    assert [A.sizes(n) for n in (40_000, 160_000)] == [(34, 256), (40, 512)]
+def test_parallel_vectors_score_one(spark):
+    """Equal directions, unequal vectors: no score above 1; equal queries walk once and leave themselves out."""
+    rows = [(i, [0.1 * (i + 1), 0.3 * (i + 1), 0.7 * (i + 1)], 1) for i in range(40)] + [(50 * i, [1.0, 1.0, 0.0], 1) for i in range(2, 30)]
+    got = A.nearest(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert max(r.score for r in got) <= 1.0
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    same = [50 * i for i in range(2, 30)]
+    for q in same:
+        assert by[q] == [i for i in same if i != q][:5]
+
+
+def test_queries_outside_the_index(spark):
+    """Vectors of no node begin at the seeds."""
+    rng = np.random.default_rng(2)
+    rows = [(i, v) for i, v in enumerate(rng.standard_normal((300, 6)).tolist())]
+    vectors = spark.createDataFrame(rows, "node long, vec array<double>").cache()
+    graph = A.build_graph(vectors, 300)
+    asked = [(k, v, None) for k, v in enumerate(rng.standard_normal((5, 6)).tolist())]
+    found = A.search(spark.createDataFrame(asked, "q long, vec array<double>, own long"), vectors, graph).collect()
+    x = np.array([v for _, v in rows])
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for r in found:
+        assert r.nodes[:5] == np.argsort(-(x @ np.array(asked[r.q][1])))[:5].tolist()
+
+
+def test_the_degree_grows_with_the_logarithm():
+    assert A.degree(0) == A.degree(10_000) == 28
+    assert [A.degree(n) for n in (20_000, 40_000, 10_240_000)] == [31, 34, 58]
