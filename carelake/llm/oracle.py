@@ -4,9 +4,10 @@ from __future__ import annotations
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
-# Measures, exact counts by leading-bits bucket, fences of quartiles per
-# (lang, source), per lang and over all; the narrowest group of 200 rows rules.
-QUALITY = rf"""
+# Measures, exact counts by leading-bits bucket, fences of median and first quartile
+# per (lang, source), per lang and over all, each drawn to the wider one and bounded by it.
+def quality(min_words: int = 20) -> str:
+    return rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, regexp_extract_all(text, {_WORD}) AS words FROM d),
@@ -29,32 +30,34 @@ m AS (
     length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
   FROM d JOIN w USING (rid) JOIN line USING (rid) LEFT JOIN cover USING (rid)),
 r AS (
-  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  SELECT *, n_words < {min_words} OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     [n_symbols * 1000 // greatest(n_words, 1), n_dup_lines * 1000 // greatest(n_lines + 5, 1),
      n_repeat_words * 1000 // greatest(n_words, 1), n_upper * 1000 // greatest(word_chars, 1),
      word_chars * 1000 // greatest(n_words + 10, 1)] AS x
   FROM m),
 v AS (
-  SELECT lang, source, u.j AS j, x[u.j] AS v, [100, 100, 100, 100, 500][u.j] AS least_range
+  SELECT lang, source, u.j AS j, x[u.j] AS v, [100, 100, 90, 100, 500][u.j] AS least_range
   FROM r, unnest([1, 2, 3, 4, 5]) AS u(j) WHERE NOT base_failed),
 b AS (
   SELECT lang, source, j, least_range,
     (v >> greatest(0, length(bin(v)) - 8)) << greatest(0, length(bin(v)) - 8) AS b FROM v),
 f1 AS (SELECT lang, source, j, count(*) AS n,
-    quantile_disc(b, 0.75) + 3 * greatest(quantile_disc(b, 0.75) - quantile_disc(b, 0.25), any_value(least_range)) AS f
+    quantile_disc(b, 0.5) + 3 * greatest(2 * (quantile_disc(b, 0.5) - quantile_disc(b, 0.25)), any_value(least_range)) AS f
   FROM b GROUP BY lang, source, j),
 f2 AS (SELECT lang, j, count(*) AS n,
-    quantile_disc(b, 0.75) + 3 * greatest(quantile_disc(b, 0.75) - quantile_disc(b, 0.25), any_value(least_range)) AS f
+    quantile_disc(b, 0.5) + 3 * greatest(2 * (quantile_disc(b, 0.5) - quantile_disc(b, 0.25)), any_value(least_range)) AS f
   FROM b GROUP BY lang, j),
-f3 AS (SELECT j, quantile_disc(b, 0.75) + 3 * greatest(quantile_disc(b, 0.75) - quantile_disc(b, 0.25), any_value(least_range)) AS f
+f3 AS (SELECT j, quantile_disc(b, 0.5) + 3 * greatest(2 * (quantile_disc(b, 0.5) - quantile_disc(b, 0.25)), any_value(least_range)) AS f
   FROM b GROUP BY j),
+g2 AS (SELECT lang, j, least((n * f2.f + 200 * f3.f) // (n + 200), 2 * f3.f) AS f FROM f2 JOIN f3 USING (j)),
+g1 AS (
+  SELECT f1.lang, f1.source, f1.j, least((n * f1.f + 200 * g2.f) // (n + 200), 2 * g2.f) AS f
+  FROM f1 JOIN g2 ON g2.j = f1.j AND g2.lang IS NOT DISTINCT FROM f1.lang),
 bad AS (
   SELECT DISTINCT r.rid
   FROM r, unnest([1, 2, 3, 4, 5]) AS u(j)
-  JOIN f1 ON f1.j = u.j AND f1.lang IS NOT DISTINCT FROM r.lang AND f1.source IS NOT DISTINCT FROM r.source
-  JOIN f2 ON f2.j = u.j AND f2.lang IS NOT DISTINCT FROM r.lang
-  JOIN f3 ON f3.j = u.j
-  WHERE r.x[u.j] > CASE WHEN f1.n >= 200 THEN f1.f WHEN f2.n >= 200 THEN f2.f ELSE f3.f END)
+  JOIN g1 ON g1.j = u.j AND g1.lang IS NOT DISTINCT FROM r.lang AND g1.source IS NOT DISTINCT FROM r.source
+  WHERE r.x[u.j] > g1.f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept
 FROM r
@@ -242,5 +245,5 @@ FROM numbered JOIN place ON number = origin
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": _licenses(), "op7_sharding": _shards(), "op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": QUALITY,
+    return {"op3_license_scan": _licenses(), "op7_sharding": _shards(), "op8_substring_dedup": SUBSTRINGS, "op10_quality_rules": quality(),
             "op11_merkle_manifest": _manifest(), "op13_conversation_trie": _trie()}

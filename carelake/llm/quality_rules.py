@@ -8,11 +8,17 @@ The sketch is a log-linear histogram: a value keeps its ``SKETCH_BITS`` leading
 bits, so a quantile is off by at most 1 part in 2**(SKETCH_BITS-1). Two
 sketches merge by adding counts, in any order and grouping, with the same
 result: source sketches merge into language sketches and those into one of the
-corpus, which stand in for groups with under ``min_group`` rows. A sketch has
+corpus. A sketch has
 at most ``2**(SKETCH_BITS-1) * 64`` counts, however many rows it covers, and is
 pre-aggregated before each shuffle, so a source with a third of all rows moves
 no more than any other.
 
+A limit comes from the lower half of a group, its median and first quartile: rows
+with a defect, up to a half of the group, do not widen it. A group's limit is drawn to
+that of the wider group as by ``PRIOR`` rows of it, so a small group has no limit of
+its own making, and is at most ``BOUND`` times as wide: a source that is junk
+throughout is judged by its language, a language by the corpus.
+
 Only DataFrame functions are used.
 
 Defined results: null or empty text has no words and fails the base rules; null
@@ -31,12 +37,15 @@ from carelake.llm.common import GAP_CHARS, ROW, let, materialise, text_of, unpac
 SYMBOLS = "#*$%&|<>"
 WINDOW_WORDS = 8
 SKETCH_BITS = 8
-MIN_GROUP = 200
+PRIOR = 200
+BOUND = 2
 FENCE = 3
+MIN_WORDS = 20
 
-# Measures judged by an upper fence: name -> least interquartile range allowed
-# for the fence, in the measure's own unit (thousandths).
-MEASURES = {"symbols": 100, "dup_lines": 100, "repeats": 100, "upper": 100, "word_length": 500}
+# Measures judged by an upper fence: name -> least spread taken for the fence, in
+# the measure's own unit (thousandths). That of ``repeats`` leaves its fence room
+# below the base rule of 300.
+MEASURES = {"symbols": 100, "dup_lines": 100, "repeats": 90, "upper": 100, "word_length": 500}
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -123,21 +132,27 @@ def sketch_quantiles(sketch: DataFrame, keys: list[str], probabilities: dict[str
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group a struct of upper limits, by measure: third quartile plus
-    ``FENCE`` interquartile ranges (Tukey's outer fence)."""
-    q = sketch_quantiles(sketch, keys, {"q1": 25, "q3": 75})
+    """Per group its row count and a struct of upper limits, by measure: the median
+    plus ``FENCE`` times the spread, twice the distance from the first quartile."""
+    q = sketch_quantiles(sketch, keys, {"q1": 25, "q2": 50})
     least = F.create_map(*[F.lit(x) for kv in MEASURES.items() for x in kv])
-    limit = F.col("q3") + FENCE * F.greatest(F.col("q3") - F.col("q1"), least[F.col("measure")])
+    limit = F.col("q2") + FENCE * F.greatest(2 * (F.col("q2") - F.col("q1")), least[F.col("measure")])
     limits = [F.max(F.when(F.col("measure") == m, limit)).alias(m) for m in MEASURES]
     return q.groupBy(*keys).agg(F.max("rows").alias("rows"), F.struct(*limits).alias("limits"))
 
 
+def drawn(rows: str, limits: str, wider: str) -> Column:
+    """Limits of a group of ``rows`` rows, drawn to those of the ``wider`` one and bounded by them."""
+    one = lambda m: F.expr(f"least(({rows} * {limits}.{m} + {PRIOR} * {wider}.{m}) div ({rows} + {PRIOR}), {BOUND} * {wider}.{m})")
+    return F.struct(*[one(m).alias(m) for m in MEASURES])
+
+
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-          min_group: int = MIN_GROUP, carry: list[str] | None = None) -> DataFrame:
+          min_words: int = MIN_WORDS, carry: list[str] | None = None) -> DataFrame:
     """All rows (the columns in ``carry``, or all) with ``n_words``, ``word_chars``, ``n_symbols``,
     ``n_dup_lines``, ``n_repeat_words``, ``base_failed`` and ``kept``.
 
-    ``base_failed``: under 20 words, or over 30 % of the words in repeated
+    ``base_failed``: under ``min_words`` words, or over 30 % of the words in repeated
     windows. ``kept``: not base_failed, and no measure above the fence of the
     row's language and source. Sketches count the rows that pass the base rules.
     The measures are taken in one pass over the texts and written."""
@@ -148,7 +163,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     measured = measured.select(ROW, "g_lang", "g_source", *[
         (F.col("m.lines.dup") if c == "n_dup_lines" else F.col(f"m.{c}")).alias(c) for c in BASE],
         *[c.alias(f"x_{n}") for n, c in _measures().items()]) \
-        .withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
+        .withColumn("base_failed", F.expr(f"n_words < {min_words} or 100 * n_repeat_words > 30 * n_words"))
     measured = materialise(measured, "quality-measures")
 
     names = {f"x_{m}": m for m in MEASURES}
@@ -162,11 +177,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     widest = fences(overall, []).first()  # one row of limits
     f_all = F.struct(*[F.lit(widest.limits[m]).cast("long").alias(m) for m in MEASURES]) if widest and widest.limits \
         else F.lit(None).cast("struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">")
-    # One fence per (language, source) that occurs: its own, else the wider group's.
-    chosen = (f_source.join(f_lang, F.col("t_lang").eqNullSafe(F.col("u_lang")), "left")
-              .select("t_lang", "t_source",
-                      F.when(F.col("r1") >= min_group, F.col("l1")).when(F.col("r2") >= min_group, F.col("l2"))
-                      .otherwise(f_all).alias("limits")))
+    # One fence per (language, source) that occurs.
+    chosen = (f_source.join(f_lang, F.col("t_lang").eqNullSafe(F.col("u_lang")), "left").withColumn("l3", f_all)
+              .withColumn("l2", drawn("r2", "l2", "l3")).select("t_lang", "t_source", drawn("r1", "l1", "l2").alias("limits")))
     # Written, its size is known to the planner: few groups are broadcast, and
     # the rows with their texts stay where they are.
     chosen = materialise(chosen, "quality-fences")
@@ -179,11 +192,11 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     return unpack(judged, [*BASE, "base_failed", "kept"])
 
 
-def filter_documents(docs: DataFrame, **columns) -> DataFrame:
+def filter_documents(docs: DataFrame, min_words: int = MIN_WORDS, **columns) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their own columns only."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                       F.col(columns.get("text", "text")).alias("text"),
                       F.col(columns.get("lang", "lang")).alias("lang"),
                       F.col(columns.get("source", "source")).alias("source"))
-    kept = judge(row, carry=["doc"]).where("kept")
+    kept = judge(row, min_words=min_words, carry=["doc"]).where("kept")
     return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

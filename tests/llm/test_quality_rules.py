@@ -70,6 +70,51 @@ def test_clean_text_stays_and_junk_goes(spark):
     assert kept == {c[0] for c in clean}
 
 
+def _prose(rng, n):
+    return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(n)) + "."
+
+
+@pytest.mark.parametrize("others", [0, 300])
+def test_a_junk_heavy_source_loses_its_junk(spark, others):
+    """30 % of a source is junk; with other sources around also a source that is junk throughout."""
+    rng = random.Random(4)
+    clean = [(i, _prose(rng, rng.randint(20, 200)), "en", "hot") for i in range(210)]
+    clean += [(500 + i, _prose(rng, rng.randint(20, 200)), "en", f"s{i % 5}") for i in range(others)]
+    junk = [(1000 + i, _prose(rng, 80).replace(" ", "$$ "), "en", "hot") for i in range(90)]
+    if others:
+        junk += [(2000 + i, _prose(rng, 80).upper(), "en", "bad") for i in range(60)]
+    kept = {r.doc_id for r in Q.filter_documents(docs(spark, clean + junk)).collect()}
+    assert kept == {c[0] for c in clean}
+
+
+def test_every_measure_can_reject(spark):
+    """A row above the fence of one measure alone, the base rules passed."""
+    rng = random.Random(5)
+    clean = [(i, "\n".join(_prose(rng, 8) for _ in range(12)), "en", "s") for i in range(100)]
+    block, tail = _prose(rng, 14), lambda n: _prose(rng, n)
+    odd = {"symbols": _prose(rng, 90).replace(" ", "# "), "dup_lines": "\n".join([tail(8) for _ in range(10)] + ["same one"] * 9),
+           "repeats": f"{block} {tail(66)} {block} x", "upper": _prose(rng, 90).upper(), "word_length": " ".join("abcdefgh" * 4 for _ in range(5)) + " "
+           + " ".join("".join(rng.choices("abcdefgh", k=30)) for _ in range(60))}
+    rows = clean + [(1000 + k, t, "en", "s") for k, t in enumerate(odd.values())]
+    for r in Q.judge(docs(spark, rows)).collect():
+        assert r.kept == (r.doc_id < 1000), r.doc_id
+        assert r.doc_id < 1000 or not r.base_failed, list(odd)[r.doc_id - 1000]
+
+
+@pytest.mark.parametrize("n", [199, 200, 201])
+def test_no_step_in_the_size_of_a_group(spark, n):
+    """A limit moves with the rows of a group, not at a size of it."""
+    rows = [(i, "en", "a", 40 if i % 2 else 200) for i in range(n)] + [(10_000 + i, "en", "b", 10) for i in range(5000)]
+    frame = spark.createDataFrame(rows, "i int, g_lang string, g_source string, v long")
+    wide = frame.select("g_lang", "g_source", *[Q.F.col("v").alias(m) for m in Q.MEASURES])
+    own = {r.g_source: r for r in Q.fences(Q.build_sketches(wide, ["g_lang", "g_source"], list(Q.MEASURES)), ["g_lang", "g_source"]).collect()}
+    both = spark.createDataFrame([(own["a"].rows, own["a"].limits, own["b"].limits)], "r1 long, l1 struct<%s>, l2 struct<%s>" % (
+        (", ".join(f"{m}: bigint" for m in Q.MEASURES),) * 2))
+    got = both.select(Q.drawn("r1", "l1", "l2").alias("x")).first().x
+    a, b = own["a"].limits["symbols"], own["b"].limits["symbols"]
+    assert got["symbols"] == min((n * a + Q.PRIOR * b) // (n + Q.PRIOR), Q.BOUND * b)
+
+
 def test_no_python_in_the_plan(spark):
     plan = Q.judge(docs(spark, [(1, "a b")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
