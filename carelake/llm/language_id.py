@@ -8,9 +8,10 @@ from its place there (``profile_size`` for one that is not in the profile), and
 the nearest profile names the language.
 
 Training reads whole texts of a bounded sample: about ``train_docs`` rows of
-each language, those with the smallest hash of their id and text, so the sample
-does not depend on partitioning. Profiles are at most ``profile_size`` rows for
-each language; over ``MAX_LANGUAGES`` languages are refused. Prediction
+each language, those with the smallest hash of their id and text among the
+distinct ones (a row repeated any number of times is one), so the sample does not
+depend on partitioning. Profiles are at most ``profile_size`` rows of three numbers
+for each language. Prediction
 reads every text whole, in the tasks that hold it; no row is shuffled.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter,
@@ -34,8 +35,7 @@ from carelake.llm.common import ROW, map_arrow, slices, unpack
 
 PROFILE_SIZE = 400
 TRAIN_DOCS = 1500
-MAX_LANGUAGES = 500
-MIN_SCORED = 10    # rows that a language's least score is taken from, at least
+PRIOR_SCORED = 10  # rows as many as the median of all languages counts for in one of them
 SCORE_SHARE = 0.5  # of the median score: on sf0.01 clean texts, single words too, reach 0.43, medians are 0.66 to 0.71
 UNKNOWN = "und"
 BITS = np.uint64(21)  # a code point
@@ -100,20 +100,12 @@ def train_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", id_:
 def _sample(docs: DataFrame, text: str, lang: str, id_: str, most: int) -> DataFrame:
     """(lang, text) of about ``most`` labelled rows of each language."""
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(id_).alias("id")) \
-        .where("lang is not null and text is not null")
-    sizes = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()) \
-        .groupBy(F.col(lang).alias("size_lang")).agg(F.count("*").alias("rows"))
-    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    return rows.join(F.broadcast(_few_languages(sizes)), F.col("lang") == F.col("size_lang")) \
-        .where(place * F.col("rows") < most).select("lang", "text")
-
-
-def _few_languages(sizes: DataFrame) -> DataFrame:
-    """The language table, refused above its bound."""
-    n = F.count("*").over(W.partitionBy(F.lit(1)))
-    checked = sizes.withColumn("languages", n)
-    return checked.where(F.when(F.col("languages") > MAX_LANGUAGES,
-                                F.raise_error(F.lit(f"over {MAX_LANGUAGES} languages")).cast("boolean")).otherwise(True))
+        .where("lang is not null and text is not null").withColumn("mark", F.xxhash64("id", "text"))
+    # Sizes by distinct marks (of id and text): texts are not shuffled.
+    sizes = rows.select(F.col("lang").alias("size_lang"), "mark").distinct().groupBy("size_lang").agg(F.count("*").alias("rows"))
+    place = F.pmod(F.col("mark"), F.lit(1 << 40)) / float(1 << 40)
+    drawn = rows.join(sizes, F.col("lang") == F.col("size_lang")).where(place * F.col("rows") < most)
+    return drawn.select("lang", "id", "text").distinct().select("lang", "text")
 
 
 class Profiles:
@@ -146,7 +138,7 @@ class Profiles:
 
 
 def collect_profiles(profiles: DataFrame, size: int = PROFILE_SIZE) -> Profiles:
-    """At most ``size * MAX_LANGUAGES`` rows, whatever the corpus."""
+    """At most ``size`` rows for each language, whatever the corpus."""
     return Profiles([(r.lang, r.gram, r.rank) for r in profiles.collect()], size)
 
 
@@ -177,17 +169,23 @@ def held_out(id_: str = "doc_id") -> Column:
 def least_scores(held: DataFrame, known: Profiles, text: str = "text", lang: str = "lang", id_: str = "doc_id") -> dict[str, float]:
     """For each language of a profile the score below which a text is in none:
     ``SCORE_SHARE`` of the median score of its labelled rows in ``held``, which
-    the profiles were not trained on (a bounded sample, like training). Languages
-    with under ``MIN_SCORED`` such rows have no entry."""
+    the profiles were not trained on (a bounded sample, like training), drawn to
+    the median over all languages as by ``PRIOR_SCORED`` rows: a language with few
+    or none is judged by the others. No entries if there are no such rows at all."""
     sample = _sample(held, text, lang, id_, TRAIN_DOCS).where(F.col("lang").isin(known.langs))
     scored = predict_language(sample, known, carry=["lang"]).where(F.col("lang_pred") != UNKNOWN)
-    medians = scored.groupBy("lang").agg(F.count("*").alias("n"), F.median("score").alias("mid")).where(F.col("n") >= MIN_SCORED)
-    return {r.lang: SCORE_SHARE * r.mid for r in medians.collect()}
+    medians = scored.groupBy("lang").agg(F.count("*").alias("n"), F.median("score").alias("mid"))
+    pooled = scored.agg(F.median("score")).first()[0]
+    if pooled is None:
+        return {}
+    own = {r.lang: (r.n, r.mid) for r in medians.collect()}
+    drawn = lambda n, mid: (n * mid + PRIOR_SCORED * pooled) / (n + PRIOR_SCORED)
+    return {lang: SCORE_SHARE * drawn(*own.get(lang, (0, 0.0))) for lang in known.langs}
 
 
 def filter_documents(docs: DataFrame, train_on: DataFrame | None = None, min_score: float = 0.05) -> DataFrame:
     """The rows whose text has a language: not ``und``, and a score of at least
-    that language's entry in ``least_scores`` (``min_score`` if it has none). If
+    that language's entry in ``least_scores`` (``min_score`` if there are none). If
     no row can be trained on, every row that has a letter."""
     train = docs if train_on is None else train_on
     known = collect_profiles(train_profiles(train.where(~held_out())))

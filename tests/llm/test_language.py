@@ -56,10 +56,30 @@ def test_odd_rows(spark):
     assert L.predict_language(docs(spark, []), known).count() == 0
 
 
-def test_too_many_languages_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(L, "MAX_LANGUAGES", 1)
-    with pytest.raises(Exception, match="languages"):
-        L.train_profiles(docs(spark, [(1, "a b", "x"), (2, "c d", "y")])).collect()
+def test_any_number_of_languages(spark):
+    """Over 500 languages, the old limit."""
+    rows = [(i, f"{chr(0x4e00 + i)}{chr(0x4e00 + i)} {chr(0x4e00 + i)}", f"l{i:03d}") for i in range(501)]
+    known = L.collect_profiles(L.train_profiles(docs(spark, rows)))
+    assert len(known.langs) == 501 and known.predict(rows[500][1])[0] == "l500"
+
+
+def test_repeats_count_once_in_the_sample(spark):
+    """A row that is a third of a language: it may be drawn, once; the others are drawn as without it."""
+    rows = [(i, f"text number {i}", "en") for i in range(2000)]
+    alone = {tuple(r) for r in L._sample(docs(spark, rows), "text", "lang", "doc_id", 300).collect()}
+    held = L._sample(docs(spark, rows + [rows[7]] * 1000), "text", "lang", "doc_id", 300).collect()
+    assert {tuple(r) for r in held} == alone and len(held) == len(alone) and 220 < len(held) < 380
+
+
+def test_few_scored_rows_lean_on_all_languages(spark):
+    """A language without held-out rows is judged by the median of the others, not by the constant."""
+    words = {"en": "the cat sat on the mat and ran ", "de": "die katze sass auf der matte und lief "}
+    train = [(i, words[lang] * 3, lang) for i, lang in enumerate(["en", "de"] * 20)]
+    known = L.collect_profiles(L.train_profiles(docs(spark, train)))
+    only_en = [(100 + i, words["en"] * 2, "en") for i in range(30)]
+    cuts = L.least_scores(docs(spark, only_en), known)
+    assert set(cuts) == {"en", "de"} and abs(cuts["de"] - cuts["en"]) < 1e-12 and cuts["de"] > 0.2
+    assert L.least_scores(docs(spark, []), known) == {}
 
 
 def test_plain_profile_agrees(spark):
