@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from carelake.llm.common import materialise, release_shuffles
 
-MAX_ROUNDS = 60
-
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
@@ -38,20 +36,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Rows (node, root) for every node of ``edges`` (a, b): root is the least
     node reachable. Ends when a round changes nothing: then each edge is a
-    node and its root."""
+    node and its root. Every round but the last lowers some end of an edge, so it
+    does end, on chains of any length."""
     spark = edges.sparkSession
     state = lambda df: tuple(df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")),
                                     F.sum(F.hash("b", "a", F.lit(1)).cast("long"))).first())
     edges = materialise(edges.select("a", "b").where("a <> b"), f"{name}-edges")
     seen = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         edges = materialise(_small_star(_large_star(edges)), f"{name}-edges")
         now = state(edges)
         release_shuffles(spark)
         if now == seen or not now[0]:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

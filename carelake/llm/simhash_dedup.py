@@ -169,6 +169,8 @@ def near_links(fps: DataFrame, count: int, max_bits: int = MAX_BITS) -> DataFram
     """Links (a, b) between distinct fingerprints (column ``fp``): enough that
     two of them are connected if and only if steps of at most ``max_bits`` join them."""
     ship_package(fps.sparkSession)
+    if max_bits % 2:
+        raise ValueError("max_bits must be even: variants are as far from both fingerprints")
     radius = max_bits // 2
     bits = prefix_bits(count, radius)
     masks = F.array(*[F.struct(F.lit(int(m)).cast("long").alias("m"), F.lit(k).cast("byte").alias("spent"))

@@ -115,3 +115,8 @@ def test_filter_keeps_one_of_each(spark):
 def test_empty(spark):
     assert S.near_duplicates(docs(spark, [])).count() == 0
     assert S.filter_documents(docs(spark, [])).count() == 0
+
+
+def test_odd_distances_are_refused(spark):
+    with pytest.raises(ValueError, match="even"):
+        S.near_links(spark.createDataFrame([(0,), (7,)], "fp long"), 2, 3)
