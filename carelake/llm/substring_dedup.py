@@ -136,26 +136,28 @@ def window_hashes(x: np.ndarray, window: int) -> np.ndarray:
         step *= 2
 
 
-def _cuts(sorted_names: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket of values begins, and the end."""
+def _cuts(sorted_names: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of values that hold something, ascending, and where each begins, with the end."""
     bucket = ((sorted_names >> U(32)) * U(buckets)) >> U(32)
-    return np.searchsorted(bucket, np.arange(buckets + 1, dtype=U))
+    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, np.int64)
+    return bucket[first].astype(np.int64), np.concatenate((first, [len(bucket)]))
 
 
 def _send(names: np.ndarray, check: np.ndarray | None, buckets: int) -> list[tuple[int, bytes, bytes]]:
-    cuts = _cuts(names, buckets).tolist()
+    held, cuts = _cuts(names, buckets)
     return [(b, names[i:j].tobytes(), b"" if check is None else check[i:j].tobytes())
-            for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+            for b, i, j in zip(held.tolist(), cuts.tolist(), cuts[1:].tolist())]
 
 
 def _received(names: np.ndarray, buckets: int, answers: pa.Table) -> np.ndarray:
     """For each sorted distinct name: was it found in another chunk?"""
     found = np.zeros(len(names), dtype=bool)
-    cuts = _cuts(names, buckets)
+    held, cuts = _cuts(names, buckets)
     for b, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist()):
         if bits is not None and b is not None and b >= 0:
-            size = int(cuts[b + 1] - cuts[b])
-            found[cuts[b]:cuts[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=size).astype(bool)
+            at = int(np.searchsorted(held, b))
+            size = int(cuts[at + 1] - cuts[at])
+            found[cuts[at]:cuts[at + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=size).astype(bool)
     return found
 
 
