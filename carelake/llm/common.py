@@ -18,6 +18,8 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -48,14 +50,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-_WRITTEN: list[str] = []
+# The list that gathers the scratch tables of the caller, if it wants them.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
-def take_written() -> list[str]:
-    """The scratch tables written since the last call."""
-    paths = _WRITTEN[:]
-    _WRITTEN.clear()
-    return paths
+@contextmanager
+def collect_written() -> Iterator[list[str]]:
+    """The scratch tables that are written inside, by this thread: runs in other
+    threads have lists of their own."""
+    paths: list[str] = []
+    token = _WRITTEN.set(paths)
+    try:
+        yield paths
+    finally:
+        _WRITTEN.reset(token)
 
 
 def drop_tables(spark: SparkSession, paths: list[str]) -> None:
@@ -70,7 +78,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    _WRITTEN.append(path)
+    if _WRITTEN.get() is not None:
+        _WRITTEN.get().append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,8 @@ import duckdb
 import pytest
 
 import corpus_pipeline as P
-from carelake.llm.oracle import oracle_sql
+from carelake.llm import common
+from carelake.llm.oracle import quality
 from tests.llm.helpers import docs
 from tests.llm.test_packing import check, library  # noqa: F401
 from tests.llm.test_simhash import plain_components, plain_fingerprint
@@ -61,7 +62,7 @@ def test_quality(spark, stages):
     before, after = stages[0]
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
-    kept = {r[0] for r in con.sql(f"SELECT doc_id FROM ({oracle_sql()['op10_quality_rules']}) WHERE kept").fetchall()}
+    kept = {r[0] for r in con.sql(f"SELECT doc_id FROM ({quality(P.LEAST_WORDS)}) WHERE kept").fetchall()}
     assert sorted(r.doc_id for r in after.collect()) == sorted(kept)
 
 
@@ -112,3 +113,23 @@ def test_run(spark, stages):
     got = P.run(spark, SF)
     assert got.columns == stages[4][1].columns
     assert Counter((r.doc_id, r.start, r.ids_crc32) for r in got.collect()) == Counter((r.doc_id, r.start, r.ids_crc32) for r in stages[4][1].collect())
+
+
+def test_two_runs_at_once(spark, stages):
+    """Runs in threads keep to their own scratch tables."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        runs = [f.result() for f in [pool.submit(lambda: Counter((r.doc_id, r.start, r.ids_crc32) for r in P.run(spark, SF).collect())) for _ in range(2)]]
+    assert runs[0] == runs[1] == Counter((r.doc_id, r.start, r.ids_crc32) for r in stages[4][1].collect())
+
+
+def test_clashing_columns_and_a_long_text(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60)), "en", "s", 9) for i in range(30)] + [
+        (99, " ".join(f"w{k % 30}x{k // 30}" for k in range(120_000)), "en", "s", 1)]
+    frame = docs(spark, rows).selectExpr("*", "1 as lang_pred", "2 as score", "'x' as fingerprint", "3 as kept", "4 as chunk", "'y' as _row", "5 as m")
+    at = frame
+    for _, f in P.STAGES[:-1]:
+        at = f(spark, at, SF).checkpoint()
+        assert at.columns == frame.columns
+    assert {r.doc_id for r in at.collect()} == {r[0] for r in rows}
