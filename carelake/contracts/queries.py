@@ -210,11 +210,11 @@ def q_kpi_yearly_cost(spark, sf):
 
 def q_row_counts(spark, sf):
     """Rows of every step of both runs, as the runs' own writes counted them."""
-    raw, codes, states = fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf), seeds.state_codes(spark)
-    models = build_models(spark, raw, codes, states, scratch_path(spark, "models"), strict=False)
-    landed = [spark.table(models.run.table(n)) for n in ("claims_raw", "icd_codes_raw")]
-    loaded = build_star_tables(spark, *landed, states, scratch_path(spark, "star"))
-    return models.row_counts.unionByName(loaded.row_counts)
+    inputs = fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf), seeds.state_codes(spark)
+    runs = sinks.run_concurrently({
+        "models": lambda: build_models(spark, *inputs, scratch_path(spark, "models"), strict=False),
+        "star": lambda: build_star_tables(spark, *inputs, scratch_path(spark, "star"))})
+    return runs["models"].row_counts.unionByName(runs["star"].row_counts)
 
 
 def q_top_state_paid(spark, sf):

@@ -62,8 +62,8 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
 
 def report_of(spark: SparkSession, failures: dict[tuple[str, str, str], int]) -> DataFrame:
     """The report from failing rows that were counted on the way, by (model, column, test)."""
-    rows = [(*test, n, "pass" if n == 0 else "fail") for test, n in failures.items()]
-    return spark.createDataFrame(rows, "model string, column_name string, test string, failures long, status string").coalesce(1)
+    rows = ", ".join(f"('{m}', '{c}', '{t}', {n}L, '{'fail' if n else 'pass'}')" for (m, c, t), n in failures.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(model, column_name, test, failures, status)")
 
 
 def failed_tests(report: DataFrame) -> list[tuple[str, str, str, int]]:

@@ -59,7 +59,8 @@ def row_counts(steps: dict[str, DataFrame]) -> DataFrame:
 
 def counted_rows(spark: SparkSession, steps: dict[str, int]) -> DataFrame:
     """A15 from counts that the writes of a run made themselves."""
-    return spark.createDataFrame(list(steps.items()), "step string, row_count long").coalesce(1)
+    rows = ", ".join(f"('{step}', {n}L)" for step, n in steps.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(step, row_count)")
 
 
 # ---------------------------------------------------------- questions

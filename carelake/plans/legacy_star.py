@@ -1,6 +1,6 @@
 """R2: the legacy star run -- extract, transform, quality gate, load.
 
-    read claims + code list -> landed as text (file order as one number)
+    read claims + code list -> landed, where their file order is to become one number
     -> cleaned, one row a claim (P8-P13, J3, W2) -> described (P14, P15, J4)
     -> dimensions (P16, W3-W5) and quality report + quarantine (Q1-Q8)
     -> the fact, and publication of the star (S9, S10), only when every check passed (Q9)
@@ -21,7 +21,7 @@ from carelake.operators import quality, questions, star
 from carelake.plans.medallion import land
 from carelake.schemas import STAR_TABLES
 from carelake.session import apply_conf
-from carelake.sources import claims_csv, icd_csv, publish, seeds, sinks
+from carelake.sources import claims_csv, icd_csv, ingest, publish, seeds, sinks
 
 
 @dataclass
@@ -41,22 +41,25 @@ def build_star_tables(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataF
     run = publish.start_run(spark, out_root)
     res = StarResult(run)
     read = lambda name: spark.table(run.table(name))
-    claims_raw, _ = land(spark, run, "claims_text", claims_raw.select(*star.used_columns(claims_raw)), claims_csv.INGEST_ORDER, {})
-    icd_raw, _ = land(spark, run, "codes_text", icd_raw, icd_csv.ICD_INGEST_ORDER, {})
+    claims_raw = claims_raw.select(*star.used_columns(claims_raw))
+    texts = {"claims_text": (claims_raw, claims_csv.INGEST_ORDER), "codes_text": (icd_raw, icd_csv.ICD_INGEST_ORDER)}
+    landed = sinks.run_concurrently({n: (lambda n=n, df=df, order=order: land(spark, run, n, df, order, {})[0])
+                                     for n, (df, order) in texts.items() if ingest.is_marked(df, order)})  # others have their number
+    claims_raw, icd_raw = landed.get("claims_text", claims_raw), landed.get("codes_text", icd_raw)
 
     # The cleaned claims are read by the code join and two dimensions; the write
     # finds the codes that many of them share, too.
     cleaned = publish.save(star.clean_claims(claims_raw, states), run, "claims_clean", {"codes": star.frequent_codes()})
     claims = read("claims_clean")
     described = star.join_descriptions(claims, icd_raw, star.hot_codes(cleaned["codes"], cleaned["rows"]))
-    counts = {"fact_claims": publish.save(star.fact_with_order(described), run, "claims_v1")["rows"]}
     dims = dict(zip(("dim_patient", "dim_provider", "dim_diagnosis"), star.split_dims(claims, icd_raw)))
-    counts |= sinks.run_concurrently({n: (lambda n=n, d=d: publish.save(sinks.required(d, n), run, n)["rows"]) for n, d in dims.items()})
+    counts = sinks.run_concurrently({"fact_claims": lambda: publish.save(star.fact_with_order(described), run, "claims_v1")["rows"]} | {
+        n: (lambda n=n, d=d: publish.save(sinks.required(d, n), run, n)["rows"]) for n, d in dims.items()})
 
     staged = read("claims_v1")
-    report = quality.run_quality_checks(staged, *(read(n) for n in dims), quarantine_root=f"{run.folder}/quarantine")
-    publish.save(report, run, "quality_report")
+    publish.save(quality.run_quality_checks(staged, *(read(n) for n in dims)), run, "quality_report")
     res.report = read("quality_report")
+    quality.quarantine(staged, f"{run.folder}/quarantine", res.report)
     res.tables = {n: run.path(n) for n in ("claims_v1", *dims, "quality_report", "row_counts")}
     if quality.all_passed(res.report):
         fact = staged.select(*STAR_TABLES["fact_claims"].fieldNames())

@@ -17,7 +17,6 @@ silver table rather than from the raw text.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from carelake.operators import dedup, marts, model_tests, questions, staging
 from carelake.session import apply_conf
 from carelake.sources import claims_csv, icd_csv, ingest, publish, seeds
+from carelake.sources.sinks import run_concurrently
 
 MARTS = ("mart_claims_summary", "mart_provider_performance", "mart_diagnosis_cost_analysis")
 VIEWS = ("stg_claims", "stg_icd_codes")
@@ -83,10 +83,13 @@ def build_models(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame,
 
     # Bronze, and on the way what staging will keep of it.
     stg_metrics = {"stg_claims": F.count_if(F.expr(staging.CLAIMS_COUNTED))} | _null_metrics("stg_claims", staging.CLAIMS_COUNTED)
-    claims, counts["claims_raw"] = land(spark, run, "claims_raw", claims_raw, claims_csv.INGEST_ORDER, stg_metrics)
-    codes, counts["icd_codes_raw"] = land(spark, run, "icd_codes_raw", icd_raw, icd_csv.ICD_INGEST_ORDER,
-                                          {"stg_icd_codes": F.count_if(F.expr(staging.CODES_KEPT))})
-    publish.save(states, run, "state_codes")
+    landed = run_concurrently({
+        "claims_raw": lambda: land(spark, run, "claims_raw", claims_raw, claims_csv.INGEST_ORDER, stg_metrics),
+        "icd_codes_raw": lambda: land(spark, run, "icd_codes_raw", icd_raw, icd_csv.ICD_INGEST_ORDER,
+                                      {"stg_icd_codes": F.count_if(F.expr(staging.CODES_KEPT))}),
+        "state_codes": lambda: (None, publish.save(states, run, "state_codes"))})
+    counts |= {name: counted for name, (_, counted) in landed.items()}
+    claims, codes = landed["claims_raw"][0], landed["icd_codes_raw"][0]
     spark.sql(f"CREATE VIEW {run.table('stg_claims')} AS {staging.claims_view(run.table('claims_raw'))}")
     spark.sql(f"CREATE VIEW {run.table('stg_icd_codes')} AS {staging.codes_view(run.table('icd_codes_raw'))}")
 
@@ -99,22 +102,20 @@ def build_models(spark: SparkSession, claims_raw: DataFrame, icd_raw: DataFrame,
         "mart_diagnosis_cost_analysis": lambda: publish.save(marts.diagnosis_cost_analysis(claims, icd), run, "mart_diagnosis_cost_analysis", _null_metrics("mart_diagnosis_cost_analysis")),
         "unique": lambda: {"rows": model_tests.repeated_values(claims, "claim_id").first()[0]},
     }
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:  # independent jobs share the cluster
-        futures = {name: pool.submit(job) for name, job in jobs.items()}
-        counts |= {name: f.result() for name, f in futures.items()}
+    counts |= run_concurrently(jobs)
 
     failures = {("stg_claims", c, "not_null"): counts["claims_raw"][f"null_{c}"] for c, _ in model_tests.MODEL_TESTS["stg_claims"]}
     failures |= {(m, c, t): counts["unique"]["rows"] if t == "unique" else counts[m][f"null_{c}"]
                  for m in (SILVER, *MARTS) for c, t in model_tests.MODEL_TESTS[m]}
     steps = {"claims_raw": counts["claims_raw"]["rows"], "stg_claims": counts["claims_raw"]["stg_claims"],
              "stg_icd_codes": counts["icd_codes_raw"]["stg_icd_codes"], **{m: counts[m]["rows"] for m in (SILVER, *MARTS)}}
-    publish.save(model_tests.report_of(spark, failures), run, "model_tests")
-    publish.save(questions.counted_rows(spark, steps), run, "row_counts")
+    run_concurrently({"model_tests": lambda: publish.save(model_tests.report_of(spark, failures), run, "model_tests"),
+                      "row_counts": lambda: publish.save(questions.counted_rows(spark, steps), run, "row_counts")})
 
     written = ["claims_raw", "icd_codes_raw", "state_codes", SILVER, *MARTS, "model_tests", "row_counts"]
     res.tables = {n: run.path(n) for n in written}
     res.test_report, res.row_counts = spark.table(run.table("model_tests")), spark.table(run.table("row_counts"))
-    res.failed_tests = model_tests.failed_tests(res.test_report)
+    res.failed_tests = [(*test, n) for test, n in failures.items() if n]
     if strict and res.failed_tests:
         raise ModelTestFailure(f"model tests failed: {res.failed_tests}")
     publish.publish(spark, run, written, database)

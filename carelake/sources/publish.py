@@ -98,8 +98,8 @@ def publish(spark: SparkSession, run: Run, names: list[str], database: str | Non
             declared: dict[str, T.StructType] | None = None) -> None:
     """Let readers see tables ``names`` of a finished run: in the log of its root and,
     with ``database``, as tables of it (declared with a schema where one is given)."""
-    rows = [(run.id, n, run.path(n)) for n in names]
-    log = spark.createDataFrame(rows, "run string, name string, path string").coalesce(1)
+    rows = ", ".join(f"('{run.id}', '{n}', {_text(run.path(n))})" for n in names)
+    log = spark.sql(f"SELECT * FROM VALUES {rows} AS t(run, name, path)").coalesce(1)
     log.select("run", F.current_timestamp().alias("at"), "name", "path").write.mode("append").parquet(f"{run.root.rstrip('/')}/published")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
