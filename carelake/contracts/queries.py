@@ -210,7 +210,8 @@ def q_kpi_yearly_cost(spark, sf):
 
 def q_row_counts(spark, sf):
     """Rows of every step of both runs, as the runs' own writes counted them."""
-    inputs = fixtures.claims_raw(spark, sf), fixtures.icd_codes_raw(spark, sf), seeds.state_codes(spark)
+    raw = spark.read.parquet(sinks.write_table(fixtures.claims_raw(spark, sf), scratch_path(spark, "raw")))  # stands for the file
+    inputs = raw, fixtures.icd_codes_raw(spark, sf), seeds.state_codes(spark)
     runs = sinks.run_concurrently({
         "models": lambda: build_models(spark, *inputs, scratch_path(spark, "models"), strict=False),
         "star": lambda: build_star_tables(spark, *inputs, scratch_path(spark, "star"))})

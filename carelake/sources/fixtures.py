@@ -35,9 +35,10 @@ def _paid_amount() -> Column:
 
 
 def _ingest_seq() -> Column:
-    """File order of the synthetic claims file (unique at every scale)."""
+    """File order of the synthetic claims file (unique at every scale; no floating
+    point in it, which Spark would normalise, and deal out anew, before a join)."""
     return F.struct("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey",
-                    "l_partkey", "l_extendedprice").alias(INGEST_ORDER)
+                    "l_partkey", F.col("l_extendedprice").cast("decimal(12,2)").alias("l_extendedprice")).alias(INGEST_ORDER)
 
 
 def _claims_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ class Run:
 
     @property
     def folder(self) -> str:
-        return f"{self.root.rstrip('/')}/runs/{self.id}"
+        return f"{self.root}/runs/{self.id}"
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -49,7 +49,7 @@ def _text(path: str) -> str:
 
 def start_run(spark: SparkSession, root: str) -> Run:
     """A new run below ``root``; ids of later runs sort after earlier ones."""
-    run = Run(f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}", root)
+    run = Run(f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}", root.rstrip("/"))
     spark.sql(f"CREATE DATABASE {run.schema} LOCATION {_text(run.folder)}")
     return run
 
@@ -100,9 +100,9 @@ def publish(spark: SparkSession, run: Run, names: list[str], database: str | Non
     with ``database``, as tables of it (declared with a schema where one is given)."""
     rows = ", ".join(f"('{run.id}', '{n}', {_text(run.path(n))})" for n in names)
     log = spark.sql(f"SELECT * FROM VALUES {rows} AS t(run, name, path)").coalesce(1)
-    log.select("run", F.current_timestamp().alias("at"), "name", "path").write.mode("append").parquet(f"{run.root.rstrip('/')}/published")
+    log.select("run", F.current_timestamp().alias("at"), "name", "path").write.mode("append").parquet(f"{run.root}/published")
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {_text(f'{run.root}/schemas/{database}')}")
         for name in names:
             _point(spark, name, run, database, (declared or {}).get(name))
 
