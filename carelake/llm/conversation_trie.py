@@ -90,7 +90,8 @@ def name_prefixes(turns: DataFrame, sizes: DataFrame, rounds: int, root: int) ->
         above = names.select("conv", F.col("depth").alias("lo"), F.col("name").alias("base"))
         prefixes = runs.where(F.col("j") == j).join(above, ["conv", "lo"])
         key = ["lo", "base", "x", "y"]
-        book = prefixes.groupBy(*key).agg(F.min("conv").alias("name"))
+        # Written, so that the join meets two plain shuffles: only of such does AQE split a hot partition.
+        book = materialise(prefixes.groupBy(*key).agg(F.min("conv").alias("name")), "trie-book")
         cut = prefixes.join(book, key).select("conv", (F.col("lo") + (1 << j)).alias("depth"), "name", "base")
         names = names.union(materialise(cut, "trie-names"))
     return names
