@@ -215,6 +215,8 @@ def training_rows(measured: DataFrame, labels: DataFrame, id_: str = "doc_id", l
     """(``_label``, measures) of about ``TRAIN_DOCS`` distinct labelled rows that are not held out."""
     known = labels.where(F.col(id_).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(id_).alias("_id")).agg(
         F.min(label).alias("_label"), F.max(label).alias("_most")).where("_label = _most").drop("_most")
+    # Written, so that the join meets two plain shuffles: of such AQE can split an id with very many rows.
+    known = materialise(known, "quality-labels")
     rows = materialise(measured.where(~held_out(id_)).join(known, F.col(id_) == F.col("_id")).select("_id", "_label", *MEASURES).distinct(),
                        "quality-labelled")
     share = TRAIN_DOCS / max(TRAIN_DOCS, rows.count())
@@ -222,9 +224,11 @@ def training_rows(measured: DataFrame, labels: DataFrame, id_: str = "doc_id", l
 
 
 def train(measured: DataFrame, labels: DataFrame, id_: str = "doc_id", label: str = "quality") -> Model:
-    sample = training_rows(measured, labels, id_, label).orderBy("_label", *MEASURES).toArrow()
+    sample = training_rows(measured, labels, id_, label).toArrow()
     y = sample.column("_label").to_numpy().astype(np.float64)
-    return fit(np.stack([sample.column(m).to_numpy() for m in MEASURES], axis=1), y)
+    x = np.stack([sample.column(m).to_numpy() for m in MEASURES], axis=1)
+    order = np.lexsort((*x.T[::-1], y))  # sums do not depend on partitions
+    return fit(x[order], y[order])
 
 
 def score_documents(measured: DataFrame, model: Model) -> DataFrame:
