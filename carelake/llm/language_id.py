@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from carelake.llm.common import ROW, map_arrow, slices, unpack
+from carelake.llm.common import ROW, map_arrow, materialise, slices, unpack
 
 PROFILE_SIZE = 400
 TRAIN_DOCS = 1500
@@ -103,6 +103,8 @@ def _sample(docs: DataFrame, text: str, lang: str, id_: str, most: int) -> DataF
         .where("lang is not null and text is not null").withColumn("mark", F.xxhash64("id", "text"))
     # Sizes by distinct marks (of id and text): texts are not shuffled.
     sizes = rows.select(F.col("lang").alias("size_lang"), "mark").distinct().groupBy("size_lang").agg(F.count("*").alias("rows"))
+    # Written, its size is known to the planner: a few languages are broadcast and the texts stay where they are.
+    sizes = materialise(sizes, "language-sizes")
     place = F.pmod(F.col("mark"), F.lit(1 << 40)) / float(1 << 40)
     drawn = rows.join(sizes, F.col("lang") == F.col("size_lang")).where(place * F.col("rows") < most)
     return drawn.select("lang", "id", "text").distinct().select("lang", "text")
