@@ -124,12 +124,6 @@ def clean_claims(claims_raw: DataFrame, states: DataFrame) -> DataFrame:
     return keep_first(df, ["claim_id"], [c for c in (INGEST_ORDER,) if c in df.columns])
 
 
-def transform_claims(claims_raw: DataFrame, icd_raw: DataFrame, states: DataFrame) -> DataFrame:
-    """Steps 1-6: the cleaned, de-duplicated, described claim rows (still
-    carrying the file-order keys used to split them)."""
-    return join_descriptions(clean_claims(claims_raw, states), icd_raw)
-
-
 def split_dims(claims: DataFrame, icd_raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three dims from the claims before the code join, whose copies
     of a row change none of them (first row per key in file order). A code's

@@ -38,8 +38,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 
 def run_concurrently(actions: dict[str, Callable], max_parallel: int = 4) -> dict:
-    """Run independent write actions as concurrent Spark jobs (one driver
-    thread each), so small jobs share the cluster instead of queueing."""
+    """Run independent actions as concurrent Spark jobs (one driver thread each), so
+    small jobs share the cluster instead of queueing; name -> result."""
     if len(actions) <= 1:
         return {name: act() for name, act in actions.items()}
     with ThreadPoolExecutor(max_workers=min(max_parallel, len(actions))) as pool:
@@ -47,14 +47,6 @@ def run_concurrently(actions: dict[str, Callable], max_parallel: int = 4) -> dic
         return {name: f.result() for name, f in futures.items()}
 
 
-def write_tables(jobs: dict[str, tuple[DataFrame, str]], max_parallel: int = 4,
-                 database: str | None = None) -> dict[str, str]:
-    """Write independent tables concurrently: name -> (DataFrame, path); with
-    ``database`` also as catalog tables of it."""
-    return run_concurrently({name: (lambda d=df, p=path, n=name: write_table(d, p, table=f"{database}.{n}" if database else None))
-                             for name, (df, path) in jobs.items()}, max_parallel)
-
-
 def write_claims_csv(df: DataFrame, path: str) -> str:
     """The raw claims layout: '|'-separated text with a header line."""
     df.write.mode("overwrite").option("header", True).option("sep", "|").options(**QUOTING, **KEEP_BLANKS).csv(path)
