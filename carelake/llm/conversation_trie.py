@@ -13,7 +13,7 @@ trie:
 * *Naming.* At depth ``lo + 2 ** j`` a prefix is the name at ``lo`` and the run between;
   those that are equal get the least conversation in their group as their name.
   Groups are summed up before the shuffle; names return to the conversations
-  by a join that AQE splits where a group is hot.
+  by a join, one name to a row, whose rows stream through a task.
 * *Totals.* Upwards every piece adds the totals of its lower forests to the roots
   they hang on; downwards from the root the whole totals below a cut are
   grafted on the nodes half a piece above it. Each is one sum a height.
@@ -90,8 +90,7 @@ def name_prefixes(turns: DataFrame, sizes: DataFrame, rounds: int, root: int) ->
         above = names.select("conv", F.col("depth").alias("lo"), F.col("name").alias("base"))
         prefixes = runs.where(F.col("j") == j).join(above, ["conv", "lo"])
         key = ["lo", "base", "x", "y"]
-        # Written, so that the join meets two plain shuffles: only of such does AQE split a hot partition.
-        book = materialise(prefixes.groupBy(*key).agg(F.min("conv").alias("name")), "trie-book")
+        book = prefixes.groupBy(*key).agg(F.min("conv").alias("name"))
         cut = prefixes.join(book, key).select("conv", (F.col("lo") + (1 << j)).alias("depth"), "name", "base")
         names = names.union(materialise(cut, "trie-names"))
     return names
