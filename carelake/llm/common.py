@@ -116,9 +116,15 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+# Spark's own limit, 64 MB, is held several times by each task, in the JVM and in its Python worker.
+BATCH_BYTES = 4 << 20
+
+
 def map_arrow(df: DataFrame, body, schema) -> DataFrame:
-    """``mapInArrow`` with a body from this package."""
+    """``mapInArrow`` with a body from this package, in batches of about ``BATCH_BYTES``
+    (a setting of the session, as the frame may be run at any later time)."""
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(body, schema)
 
 
