@@ -7,12 +7,13 @@ distance to a profile adds up, over the text's ranked n-grams, how far each is
 from its place there (``profile_size`` for one that is not in the profile), and
 the nearest profile names the language.
 
-Training reads whole texts of a bounded sample: about ``train_docs`` rows of
-each language, those with the smallest hash of their id and text among the
-distinct ones (a row repeated any number of times is one), so the sample does not
-depend on partitioning. Profiles are at most ``profile_size`` rows of three numbers
-for each language. Prediction
-reads every text whole, in the tasks that hold it; no row is shuffled.
+Training reads the whole texts of all labelled rows, in the tasks that hold them; a
+row repeated any number of times is one (``_distinct_rows``: only repeats are
+shuffled), so profiles and least scores do not depend on partitioning. What is
+shuffled otherwise is counts of n-grams. Profiles are at most ``profile_size`` rows of
+three numbers for each language. Prediction reads every text whole, in the tasks that
+hold it; no row is shuffled. A caller that wants a bounded training run can give
+``train_docs``; no query does.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter,
 or if there is no profile (an empty training table); equal distances go to the
@@ -34,9 +35,10 @@ from pyspark.sql import Window as W
 from carelake.llm.common import ROW, map_arrow, materialise, slices, unpack
 
 PROFILE_SIZE = 400
-TRAIN_DOCS = 1500
+HELD_GRAMS = 500_000  # of n-grams that a training task counts before it hands them on
 PRIOR_SCORED = 10  # rows as many as the median of all languages counts for in one of them
 SCORE_SHARE = 0.5  # of the median score: on sf0.01 clean texts, single words too, reach 0.43, medians are 0.66 to 0.71
+SCORE_DIGITS = 4  # of the scores that medians are taken of
 UNKNOWN = "und"
 BITS = np.uint64(21)  # a code point
 BLANK = np.uint64(32)
@@ -74,33 +76,68 @@ def ranked(grams: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     return grams[np.argsort(-counts, kind="stable")[:size]]
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of n-grams, added up."""
+    grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return grams, np.bincount(at, weights=np.concatenate([c for _, c in parts]), minlength=len(grams)).astype(np.int64)
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by language of a task's texts, handed on whenever ``HELD_GRAMS`` are held."""
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        for lang, (grams, n) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(n)],
+                                             names=["lang", "gram", "n"])
+        held.clear()
+
     for batch in slices(batches):
         by_lang: dict[str, list] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             by_lang.setdefault(lang, []).append(ngram_counts(text))
         for lang, parts in by_lang.items():
-            grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([c for _, c in parts]), minlength=len(grams))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))],
-                names=["lang", "gram", "n"])
+            held[lang] = _merged([*([held[lang]] if lang in held else []), *parts])
+        if sum(len(grams) for grams, _ in held.values()) > HELD_GRAMS:
+            yield from handed_on()
+    yield from handed_on()
 
 
 def train_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", id_: str = "doc_id",
-                   train_docs: int = TRAIN_DOCS, profile_size: int = PROFILE_SIZE) -> DataFrame:
-    """Rows (lang, gram, rank), rank from 0."""
-    sample = _sample(docs, text, lang, id_, train_docs)
-    counts = map_arrow(sample, _count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+                   train_docs: int | None = None, profile_size: int = PROFILE_SIZE) -> DataFrame:
+    """Rows (lang, gram, rank), rank from 0, of all labelled rows (or of about
+    ``train_docs`` of each language)."""
+    rows = _distinct_rows(docs, text, lang, id_) if train_docs is None else _sample(docs, text, lang, id_, train_docs)
+    counts = map_arrow(rows, _count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < profile_size) \
-        .select("lang", "gram", "rank")
+    # A limit on the row number itself is one that Spark applies before it shuffles by language, too.
+    return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= profile_size) \
+        .select("lang", "gram", (F.col("place") - 1).alias("rank"))
+
+
+def _labelled(docs: DataFrame, text: str, lang: str, id_: str) -> DataFrame:
+    """(lang, text, id, mark) of the rows that have a language and a text."""
+    return docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(id_).alias("id")) \
+        .where("lang is not null and text is not null").withColumn("mark", F.xxhash64("id", "text"))
+
+
+def _distinct_rows(docs: DataFrame, text: str, lang: str, id_: str) -> DataFrame:
+    """(lang, text) of the distinct labelled rows (language, id and text).
+
+    Marks (of id and text) that come more than once are few where ids are keys. They
+    are written, so the planner knows their size; the texts of all other rows stay where
+    they are, and only rows with such a mark are shuffled to be compared."""
+    rows = _labelled(docs, text, lang, id_)
+    often = rows.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("mark").alias("often_mark"))
+    often = materialise(often, "language-repeats")
+    once = rows.join(often, F.col("mark") == F.col("often_mark"), "left_anti").select("lang", "text")
+    again = rows.join(often, F.col("mark") == F.col("often_mark"), "left_semi")
+    return once.unionAll(again.select("lang", "id", "text").distinct().select("lang", "text"))
 
 
 def _sample(docs: DataFrame, text: str, lang: str, id_: str, most: int) -> DataFrame:
     """(lang, text) of about ``most`` labelled rows of each language."""
-    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(id_).alias("id")) \
-        .where("lang is not null and text is not null").withColumn("mark", F.xxhash64("id", "text"))
+    rows = _labelled(docs, text, lang, id_)
     # Sizes by distinct marks (of id and text): texts are not shuffled.
     sizes = rows.select(F.col("lang").alias("size_lang"), "mark").distinct().groupBy("size_lang").agg(F.count("*").alias("rows"))
     # Written, its size is known to the planner: a few languages are broadcast and the texts stay where they are.
@@ -171,13 +208,15 @@ def held_out(id_: str = "doc_id") -> Column:
 def least_scores(held: DataFrame, known: Profiles, text: str = "text", lang: str = "lang", id_: str = "doc_id") -> dict[str, float]:
     """For each language of a profile the score below which a text is in none:
     ``SCORE_SHARE`` of the median score of its labelled rows in ``held``, which
-    the profiles were not trained on (a bounded sample, like training), drawn to
+    the profiles were not trained on (all of them, repeats once, like training), drawn to
     the median over all languages as by ``PRIOR_SCORED`` rows: a language with few
     or none is judged by the others. No entries if there are no such rows at all."""
-    sample = _sample(held, text, lang, id_, TRAIN_DOCS).where(F.col("lang").isin(known.langs))
-    scored = predict_language(sample, known, carry=["lang"]).where(F.col("lang_pred") != UNKNOWN)
-    medians = scored.groupBy("lang").agg(F.count("*").alias("n"), F.median("score").alias("mid"))
-    pooled = scored.agg(F.median("score")).first()[0]
+    rows = _distinct_rows(held, text, lang, id_).where(F.col("lang").isin(known.langs))
+    scored = predict_language(rows, known, carry=["lang"]).where(F.col("lang_pred") != UNKNOWN)
+    # Counted by score in steps of 10**-SCORE_DIGITS: a bounded table, whatever the number of rows.
+    counts = materialise(scored.groupBy("lang", F.round("score", SCORE_DIGITS).alias("score")).agg(F.count("*").alias("k")), "language-scores")
+    medians = counts.groupBy("lang").agg(F.sum("k").alias("n"), F.percentile("score", 0.5, F.col("k")).alias("mid"))
+    pooled = counts.agg(F.percentile("score", 0.5, F.col("k"))).first()[0]
     if pooled is None:
         return {}
     own = {r.lang: (r.n, r.mid) for r in medians.collect()}
