@@ -226,6 +226,20 @@ def test_quarantine_scans_the_fact_once(spark, tmp_path):
     assert quality.read_quarantine(spark, {"null_diagnosis_code": paths["null_diagnosis_code"]}, fact.select(*columns).schema).count() == 3
 
 
+def test_quarantine_shuffles_no_column_twice_and_needs_no_report(spark, tmp_path, monkeypatch):
+    rows = [("A", "p", "v", "d", 1.0, 1.0, "2020-01-01", "x", "1", 0), ("A", "p", "v", None, 1.0, 1.0, "2020-01-01", "x", "1", 1)]
+    fact = spark.createDataFrame(rows, "claim_id string, patient_id string, provider_id string, diagnosis_code string, claim_amount double, "
+                                       "total_charges double, claim_from_date string, claim_thru_date string, drg_code string, _ingest_seq long")
+    with forced_shuffle(spark):
+        plan = plan_of(quality.failed_checks(fact))
+    assert plan.count("REPARTITION_BY_COL") == 2 and all("__claim" not in below.split("Exchange")[0] for below in plan.split("REPARTITION_BY_COL")[1:])
+    monkeypatch.setattr(quality, "quality_report", None)  # no pass over the fact to find out which checks have rows
+    paths = quality.quarantine(fact, str(tmp_path / "q"))
+    assert set(paths) == {"duplicate_claim_id", "null_diagnosis_code"}
+    assert sorted(p.name for p in (tmp_path / "q").iterdir() if not p.name.startswith(".")) == ["failed_duplicate_claim_id", "failed_null_diagnosis_code"]
+    assert quality.quarantine(fact.limit(1), str(tmp_path / "q2")) == {}
+
+
 def test_duplicates_without_an_order(spark):
     rows = [("A", None), ("A", None), ("B", 4), ("B", None), ("B", 1), (None, 2), (None, 3)]
     fact = spark.createDataFrame([(c, "p", "v", "d", 1.0, 1.0, "2020-01-01", "x", "1", s) for c, s in rows],
