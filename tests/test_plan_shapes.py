@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from carelake.operators import dedup, marts, questions, sql_audit, staging
-from carelake.sources import seeds
+from carelake.sources import fixtures, seeds
 from tests.test_skew import skewed_raw
 
 
@@ -59,3 +59,21 @@ def test_audit_is_narrow(spark, tmp_path):
         .write.parquet(str(tmp_path / "log"))
     plan = plan_of(sql_audit.audit_sql(spark.read.parquet(str(tmp_path / "log"))))
     assert not exchanges(plan)
+
+
+def test_the_claims_file_is_dealt_out_before_its_text_is_made(spark, tmp_path):
+    """The range shuffle of the claims file carries the numbers of a row, not the wide text;
+    the file's rows and their order are those of the relation in file order."""
+    day = F.lit("2020-01-01").cast("timestamp")
+    i = F.col("id")
+    spark.range(400).select((i * 7 % 90).alias("l_orderkey"), (i % 40).alias("l_partkey"), (i % 5).alias("l_suppkey"), (i % 7).cast("int").alias("l_linenumber"),
+                            (i % 50).cast("double").alias("l_quantity"), (i / 4).alias("l_extendedprice"), F.lit(0.05).alias("l_discount"),
+                            F.lit(0.02).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), day.alias("l_shipdate")) \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(90).select(i.alias("o_orderkey"), (i % 9).alias("o_custkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(5).select(i.alias("s_suppkey"), i.alias("s_nationkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+    wide = fixtures.claims_file_wide(spark, str(tmp_path))
+    plan = plan_of(wide).split("Exchange rangepartitioning")
+    assert len(plan) == 2 and "AS CLM_ID" in plan[0] and "AS CLM_ID" not in plan[1]
+    want = fixtures.claims_raw_wide(spark, str(tmp_path), ingest_order=True).orderBy("_ingest_seq").drop("_ingest_seq")
+    assert [tuple(r) for r in wide.collect()] == [tuple(r) for r in want.collect()]
