@@ -77,3 +77,20 @@ def test_the_claims_file_is_dealt_out_before_its_text_is_made(spark, tmp_path):
     assert len(plan) == 2 and "AS CLM_ID" in plan[0] and "AS CLM_ID" not in plan[1]
     want = fixtures.claims_raw_wide(spark, str(tmp_path), ingest_order=True).orderBy("_ingest_seq").drop("_ingest_seq")
     assert [tuple(r) for r in wide.collect()] == [tuple(r) for r in want.collect()]
+
+
+def test_the_claims_file_is_dealt_out_once(spark, tmp_path):
+    """Lines and orders are dealt out by ranges of the order key, and by nothing else; repeated
+    and NULL keys on either side give the rows of the join."""
+    lines = [(1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 1, 0), (3, 1, 1), (None, 1, 1), (4, 1, 9), (5, 1, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long").selectExpr(
+        "l_orderkey", "7L l_partkey", "l_suppkey", "l_linenumber", "10D l_quantity", "2.5D l_extendedprice", "0.05D l_discount", "0.02D l_tax",
+        "'N' l_returnflag", "'O' l_linestatus", "timestamp'2020-01-01' l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 11), (1, 12), (1, None), (2, 13), (2, 13), (None, 14), (4, 15), (5, 16), (6, 17)],
+                          "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(0, 1), (0, 2), (1, 3), (None, 4)], "s_suppkey long, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    wide = fixtures.claims_file_wide(spark, str(tmp_path))
+    assert len(exchanges(plan_of(wide))) == 1
+    got, want = wide.collect(), fixtures.claims_raw_wide(spark, str(tmp_path)).collect()
+    assert len(got) == 13 and sorted(map(str, got)) == sorted(map(str, want))
+    assert [r.CLM_ID for r in got] == ["1"] * 9 + ["2"] * 4

@@ -1,13 +1,14 @@
 """Runs and publication (S7-S10, S14), counts on writes (A15, D1-D6), bucketed
 silver (D2, A12, W1), dense file order (W2-W5), ranks (T1)."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from carelake.operators import marts, model_tests, questions, quality, ranking, sql_audit, star
-from carelake.plans.legacy_star import build_star_tables
+from carelake.plans.legacy_star import build_star_tables, run_star
 from carelake.plans.medallion import MARTS, SILVER, build_models
 from carelake.schemas import RAW_CLAIM_COLUMNS, STAR_TABLES
 from carelake.sources import fixtures, ingest, publish, seeds, sinks
@@ -293,3 +294,28 @@ def test_ranks_are_global_and_gapless(spark):
     assert got == list(range(1, 5001))
     assert "SinglePartition" not in plan_of(marts.ranked_by_cost(df).select("rank").where("rank < 10")) .split("Window")[0]
     assert ranking.global_rank(df.limit(0), [F.col("total_cost")]).count() == 0
+
+
+# ----------------------------------------------------------------- claims cleaned as they are read
+
+def test_numbers_of_left_rows_keep_the_file_order(spark):
+    """Of each split only some rows are left: their numbers differ and sort in file order."""
+    rows = [("b", 0, 7), ("b", 0, 9), ("a", 50, 2), ("a", 50, 40), ("a", 0, 1 << 33), ("a", 0, (1 << 33) + 30), ("a", 0, (1 << 33) + 90)]
+    left = spark.createDataFrame(rows, "file string, offset long, row long").select(F.struct("file", "offset", "row").alias("_seq"))
+    got = ingest.dense_order(left.withColumn("mark", F.col("_seq")), "_seq", ingest.split_starts(left, "_seq")).collect()
+    assert len({r._seq for r in got}) == len(rows)
+    assert [tuple(r.mark) for r in sorted(got, key=lambda r: r._seq)] == sorted(rows)
+
+
+def test_the_star_run_lands_cleaned_claims_only(spark, sf_small, tmp_path):
+    """The text is cleaned as it is read, so no copy of all its rows is written; the
+    first row of a claim is that of the file, by the row's number."""
+    from carelake.contracts import queries as Q
+    claims = Q._write_claims_csv(spark, sf_small)
+    assert [f for f in os.listdir(claims.removeprefix("file:")) if f.endswith(".csv.lz4")]
+    res = run_star(spark, claims, Q._write_icd_csv(spark, sf_small), str(tmp_path / "s"))
+    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {res.run.schema}").collect()}
+    assert "claims_clean" in names and "claims_text" not in names
+    fact = spark.read.parquet(res.tables["claims_v1"])
+    order = fact.selectExpr("_ingest_seq._ingest_seq n", "cast(claim_id as long) id").distinct().orderBy("n").collect()
+    assert len(order) > 1000 and [r.id for r in order] == sorted(r.id for r in order)
