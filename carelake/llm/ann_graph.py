@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from carelake.llm.common import map_arrow, materialise, release_shuffles, ship_package
+from carelake.llm.common import map_arrow, materialise, parts_for, release_shuffles, ship_package
 
 K = 28
 BLOCK = 128
@@ -55,6 +55,9 @@ BEAM = 128
 SIZED_FOR = 10_000  # nodes that K is for
 MORE = 3            # neighbours more for each doubling beyond
 
+# Rows of a written file, about: a step writes little, and there are many steps.
+LINKS_EACH, VECTORS_EACH, QUERIES_EACH = 50_000, 4_000, 64
+
 EDGES = "u long, v long, sim double"
 
 
@@ -208,16 +211,17 @@ def build_graph(vectors: DataFrame, count: int, k: int = K) -> DataFrame:
         links = _sorted_pass(vectors, bits, 1000 + p, k)
         first = links if first is None else first.union(links)
     edges = first.groupBy("u", "v").agg(F.max("sim").alias("sim"))
-    graph = materialise(_keep_best(edges, k).withColumns({"fresh": F.lit(True), "waiting": F.lit(True)}), "ann-graph")
+    parts = parts_for(spark, count * k, LINKS_EACH)
+    graph = materialise(_keep_best(edges, k).withColumns({"fresh": F.lit(True), "waiting": F.lit(True)}), "ann-graph", parts)
     for step in itertools.count():  # lists only get better, so changes end
-        drawn = materialise(_drawn(graph, k, step), "ann-drawn")
+        drawn = materialise(_drawn(graph, k, step), "ann-drawn", parts)
         near = graph.select("u", "v", "fresh").union(drawn).groupBy("u", "v").agg(F.max("fresh").alias("fresh"))
         worst = graph.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(F.lit(-2.0)).alias("worst"))
         carried = vectors.join(worst, F.col("node") == F.col("u"), "left").select(
             F.col("node").alias("v"), "vec", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
         gathered = near.join(carried, "v").select("u", "v", "fresh", "worst", "vec")
         offers = map_arrow(gathered.repartition("u").sortWithinPartitions("u", "v"), _local_join(k), EDGES)
-        graph = materialise(_after_round(graph, drawn, offers, k), "ann-graph")
+        graph = materialise(_after_round(graph, drawn, offers, k), "ann-graph", parts)
         changed = graph.where("fresh").count()
         release_shuffles(spark)
         if changed <= STOP_SHARE * count * k:
@@ -256,11 +260,12 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = K,
     spark = vectors.sparkSession
     expand = beam // 4  # nodes a query expands in one step
     ship_package(spark)
-    back = materialise(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim").join(graph.select("u", "v"), ["u", "v"], "left_anti"), "ann-back")
+    parts, few = parts_for(spark, graph.count(), LINKS_EACH), parts_for(spark, queries.count(), QUERIES_EACH)
+    back = materialise(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim").join(graph.select("u", "v"), ["u", "v"], "left_anti"), "ann-back", parts)
     drawn = W.partitionBy("u").orderBy(F.desc("sim"), "v")
     # Out-links all, in-links as many again, the nearest.
     extra = back.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= k).drop("n", "sim")
-    links = materialise(graph.select("u", "v").union(extra), "ann-links")
+    links = materialise(graph.select("u", "v").union(extra), "ann-links", 2 * parts)
     sample = vectors.orderBy(F.xxhash64("node"), "node").limit(SEEDS).collect() if queries.where("own is null").limit(1).count() else []
     seed_ids = np.array([r.node for r in sample], dtype=np.int64)
     seeds = [np.array(r.vec, dtype=np.float64) for r in sample]
@@ -286,7 +291,7 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = K,
         return _state_table(rows)
 
     done = None
-    state = materialise(map_arrow(queries.select("q", "own", "vec"), begin, STATE), "ann-states")
+    state = materialise(map_arrow(queries.select("q", "own", "vec"), begin, STATE), "ann-states", few)
     asked = queries.select("q", "vec")
     while True:
         going = state.where(F.exists("open", lambda o: o))
@@ -297,26 +302,28 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = K,
         first = F.slice(F.filter("nodes", lambda n, i: F.get("open", i)), 1, expand)
         asks = going.select(F.col("q").alias("asker"), F.explode(first).alias("u"))
         offers = asks.join(links, "u").select("asker", "v").distinct().join(vectors.withColumnRenamed("node", "v"), "v").select("asker", "v", "vec")
-        state = materialise(going.join(asked, "q").groupBy("q").cogroup(offers.groupBy("asker")).applyInArrow(look, STATE), "ann-states")
+        state = materialise(going.join(asked, "q").groupBy("q").cogroup(offers.groupBy("asker")).applyInArrow(look, STATE), "ann-states", few)
         release_shuffles(spark)
 
 
 def nearest(table: DataFrame, wanted: int = 5, id_: str = "vec_id", vector: str = "embedding", query: Column | None = None) -> DataFrame:
     """For every row that is a query: (query_id, rank, vec_id, score), the
     ``wanted`` nearest found among all other rows."""
+    spark = table.sparkSession
     rows = materialise(valid_vectors(table, id_, vector), "ann-rows")
+    parts = parts_for(spark, rows.count(), VECTORS_EACH)
     # Of equal vectors the least ids are all that any answer can name.
     least = W.partitionBy("vec").orderBy("id")
     members = materialise(rows.distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= wanted + 1)
-                          .withColumn("node", F.min("id").over(W.partitionBy("vec"))), "ann-members")
-    vectors = materialise(members.where("n = 1").select("node", "vec"), "ann-vectors")
+                          .withColumn("node", F.min("id").over(W.partitionBy("vec"))), "ann-members", parts)
+    vectors = materialise(members.where("n = 1").select("node", "vec"), "ann-vectors", parts)
     count = vectors.count()
     k = degree(count)
     graph = build_graph(vectors, count, k)
     is_query = F.col("id") % 50 == 0 if query is None else query
     asked = materialise(rows.where(is_query).distinct().join(vectors.select("node", F.col("vec").alias("same")), F.col("vec") == F.col("same")).select(
-        F.col("id").alias("query_id"), F.col("node").alias("q")), "ann-queries")
-    walkers = materialise(asked.select("q").distinct().join(vectors, F.col("q") == F.col("node")).select("q", "vec", F.col("node").alias("own")), "ann-walkers")
+        F.col("id").alias("query_id"), F.col("node").alias("q")), "ann-queries", parts)
+    walkers = materialise(asked.select("q").distinct().join(vectors, F.col("q") == F.col("node")).select("q", "vec", F.col("node").alias("own")), "ann-walkers", parts)
     found = search(walkers, vectors, graph, k)
     near = found.select("q", F.explode(F.slice(F.arrays_zip("nodes", "sims"), 1, wanted + 1)).alias("x")).select("q", "x.nodes", "x.sims")
     named = near.join(members.select("node", F.col("id").alias("vec_id")), F.col("nodes") == F.col("node"))
@@ -325,5 +332,6 @@ def nearest(table: DataFrame, wanted: int = 5, id_: str = "vec_id", vector: str
     lists = named.withColumn("n", F.row_number().over(order)).where(F.col("n") <= wanted + 1).groupBy("q").agg(
         F.sort_array(F.collect_list(F.struct("n", "vec_id", "sims"))).alias("best"))
     others = F.filter("best", lambda x: x["vec_id"] != F.col("query_id"))
-    return asked.join(lists, "q").select("query_id", F.posexplode(F.slice(others, 1, wanted)).alias("rank", "x")).select(
+    answers = asked.join(lists, "q").select("query_id", F.posexplode(F.slice(others, 1, wanted)).alias("rank", "x")).select(
         "query_id", (F.col("rank") + 1).alias("rank"), "x.vec_id", F.col("x.sims").alias("score"))
+    return answers.coalesce(parts)

@@ -74,9 +74,18 @@ def drop_tables(spark: SparkSession, paths: list[str]) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared scratch folder and read it back."""
+def parts_for(spark: SparkSession, rows: int, each: int) -> int:
+    """Partitions of about ``each`` rows, and one a core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
+def materialise(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared scratch folder and read it back. With
+    ``parts``, in so many files at most: every task that writes creates folders and a
+    file, and on a local file system starts processes for their permissions, so
+    small tables that are written often must not have a file for each shuffle partition."""
     spark = df.sparkSession
+    df = df.coalesce(parts) if parts else df
     path = scratch_path(spark, name)
     if _WRITTEN.get() is not None:
         _WRITTEN.get().append(path)

@@ -1,8 +1,11 @@
 """Neighbour search against brute force: recall, scores, ties and odd vectors."""
 
+from pathlib import Path
+
 import numpy as np
 
 from carelake.llm import ann_graph as A
+from carelake.llm.common import collect_written, parts_for
 from carelake.llm.queries import queries
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -115,3 +118,27 @@ def test_queries_outside_the_index(spark):
 def test_the_degree_grows_with_the_logarithm():
     assert A.degree(0) == A.degree(10_000) == 28
     assert [A.degree(n) for n in (20_000, 40_000, 10_240_000)] == [31, 34, 58]
+
+
+def test_files_follow_the_rows_not_the_shuffle(spark):
+    """Many shuffle partitions that are not coalesced: every table written has few files, the answers are whole."""
+    rng = np.random.default_rng(3)
+    rows = [(i, v) for i, v in enumerate(rng.standard_normal((400, 6)).tolist())] + [(1000 + i, [1.0] * 6) for i in range(100)]
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in held}
+    frame = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA).coalesce(2)
+    try:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+        with collect_written() as paths:
+            got = A.nearest(frame)
+            assert got.rdd.getNumPartitions() <= parts_for(spark, 500, A.VECTORS_EACH)
+            got = got.collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    most = parts_for(spark, 400 * A.K, A.LINKS_EACH)
+    assert len(paths) > 10 and 2 * most < 61
+    files = {p: len(list(Path(p.removeprefix("file:")).glob("part-*"))) for p in paths}
+    assert all(n <= most * (2 if "ann-links" in p else 1) for p, n in files.items()), files
+    assert measure(got, brute(rows)) == 1
