@@ -1,5 +1,7 @@
 """Column helpers at their edges: none of them may raise under ANSI mode."""
 
+from pyspark.sql import functions as F
+
 from carelake.functions import columns as C
 
 
@@ -37,6 +39,14 @@ def test_strip_ws_and_month(spark):
     assert got == [("D001", "\t D001 "), ("2020-07-15", "2020-07")]
 
 
+def test_strip_ws_of_text_with_and_without_blanks(spark):
+    vals = ["D 1", " D1", "D1\u2003", "\u00a0", "", "\u00e9x", "x\u00e9", "~", "\x1f!", "!\x7f", None]
+    want = ["D 1", "D1", "D1", "", "", "\u00e9x", "x\u00e9", "~", "!", "!\x7f", None]
+    df = one_col(spark, vals)
+    assert [r[0] for r in df.select(C.strip_ws("x")).collect()] == want
+    assert [r[0] for r in df.select(F.expr(C.strip_ws_sql("x"))).collect()] == want
+
+
 def test_non_negative_amount(spark):
     vals = ["0", "1.5", "-0.01", "NaN", None]
     got = [r.k for r in one_col(spark, vals).select(C.non_negative_amount("x").alias("k")).collect()]

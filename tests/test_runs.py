@@ -7,9 +7,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from carelake.contracts import queries
 from carelake.operators import marts, model_tests, questions, quality, ranking, sql_audit, star
 from carelake.plans.legacy_star import build_star_tables, run_star
-from carelake.plans.medallion import MARTS, SILVER, build_models
+from carelake.plans.medallion import MARTS, SILVER, build_models, land_bronze
 from carelake.schemas import RAW_CLAIM_COLUMNS, STAR_TABLES
 from carelake.sources import fixtures, ingest, publish, seeds, sinks
 from tests.test_plan_shapes import exchanges, plan_of
@@ -54,6 +55,46 @@ def test_counts_of_empty_and_failing_inputs(spark, tmp_path):
         models(spark, tmp_path / "text", 2, amount="abc")
 
 
+def test_row_counts_write_the_raw_claims_once(spark, sf_small, monkeypatch):
+    """Both runs read the landed claims: no other copy of the wide raw rows is written."""
+    wide, save = [], publish.save
+
+    def copied(df, *_, **__):
+        raise AssertionError("a copy beside the bronze table")
+
+    def saved(df, run, name, *rest):
+        wide.extend([name] if set(RAW_CLAIM_COLUMNS) <= set(df.columns) else [])
+        return save(df, run, name, *rest)
+
+    monkeypatch.setattr(sinks, "write_table", copied)
+    monkeypatch.setattr(publish, "save", saved)
+    got = {r.step: r.row_count for r in queries.q_row_counts(spark, sf_small).collect()}
+    assert wide == ["claims_raw"] and got["claims_raw"] == fixtures.table(spark, sf_small, "lineitem").count()
+
+
+def test_star_cleans_the_rows_it_keeps(spark):
+    """One row of a claim is kept before any is named or coerced; copies of a raw row, and
+    a state code listed twice, leave one row a claim."""
+    raw = raw_claims(spark, 3).unionByName(raw_claims(spark, 3, amount="abc").withColumn("_ingest_seq", F.col("_ingest_seq") + 100))
+    raw = raw.unionByName(raw).withColumn("BENE_ID", F.when(F.col("_ingest_seq") != 1, F.col("BENE_ID")))
+    states = seeds.state_codes(spark)
+    clean = star.clean_claims(raw, states.unionByName(states))
+    got = [(r.claim_id, r.claim_amount, r.provider_state) for r in clean.orderBy("claim_id").collect()]
+    assert got == [("C0", 10.5, "Florida"), ("C1", 0.0, "Florida"), ("C2", 10.5, "Florida")]
+    below = plan_of(clean).split("Window [", 1)[1]
+    assert "BroadcastHashJoin" not in below and "try_cast" not in below.lower()
+
+
+def test_null_metrics_test_the_value_first(spark, tmp_path):
+    """The null counts of staging are of kept rows, whatever else a row lacks."""
+    raw = raw_claims(spark, 4).withColumns({"CLM_PMT_AMT": F.when(F.col("CLM_ID") != "C1", F.lit("10.5")),
+                                            "BENE_ID": F.when(F.col("CLM_ID") != "C2", F.col("BENE_ID"))})
+    bronze = land_bronze(spark, raw, code_list(spark, "D001"), seeds.state_codes(spark), str(tmp_path))
+    assert bronze.counts["claims_raw"] == {"rows": 4, "stg_claims": 2, "null_claim_id": 0, "null_patient_id": 0,
+                                           "null_provider_id": 0, "null_claim_amount": 0}
+    assert bronze.claims.count() == 4 and bronze.codes.count() == 1 and bronze.states.count() == len(seeds.STATE_CODES)
+
+
 def test_save_counts_every_row_once(spark, tmp_path):
     run = publish.start_run(spark, str(tmp_path))
     got = publish.save(spark.range(1000).repartition(7), run, "t", {"odd": F.count_if(F.col("id") % 2 == 1), "top": F.max("id")})
