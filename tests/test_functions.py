@@ -45,6 +45,10 @@ def test_strip_ws_of_text_with_and_without_blanks(spark):
     df = one_col(spark, vals)
     assert [r[0] for r in df.select(C.strip_ws("x")).collect()] == want
     assert [r[0] for r in df.select(F.expr(C.strip_ws_sql("x"))).collect()] == want
+    padded = one_col(spark, [f"{chr(i)}a{chr(i)}b{chr(i)}" for i in range(1, 0x3100)])
+    by_pattern = F.regexp_replace("x", rf"^{C.WHITESPACE}+|{C.WHITESPACE}+\z", "")
+    assert padded.where(by_pattern != C.strip_ws("x")).count() == 0
+    assert padded.where(C.strip_ws("x") != F.expr(C.strip_ws_sql("x"))).count() == 0
 
 
 def test_non_negative_amount(spark):
