@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by cosine: an NN-descent graph and greedy search.
 
 *Index.* Equal vectors are one node. Every node gets ``K`` neighbours, first from
-a few sorted passes (nodes next to each other by random hyperplane signs and a
-projection are compared in blocks), then by NN-descent: each round brings every
+sorted passes (nodes next to each other by random hyperplane signs and a
+projection are compared in blocks), then by NN-descent. A pass moves every vector
+once, a round once for each neighbour, so blocks are large and passes are many:
+they leave little to the rounds. Each round brings every
 node's neighbours and reverse neighbours together with their vectors, compares
 those of which at least one is new to it, and every node keeps its ``k`` best.
 Rounds end when few lists change. A node's group has at most ``2 k`` rows, so no
@@ -32,12 +34,14 @@ once; an empty table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,8 +50,9 @@ from pyspark.sql import Window as W
 from carelake.llm.common import map_arrow, materialise, parts_for, release_shuffles, ship_package
 
 K = 28
-BLOCK = 128
-PASSES = 2
+BLOCK = 2048
+AT_ONCE = 256      # rows of a block that are compared at once
+PASSES = 16
 STOP_SHARE = 0.01   # of all list entries changed
 SEEDS = 64
 BEAM = 128
@@ -59,6 +64,7 @@ MORE = 3            # neighbours more for each doubling beyond
 LINKS_EACH, VECTORS_EACH, QUERIES_EACH = 50_000, 4_000, 64
 
 EDGES = "u long, v long, sim double"
+LISTS = "u long, vs array<long>, sims array<double>"
 
 
 def degree(count: int) -> int:
@@ -122,25 +128,43 @@ def _best(sims: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[real], cols[real]
 
 
-def _sorted_pass(vectors: DataFrame, bits: int, seed: int, k: int) -> DataFrame:
-    """Links inside blocks of nodes that are close by a random sort key."""
-    keyed = T.StructType([*vectors.schema, T.StructField("code", T.LongType()), T.StructField("place", T.DoubleType())])
+def _sort_keys(vectors: DataFrame, bits: int, passes: int) -> DataFrame:
+    """``vectors`` with ``keys``, a number for each pass: the signs at random
+    hyperplanes, then (behind the point) the place on one more random line."""
+    keyed = T.StructType([*vectors.schema, T.StructField("keys", T.ArrayType(T.DoubleType()))])
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _unit(_matrix(batch.column("vec"))) if batch.num_rows else np.empty((0, 1))
-            planes = np.random.default_rng(seed).standard_normal((x.shape[1], bits + 1))
-            y = x @ planes
-            code = ((y[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))) if bits else np.zeros(len(y), np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code.astype(np.int64)), pa.array(y[:, bits])], names=keyed.names)
+            keys = np.empty((len(x), passes))
+            for p in range(passes):
+                y = x @ np.random.default_rng(1000 + p).standard_normal((x.shape[1], bits + 1))
+                keys[:, p] = (y[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64)) + np.arctan(y[:, bits]) / np.pi
+            ends = pa.array(np.arange(0, keys.size + 1, passes, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], names=keyed.names)
+
+    return map_arrow(vectors, key, keyed)
+
+
+def _lists(u: np.ndarray, v: np.ndarray, sims: np.ndarray) -> pa.RecordBatch:
+    """One row for each run of equal ``u``."""
+    starts = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1]))) if len(u) else np.empty(0, np.int64)
+    ends = pa.array(np.concatenate((starts, [len(u)])).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(u[starts].astype(np.int64)), pa.ListArray.from_arrays(ends, pa.array(v.astype(np.int64))),
+                                       pa.ListArray.from_arrays(ends, pa.array(sims.astype(np.float64)))], names=["u", "vs", "sims"])
+
+
+def _sorted_pass(keyed: DataFrame, number: int, k: int, parts: int) -> DataFrame:
+    """Lists of the nearest inside blocks of nodes that are close by the pass's key."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(block: pa.Table) -> pa.RecordBatch:
+        def links(block: pa.Table) -> Iterator[pa.RecordBatch]:
             x, ids = _unit(_matrix(block.column("vec"))), block.column("node").to_numpy()
-            sims = x @ x.T
-            np.fill_diagonal(sims, -np.inf)
-            a, b = _best(sims, k)
-            return _edges([(ids[a], ids[b], sims[a, b])])
+            for at in range(0, len(x), AT_ONCE):
+                sims = x[at:at + AT_ONCE] @ x.T
+                np.fill_diagonal(sims[:, at:], -np.inf)
+                a, b = _best(sims, k)
+                yield _lists(ids[at + a], ids[b], sims[a, b])
 
         rest = None
         for batch in batches:
@@ -148,13 +172,31 @@ def _sorted_pass(vectors: DataFrame, bits: int, seed: int, k: int) -> DataFrame:
             table = table if rest is None else pa.concat_tables([rest, table])
             whole = max(0, table.num_rows // BLOCK - 1) * BLOCK  # the last block takes the rest
             for at in range(0, whole, BLOCK):
-                yield links(table.slice(at, BLOCK))
+                yield from links(table.slice(at, BLOCK))
             rest = table.slice(whole)
         if rest is not None and rest.num_rows > 1:
-            yield links(rest)
+            yield from links(rest)
+
+    ranged = keyed.select("node", "vec", F.col("keys")[number].alias("key")).repartitionByRange("key").sortWithinPartitions("key", "node")
+    return map_arrow(ranged.select("node", "vec").coalesce(parts), compare, LISTS)
 
-    return map_arrow(map_arrow(vectors, key, keyed).repartitionByRange("code", "place").sortWithinPartitions("code", "place")
-                     .select("node", "vec"), compare, EDGES)
+
+def _best_of_lists(k: int):
+    """Links (u, v, sim): the ``k`` best of all lists of a node, each neighbour once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches, "u"):
+            lists, u = table.column("vs").combine_chunks(), table.column("u").to_numpy()
+            v, sims = lists.flatten().to_numpy(), table.column("sims").combine_chunks().flatten().to_numpy()
+            rows = np.concatenate(([0], np.flatnonzero(u[1:] != u[:-1]) + 1, [len(u)]))
+            cuts = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))[rows].tolist()
+            found = []
+            for node, i, j in zip(u[rows[:-1]].tolist(), cuts, cuts[1:]):
+                ids, at = np.unique(v[i:j], return_index=True)
+                best = np.argsort(-sims[i:j][at], kind="stable")[:k]
+                found.append((np.full(len(best), node), ids[best], sims[i:j][at][best]))
+            yield _edges(found)
+
+    return run
 
 
 def _keep_best(edges: DataFrame, k: int) -> DataFrame:
@@ -206,13 +248,13 @@ def build_graph(vectors: DataFrame, count: int, k: int = K) -> DataFrame:
     """(u, v, sim): the ``k`` best neighbours found of every node of ``vectors`` (node, vec)."""
     spark = vectors.sparkSession
     bits = max(0, (max(1, count // (2 * BLOCK))).bit_length() - 1)
-    first = None
-    for p in range(PASSES):
-        links = _sorted_pass(vectors, bits, 1000 + p, k)
-        first = links if first is None else first.union(links)
-    edges = first.groupBy("u", "v").agg(F.max("sim").alias("sim"))
     parts = parts_for(spark, count * k, LINKS_EACH)
-    graph = materialise(_keep_best(edges, k).withColumns({"fresh": F.lit(True), "waiting": F.lit(True)}), "ann-graph", parts)
+    one = count < 2 * BLOCK  # block: a pass compares all
+    passes, tasks = (1, 1) if one else (PASSES, parts_for(spark, count, 2 * BLOCK))
+    keyed = materialise(_sort_keys(vectors, bits, passes), "ann-keys", parts_for(spark, count, VECTORS_EACH))
+    lists = functools.reduce(DataFrame.union, [_sorted_pass(keyed, p, k, tasks) for p in range(passes)])
+    first = map_arrow(lists.repartition("u").sortWithinPartitions("u"), _best_of_lists(k), EDGES)
+    graph = materialise(first.withColumns({"fresh": F.lit(True), "waiting": F.lit(True)}), "ann-graph", parts)
     for step in itertools.count():  # lists only get better, so changes end
         drawn = materialise(_drawn(graph, k, step), "ann-drawn", parts)
         near = graph.select("u", "v", "fresh").union(drawn).groupBy("u", "v").agg(F.max("fresh").alias("fresh"))
@@ -234,19 +276,17 @@ STATE = T.StructType([T.StructField("q", T.LongType()), T.StructField("seen", T.
                       T.StructField("open", T.ArrayType(T.BooleanType()))])
 
 
-def _merged(q: int, vec: np.ndarray, seen: list, nodes: list, sims: list, is_open: list, ids: np.ndarray, x: np.ndarray,
-            beam: int) -> dict:
+def _merged(q: int, vec: np.ndarray, seen: np.ndarray, nodes: np.ndarray, sims: np.ndarray, is_open: np.ndarray, ids: np.ndarray,
+            x: np.ndarray, beam: int) -> dict:
     """The state of a query after ``ids`` with vectors ``x`` are looked at."""
     ids, at = np.unique(ids, return_index=True)
-    new = ~np.isin(ids, np.array(seen, dtype=np.int64))
+    new = ~np.isin(ids, seen)
     ids, at = ids[new], at[new]
     if len(ids):
         sims = np.concatenate([sims, np.clip(_unit(x[at]) @ _unit(vec[None, :])[0], -1, 1)])
-        nodes = np.concatenate([nodes, ids]).astype(np.int64)
-        is_open = np.concatenate([is_open, np.ones(len(ids), dtype=bool)]).astype(bool)
+        nodes, is_open = np.concatenate([nodes, ids]), np.concatenate([is_open, np.ones(len(ids), dtype=bool)])
         order = np.lexsort((nodes, -sims))[:beam]
-        nodes, sims, is_open = nodes[order].tolist(), sims[order].tolist(), is_open[order].tolist()
-        seen = [*seen, *ids.tolist()]
+        nodes, sims, is_open, seen = nodes[order], sims[order], is_open[order], np.concatenate([seen, ids])
     return {"q": q, "seen": seen, "nodes": nodes, "sims": sims, "open": is_open}
 
 
@@ -265,30 +305,29 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = K,
     drawn = W.partitionBy("u").orderBy(F.desc("sim"), "v")
     # Out-links all, in-links as many again, the nearest.
     extra = back.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= k).drop("n", "sim")
-    links = materialise(graph.select("u", "v").union(extra), "ann-links", 2 * parts)
+    links = materialise(graph.select("u", "v").union(extra).groupBy("u").agg(F.collect_list("v").alias("vs")), "ann-links", 2 * parts)
     sample = vectors.orderBy(F.xxhash64("node"), "node").limit(SEEDS).collect() if queries.where("own is null").limit(1).count() else []
     seed_ids = np.array([r.node for r in sample], dtype=np.int64)
     seeds = [np.array(r.vec, dtype=np.float64) for r in sample]
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none, no = np.empty(0, np.int64), np.empty(0, bool)
         for batch in batches:
             rows = []
             for q, own, vec in zip(batch.column("q").to_pylist(), batch.column("own").to_pylist(), _matrix(batch.column("vec")) if batch.num_rows else []):
                 ids, x = (seed_ids, seeds) if own is None else (np.array([own]), [vec])
-                rows.append(_merged(q, vec, [], [], [], [], ids, np.array(x).reshape(len(ids), -1), beam))
+                rows.append(_merged(q, vec, none, none, np.empty(0), no, ids, np.array(x).reshape(len(ids), -1), beam))
             yield from _state_table(rows).to_batches()
 
     def look(state: pa.Table, offers: pa.Table) -> pa.Table:
-        rows = []
-        if state.num_rows:
-            r = state.to_pylist()[0]
-            todo = [i for i, o in enumerate(r["open"]) if o][:expand]
-            for i in todo:
-                r["open"][i] = False
-            vec = np.array(r["vec"], dtype=np.float64)
-            x = _matrix(offers.column("vec")) if offers.num_rows else np.empty((0, len(vec)))
-            rows.append(_merged(r["q"], vec, r["seen"], r["nodes"], r["sims"], r["open"], offers.column("v").to_numpy(), x, beam))
-        return _state_table(rows)
+        if not state.num_rows:
+            return _state_table([])
+        seen, nodes, sims, is_open, vec = (state.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)  # of one row
+                                           for c in ("seen", "nodes", "sims", "open", "vec"))
+        is_open, vec = is_open.copy(), vec.astype(np.float64)
+        is_open[np.flatnonzero(is_open)[:expand]] = False
+        x = _matrix(offers.column("vec")) if offers.num_rows else np.empty((0, len(vec)))
+        return _state_table([_merged(state.column("q")[0].as_py(), vec, seen, nodes, sims, is_open, offers.column("v").to_numpy(), x, beam)])
 
     done = None
     state = materialise(map_arrow(queries.select("q", "own", "vec"), begin, STATE), "ann-states", few)
@@ -301,7 +340,10 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = K,
             return done
         first = F.slice(F.filter("nodes", lambda n, i: F.get("open", i)), 1, expand)
         asks = going.select(F.col("q").alias("asker"), F.explode(first).alias("u"))
-        offers = asks.join(links, "u").select("asker", "v").distinct().join(vectors.withColumnRenamed("node", "v"), "v").select("asker", "v", "vec")
+        # A query takes its links in one row, so that only vectors it has not seen are sent to it.
+        led = asks.join(links, "u").groupBy("asker").agg(F.flatten(F.collect_list("vs")).alias("vs"))
+        unseen = led.join(going.select(F.col("q").alias("asker"), "seen"), "asker").select("asker", F.explode(F.array_except("vs", "seen")).alias("v"))
+        offers = unseen.join(vectors.withColumnRenamed("node", "v"), "v").select("asker", "v", "vec")
         state = materialise(going.join(asked, "q").groupBy("q").cogroup(offers.groupBy("asker")).applyInArrow(look, STATE), "ann-states", few)
         release_shuffles(spark)
 

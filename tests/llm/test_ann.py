@@ -142,3 +142,30 @@ def test_files_follow_the_rows_not_the_shuffle(spark):
     files = {p: len(list(Path(p.removeprefix("file:")).glob("part-*"))) for p in paths}
     assert all(n <= most * (2 if "ann-links" in p else 1) for p, n in files.items()), files
     assert measure(got, brute(rows)) == 1
+
+
+def test_passes_leave_few_rounds(spark):
+    """Vectors at random, the hard case: two rounds at most, and near all of the neighbours are in the graph."""
+    n = 6000
+    x = np.random.default_rng(4).standard_normal((n, 24))
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "node long, vec array<double>").repartition(4).cache()
+    with collect_written() as paths:
+        graph = A.build_graph(vectors, n).toPandas()
+    assert sum("ann-drawn" in p for p in paths) <= 2
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert not graph.duplicated(["u", "v"]).any() and graph.groupby("u").size().tolist() == [A.K] * n
+    assert np.allclose((x[graph.u] * x[graph.v]).sum(axis=1), graph.sim)
+    held = graph.groupby("u").v.apply(set)
+    sims = x[:200] @ x.T
+    sims[np.arange(200), np.arange(200)] = -2
+    near = np.argsort(-sims, axis=1)[:, :A.K]
+    assert sum(len(held[i] & set(near[i].tolist())) for i in range(200)) >= 0.95 * 200 * A.K
+
+
+def test_lists_of_several_passes_meet():
+    """The best of all lists of a node, a neighbour of two lists once."""
+    import pyarrow as pa
+
+    lists = pa.table({"u": [1, 1, 2], "vs": [[5, 6], [6, 7, 5], [1]], "sims": [[0.5, 0.9], [0.9, 0.7, 0.5], [0.1]]})
+    got = [r for b in A._best_of_lists(2)(iter(lists.to_batches())) for r in b.to_pylist()]
+    assert [(r["u"], r["v"], r["sim"]) for r in got] == [(1, 6, 0.9), (1, 7, 0.7), (2, 1, 0.1)]
