@@ -282,6 +282,27 @@ def test_quarantine_shuffles_no_column_twice_and_needs_no_report(spark, tmp_path
     assert quality.quarantine(fact.limit(1), str(tmp_path / "q2")) == {}
 
 
+def test_quarantine_query_writes_small_parts_without_a_sort(spark, tmp_path, monkeypatch):
+    """Compressed parts hold the same rows; the write deals rows out by check without sorting them, and leaves the session as it was."""
+    line = "id div 3 as l_orderkey, id % 7 as l_partkey, id % 2 as l_suppkey, cast(id % 3 as int) as l_linenumber, cast(id % 50 + 1 as double) as l_quantity, "
+    line += "100.0D + id as l_extendedprice, 0.05D as l_discount, 0.01D * (id % 9) as l_tax, 'N' as l_returnflag, 'O' as l_linestatus, timestamp'2020-01-01' as l_shipdate"
+    spark.range(300).selectExpr(*line.split(", ")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(100).selectExpr("id as o_orderkey", "id % 5 as o_custkey").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(2).selectExpr("id as s_suppkey", "id as s_nationkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    held, seen = spark.conf.get(sinks.WRITERS), []
+    read = quality.read_quarantine
+    monkeypatch.setattr(quality, "read_quarantine", lambda s, paths, schema: seen.append(paths) or read(s, paths, schema))
+    monkeypatch.setattr(quality, "failed_checks", lambda fact, made=quality.failed_checks: seen.append(made(fact)) or seen[0])
+    got = queries.queries()["qc_quarantine"](spark, str(tmp_path))
+    assert spark.conf.get(sinks.WRITERS) == held and all(f.endswith(".csv.gz") for f in got.inputFiles()) and len(seen[1]) == 6
+    want = seen[0].select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 200
+    plans = []
+    monkeypatch.setattr(type(want.write), "csv", lambda w, path: plans.append(spark.conf.get(sinks.WRITERS)))
+    sinks.write_quarantine(want, str(tmp_path / "none"), [c.name for c in quality.CHECKS], True)
+    assert int(plans[0]) >= len(quality.CHECKS) and spark.conf.get(sinks.WRITERS) == held
+
+
 def test_duplicates_without_an_order(spark):
     rows = [("A", None), ("A", None), ("B", 4), ("B", None), ("B", 1), (None, 2), (None, 3)]
     fact = spark.createDataFrame([(c, "p", "v", "d", 1.0, 1.0, "2020-01-01", "x", "1", s) for c, s in rows],
